@@ -103,6 +103,17 @@ def run_progress(metrics: DataFrame, run_col: str = "run_name", chunk: int = 409
     )
 
 
-def runs_without_rows(index: DataFrame, metrics: DataFrame, run_col: str = "run_name") -> DataFrame:
-    """Runs registered in the index that have no metrics rows (left anti join)."""
-    return index.select(run_col).distinct().join(metrics.select(run_col), run_col, "left_anti")
+def runs_without_rows(index: DataFrame, metrics: DataFrame, run_col: str = "run_name",
+                      registered_col: str | None = None, logged_col: str | None = None) -> DataFrame:
+    """Runs registered in the index that have no metrics rows (left anti join).
+
+    With ``registered_col``/``logged_col`` a run only counts as logged when it has a row after its
+    (latest) registration. Both sides are first reduced to one row per run (partial aggregates), so
+    a run with a huge number of rows never lands whole in one join task.
+    """
+    if registered_col is None:
+        return index.select(run_col).distinct().join(metrics.select(run_col).distinct(), run_col, "left_anti")
+    idx = index.groupBy(run_col).agg(F.max(registered_col).alias("_reg"))
+    lg = metrics.groupBy(run_col).agg(F.max(logged_col).alias("_last"))
+    cond = (idx[run_col] == lg[run_col]) & (lg["_last"] > idx["_reg"])
+    return idx.join(lg, cond, "left_anti").select(run_col)

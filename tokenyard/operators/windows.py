@@ -45,6 +45,7 @@ def global_offsets(
 def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1024, order_col: str = "doc_id") -> DataFrame:
     """K2 layout: ``(block_id, start, ids ARRAY<INT>, tail ARRAY<INT>)``.
 
+    ``token_docs`` should be a written table (K2 input): it is read twice, for sizes and for ids.
     Each document is cut into the pieces that fall into each block (``sequence`` over the blocks it
     spans, ``slice`` per block), plus the pieces that fall into the first ``halo`` tokens of a block,
     addressed to the previous block's ``tail``. One shuffle groups pieces by block; a group holds at
@@ -55,11 +56,12 @@ def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1
     B, H = int(block_size), int(halo)
     # Offsets are computed on the narrow (doc, size) table, then attached to the token rows: by a
     # broadcast when the document count is known to be small, else by a shuffle join on the key.
-    sized = token_docs.select(order_col, F.size("ids").cast("long").alias("n_tokens")).filter("n_tokens > 0")
+    sized = token_docs.select(order_col, F.size("ids").cast("long").alias("n_tokens")).filter("n_tokens > 0").persist()
     narrow = global_offsets(sized, order_col, "n_tokens").persist()
     n_docs = narrow.count()
     side = F.broadcast(narrow) if n_docs <= BROADCAST_OFFSETS_LIMIT else narrow
     offs = token_docs.select(order_col, "ids").join(side, order_col)
+    sized.unpersist()
     lo, n = F.col("offset"), F.col("n_tokens")
     hi = lo + n
     fb = F.floor(lo / B).cast("long")
@@ -92,11 +94,16 @@ def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1
     )
 
 
-def _slices(start_in_block: F.Column, length: int):
-    ext = F.concat("ids", "tail")
-    x = F.slice(ext, (start_in_block + 1).cast("int"), length)
-    y = F.slice(ext, (start_in_block + 2).cast("int"), length)
-    return x, y
+def _window(ids, tail, offset, length: int):
+    """``length`` tokens from 0-based ``offset`` in ``ids`` continued into ``tail`` (small slices only)."""
+    head = F.slice(ids, (offset + 1).cast("int"), length)
+    return F.concat(head, F.slice(tail, 1, F.lit(length) - F.size(head)))
+
+
+def _slices(start_in_block, length: int, ids=None, tail=None):
+    ids = F.col("ids") if ids is None else ids
+    tail = F.col("tail") if tail is None else tail
+    return _window(ids, tail, start_in_block, length), _window(ids, tail, start_in_block + 1, length)
 
 
 def lm_windows_all(blocks: DataFrame, total_tokens: int, length: int, stride: int | None = None) -> DataFrame:
@@ -109,9 +116,14 @@ def lm_windows_all(blocks: DataFrame, total_tokens: int, length: int, stride: in
     starts = F.when(first <= last, F.sequence(first, last, F.lit(stride).cast("long"))).otherwise(
         F.array().cast("array<bigint>")
     )
-    w = blocks.select("start", "ids", "tail", F.explode(starts).alias("s"))
-    x, y = _slices(F.col("s") - F.col("start"), length)
-    return w.select(F.col("s").alias("start"), x.alias("x"), y.alias("y"))
+
+    def one(s):
+        x, y = _slices(s - F.col("start"), length)
+        return F.struct(s.alias("start"), x.alias("x"), y.alias("y"))
+
+    # Windows are built as an array per block and exploded alone, so the block arrays are not
+    # copied into every output row.
+    return blocks.select(F.explode(F.transform(starts, one)).alias("w")).select("w.*")
 
 
 def sample_starts(spark, n_samples: int, total_tokens: int, length: int, seed: int) -> DataFrame:

@@ -247,7 +247,7 @@ SELECT run_name, step,
        round(min(val_loss) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS best_val_loss
 FROM metrics WINDOW w AS (PARTITION BY run_name ORDER BY step)"""
     q["runs_without_rows"] = f"""
-SELECT DISTINCT 'run_' || CAST(user_id AS VARCHAR) AS run_name FROM events e
-WHERE event_type = '{P.REGISTER_EVENT}'
-  AND NOT EXISTS (SELECT 1 FROM events m WHERE m.user_id = e.user_id AND m.event_type = '{P.EVAL_EVENT}')"""
+WITH idx AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, max(ts) AS reg FROM events WHERE event_type = '{P.REGISTER_EVENT}' GROUP BY 1),
+lg AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, max(ts) AS last_row FROM events WHERE event_type = '{P.EVAL_EVENT}' GROUP BY 1)
+SELECT run_name FROM idx WHERE NOT EXISTS (SELECT 1 FROM lg WHERE lg.run_name = idx.run_name AND lg.last_row > idx.reg)"""
     return q

@@ -13,6 +13,7 @@ from ..functions.codec import Tokenizer
 from ..functions.hashing import uniform01  # noqa: F401  (re-exported for callers)
 from ..functions.vecmath import linear_project, logsumexp, rms_normalize, softmax
 from ..operators import bpe, counts, encode, runs, scores, segments, windows
+from ..sinks.tables import materialize
 from ..sources.tables import balanced, table
 from . import params as P
 
@@ -120,9 +121,22 @@ def q_token_count_by_lang(spark, sf_dir):
 
 # --- dataset stream, offsets, windows ------------------------------------------------------------
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def _memo_table(spark, sf_dir, name, build):
+    """A derived table written once to the shared checkpoint folder and reused by later queries."""
+    key = (sf_dir, id(spark.sparkContext._jsc), name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = materialize(build(), name)
+        _TABLES[key] = df
+    return df
+
+
 def _dataset(spark, sf_dir):
-    td, _ = _encoded(spark, sf_dir, per_line=True)
-    return td
+    """K2 input: the documents encoded line by line (G13), written once as `token_docs`."""
+    return _memo_table(spark, sf_dir, "token_docs", lambda: _encoded(spark, sf_dir, per_line=True)[0])
 
 
 def q_global_offsets(spark, sf_dir):
@@ -131,7 +145,9 @@ def q_global_offsets(spark, sf_dir):
 
 
 def _blocks(spark, sf_dir):
-    blocks = windows.token_blocks(_dataset(spark, sf_dir), P.BLOCK_SIZE, P.HALO).persist()
+    blocks = _memo_table(
+        spark, sf_dir, "token_blocks", lambda: windows.token_blocks(_dataset(spark, sf_dir), P.BLOCK_SIZE, P.HALO)
+    )
     total = blocks.agg(F.sum(F.size("ids")).cast("long")).first()[0] or 0
     return blocks, int(total)
 
@@ -301,9 +317,9 @@ def q_run_progress(spark, sf_dir):
 def q_runs_without_rows(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     run = F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("run_name")
-    index = ev.filter(F.col("event_type") == P.REGISTER_EVENT).select(run)
-    logged = ev.filter(F.col("event_type") == P.EVAL_EVENT).select(run)
-    return runs.runs_without_rows(index, logged)
+    index = ev.filter(F.col("event_type") == P.REGISTER_EVENT).select(run, "ts")
+    logged = ev.filter(F.col("event_type") == P.EVAL_EVENT).select(run, "ts")
+    return runs.runs_without_rows(index, logged, registered_col="ts", logged_col="ts")
 
 
 QUERIES = {
