@@ -8,8 +8,8 @@ Each round is two small Spark jobs over the persisted word table ``(toks, freq)`
    ``(pair, R, y)``; the bound of a candidate is the largest such sum.
 
 The driver then commits the longest prefix of candidates that one-by-one learning would also pick:
-the first always; a later one only when it shares no token with an already committed pair (so its
-count did not change), its merged bytes are not an existing or just-made token (merges are keyed by
+the first always; a later one only when no committed merge can overlap its occurrences (so its
+count did not change: a merge of ``(a, b)`` touches only pairs ``(x, a)`` and ``(b, y)``), its merged bytes are not an existing or just-made token (merges are keyed by
 bytes, a duplicate would feed other pairs' counts) and its count is strictly above every bound so far
 (so no newly created pair can overtake or tie it). The committed merges are applied as a chain of
 ``replace`` calls in one projection. Driver state is the merge list plus K rows per round.
@@ -68,9 +68,11 @@ def base_vocab(specials: Sequence[str] | None) -> list[bytes]:
 def ranked_candidates(words: DataFrame, k: int) -> list[tuple[str, str, int, int]]:
     """One action per round: the k best pairs with their neighbour bounds, ``(left, right, n, bound)``.
 
-    The k best pairs (TakeOrderedAndProject, at most k rows: a bounded broadcast) are joined back to the
-    pair occurrences of every word; each hit emits its left and right neighbour, summed per
-    ``(pair, side, neighbour)`` and maximised per pair. Candidates without neighbours get bound 0.
+    The k best pairs (TakeOrderedAndProject, at most k rows: a bounded broadcast) are joined to the
+    pair occurrences of every word; each hit emits its left and right neighbour (null at a word
+    edge), summed per ``(pair, neighbour)`` and maximised per pair. The candidates flow through the
+    plan once; every candidate occurs somewhere, so each comes back, with bound 0 if it never has a
+    neighbour.
     """
     top = top_pairs(pair_counts(words), k)
     a, i = F.col("a"), F.col("i")
@@ -83,6 +85,7 @@ def ranked_candidates(words: DataFrame, k: int) -> list[tuple[str, str, int, int
     nb = hit.select(
         "left",
         "right",
+        "n",
         "freq",
         F.explode(
             F.array(
@@ -90,14 +93,14 @@ def ranked_candidates(words: DataFrame, k: int) -> list[tuple[str, str, int, int
                 F.when(i + 2 < F.size(a), F.concat(F.lit("R"), a[i + 2])),
             )
         ).alias("nb"),
-    ).filter(F.col("nb").isNotNull())
-    bounds = (
-        nb.groupBy("left", "right", "nb")
+    )
+    rows = (
+        nb.groupBy("left", "right", "n", "nb")
         .agg(F.sum("freq").alias("c"))
-        .groupBy("left", "right")
-        .agg(F.max("c").alias("bound"))
+        .groupBy("left", "right", "n")
+        .agg(F.max(F.when(F.col("nb").isNotNull(), F.col("c"))).alias("bound"))
+        .collect()
     )
-    rows = top.join(bounds, ["left", "right"], "left").collect()
     out = [(r.left, r.right, int(r.n), int(r.bound or 0)) for r in rows]
     out.sort(key=lambda t: (t[2], t[0], t[1]), reverse=True)
     return out
@@ -107,22 +110,29 @@ def commit_prefix(
     cands: list[tuple[str, str, int, int]],
     existing_tokens: set[str],
 ) -> list[tuple[str, str]]:
-    """Longest prefix of the ranked candidates that equals one-by-one learning (see module doc)."""
+    """Longest prefix of the ranked candidates that equals one-by-one learning (see module doc).
+
+    Merging ``(a, b)`` only changes the count of pairs overlapping one of its occurrences, i.e.
+    ``(x, a)`` and ``(b, y)``; so a later candidate ``(c, d)`` keeps its count unless ``d`` is the left
+    token or ``c`` the right token of a committed pair.
+    """
     committed: list[tuple[str, str]] = []
-    touched: set[str] = set()
+    lefts: set[str] = set()
+    rights: set[str] = set()
     created: set[str] = set()
     max_bound = -1
     for j, (left, right, n, bound) in enumerate(cands):
         new = left + right
         if j > 0:
-            if left in touched or right in touched or left in created or right in created:
+            if right in lefts or left in rights or left in created or right in created:
                 break
             if new in existing_tokens or new in created:
                 break
             if n <= max_bound:
                 break
         committed.append((left, right))
-        touched.update((left, right))
+        lefts.add(left)
+        rights.add(right)
         created.add(new)
         max_bound = max(max_bound, bound)
         if j == 0 and new in existing_tokens:

@@ -250,4 +250,10 @@ FROM metrics WINDOW w AS (PARTITION BY run_name ORDER BY step)"""
 WITH idx AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, max(ts) AS reg FROM events WHERE event_type = '{P.REGISTER_EVENT}' GROUP BY 1),
 lg AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, max(ts) AS last_row FROM events WHERE event_type = '{P.EVAL_EVENT}' GROUP BY 1)
 SELECT run_name FROM idx WHERE NOT EXISTS (SELECT 1 FROM lg WHERE lg.run_name = idx.run_name AND lg.last_row > idx.reg)"""
+    q["stream_pretoken_counts"] = q["pretoken_counts"]
+    q["stream_encode_token_counts"] = q["encode_token_counts"]
+    q["stream_run_status"] = f"""
+SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, CAST(count(*) AS BIGINT) AS n_rows, max(event_id) AS last_step,
+       max_by(value, event_id) AS last_train_loss, min(CASE WHEN event_type = '{P.EVAL_EVENT}' THEN value END) AS best_val_loss
+FROM events GROUP BY 1"""
     return q

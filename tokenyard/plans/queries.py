@@ -325,3 +325,46 @@ def q_runs_without_rows(spark, sf_dir):
 QUERIES = {
     name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)
 }
+
+
+# --- streaming forms (E1-E3): same results as the batch queries ---------------------------------
+
+def _stream_of(spark, sf_dir, name, cols):
+    from ..streaming.streams import file_stream
+
+    schema = table(spark, sf_dir, name).select(*cols).schema
+    return file_stream(spark, sf_dir, schema, glob=f"{name}.parquet").select(*cols)
+
+
+def q_stream_pretoken_counts(spark, sf_dir):
+    from ..streaming.streams import count_stream
+
+    return count_stream(spark, _stream_of(spark, sf_dir, "documents", ["text"]))
+
+
+def q_stream_encode_token_counts(spark, sf_dir):
+    from ..streaming.streams import encode_stream
+
+    tok = corpus_tokenizer(spark, sf_dir)
+    td = encode_stream(spark, _stream_of(spark, sf_dir, "documents", ["doc_id", "text"]), tok)
+    return td.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"),
+    )
+
+
+def q_stream_run_status(spark, sf_dir):
+    from ..streaming.streams import metrics_stream
+
+    ev = _stream_of(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value"])
+    rows = ev.select(
+        F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("run_name"),
+        F.col("event_id").alias("step"),
+        F.col("value").alias("train_loss"),
+        F.when(F.col("event_type") == P.EVAL_EVENT, F.col("value")).alias("val_loss"),
+    )
+    return metrics_stream(spark, rows)
+
+
+QUERIES.update({name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_stream_")})
