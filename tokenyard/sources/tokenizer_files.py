@@ -34,11 +34,14 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
 def read_merges(spark: SparkSession, path: str) -> DataFrame:
     """``merges(rank INT, left BINARY, right BINARY)`` from hex JSON v1 or legacy ``left right`` lines.
 
+    The format is recognised from the content (the JSON format tag), not from the file name.
+
     A legacy line that does not split into exactly two parts (e.g., a merge holding a space) makes
     the read fail instead of being skipped silently.
     """
-    if path.endswith(".json"):
-        raw = _whole(spark, path)
+    raw = _whole(spark, path)
+    fmt = raw.select(F.get_json_object("value", "$.format").alias("f")).first()
+    if fmt is not None and fmt.f == HEX_FORMAT:
         arr = F.from_json(F.get_json_object("value", "$.merges"), "array<array<string>>")
         return raw.select(F.posexplode(arr).alias("rank", "m")).select(
             "rank", F.unhex(F.col("m")[0]).alias("left"), F.unhex(F.col("m")[1]).alias("right")
