@@ -1,4 +1,6 @@
 import json
+
+from pyspark.sql import functions as F
 import os
 
 import pytest
@@ -111,3 +113,35 @@ def test_run_logs_round_trip(spark, tmp_out):
     assert json.loads(idx.configuration) == {k: json.loads(idx.configuration)[k] for k in sorted(json.loads(idx.configuration))}
     conf = read_run_config(spark, os.path.join(run_dir, "config")).first()
     assert conf.run_name == "myrun" and conf.lr == 0.001
+
+
+def test_vocab_table_ops(spark):
+    from tokenyard.operators.vocab import (
+        compare_vocab,
+        concat_parts,
+        every_n,
+        extend_vocab,
+        missing_specials,
+        parse_stamp,
+        rank_pairs,
+        run_stamp,
+        token_ids,
+        words_with_pair,
+    )
+
+    vocab = spark.createDataFrame([(0, b"a"), (1, b"b"), (2, b"a")], "token_id int, token binary")
+    assert {bytes(r.token): r.token_id for r in token_ids(vocab).collect()} == {b"a": 2, b"b": 1}
+    assert [bytes(r.token) for r in missing_specials(vocab, ["b", "<s>"]).collect()] == [b"<s>"]
+    ext = extend_vocab(vocab, ["<s>", "<ss>", "a"])
+    assert sorted((r.token_id, bytes(r.token)) for r in ext.collect())[-2:] == [(3, b"<ss>"), (4, b"<s>")]
+    assert compare_vocab(ext, ext) and not compare_vocab(vocab, ext)
+    merges = spark.createDataFrame([(0, "61", "62")], "rank int, left string, right string")
+    pairs = spark.createDataFrame([("61", "62"), ("62", "63")], "left string, right string")
+    assert sorted((r.left, r.rank) for r in rank_pairs(pairs, merges).collect()) == [("61", 0), ("62", None)]
+    words = spark.createDataFrame([("|61||62|", 3), ("|62||61|", 1)], "toks string, freq long")
+    assert [r.freq for r in words_with_pair(words, "61", "62").collect()] == [3]
+    parts = concat_parts([spark.range(2), spark.range(3)])
+    assert parts.filter("part = 1").count() == 3
+    assert every_n(spark.range(1, 301).withColumnRenamed("id", "step"), 100).count() == 3
+    r = spark.range(1).select(run_stamp(parse_stamp(F.lit("2026-07-05T12:56:59"))).alias("s")).first()
+    assert r.s == "20260705-125659"

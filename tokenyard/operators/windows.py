@@ -56,7 +56,8 @@ def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1
     B, H = int(block_size), int(halo)
     # Offsets are computed on the narrow (doc, size) table, then attached to the token rows: by a
     # broadcast when the document count is known to be small, else by a shuffle join on the key.
-    sized = token_docs.select(order_col, F.size("ids").cast("long").alias("n_tokens")).filter("n_tokens > 0").persist()
+    size = F.col("n_tokens") if "n_tokens" in token_docs.columns else F.size("ids").cast("long")
+    sized = token_docs.select(order_col, size.alias("n_tokens")).filter("n_tokens > 0").persist()
     narrow = global_offsets(sized, order_col, "n_tokens").persist()
     n_docs = narrow.count()
     side = F.broadcast(narrow) if n_docs <= BROADCAST_OFFSETS_LIMIT else narrow

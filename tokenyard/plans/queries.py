@@ -69,6 +69,15 @@ def q_top_pairs(spark, sf_dir):
     return counts.top_pairs(counts.pair_counts(_words(spark, sf_dir)), P.TOP_K)
 
 
+def q_words_with_best_pair(spark, sf_dir):
+    """The words in which the best pair occurs (the words a merge of it rewrites)."""
+    from ..operators.vocab import words_with_pair
+
+    words = _words(spark, sf_dir).persist()
+    best = counts.best_pair(counts.pair_counts(words)).first()  # exactly one row
+    return words_with_pair(words, best.left, best.right).select("toks", "freq")
+
+
 def q_bpe_merges_8(spark, sf_dir):
     tok = corpus_tokenizer(spark, sf_dir)
     m = spark.createDataFrame(
@@ -136,11 +145,15 @@ def _memo_table(spark, sf_dir, name, build):
 
 def _dataset(spark, sf_dir):
     """K2 input: the documents encoded line by line (G13), written once as `token_docs`."""
-    return _memo_table(spark, sf_dir, "token_docs", lambda: _encoded(spark, sf_dir, per_line=True)[0])
+    return _memo_table(
+        spark, sf_dir, "token_docs",
+        lambda: _encoded(spark, sf_dir, per_line=True)[0].withColumn("n_tokens", F.size("ids").cast("long")),
+    )
 
 
 def q_global_offsets(spark, sf_dir):
-    sized = _dataset(spark, sf_dir).select("doc_id", F.size("ids").cast("long").alias("n_tokens")).filter("n_tokens > 0")
+    # n_tokens is stored with the dataset, so the scan does not read the token arrays.
+    sized = _dataset(spark, sf_dir).select("doc_id", "n_tokens").filter("n_tokens > 0")
     return windows.global_offsets(sized, "doc_id", "n_tokens")
 
 
@@ -307,6 +320,15 @@ def q_series_minmax(spark, sf_dir):
     return runs.series_extent(runs.long_series(metrics_from_events(spark, sf_dir)))
 
 
+def q_loss_curve_points(spark, sf_dir):
+    """every loss point mapped into the plot box by its run's extents."""
+    pts = runs.long_series(metrics_from_events(spark, sf_dir))
+    ext = runs.series_extent(pts).persist()
+    n_runs = ext.count()
+    proj = runs.minmax_project(pts, ext, n_runs)
+    return proj.select("run_name", "series", "step", F.round("px", 3).alias("px"), F.round("py", 3).alias("py"))
+
+
 def q_run_progress(spark, sf_dir):
     p = runs.run_progress(metrics_from_events(spark, sf_dir))
     return p.select(

@@ -15,10 +15,10 @@ def write_tokens(token_docs: DataFrame, path: str, block_size: int = 1 << 16, ha
     ``token_docs`` is written to the shared checkpoint folder first, so the Python encoder runs once
     however many passes the block layout needs.
     """
-    docs = materialize(token_docs.select(order_col, "ids"), "token_docs")
+    docs = materialize(token_docs.select(order_col, "ids", F.size("ids").cast("long").alias("n_tokens")), "token_docs")
     blocks = token_blocks(docs, block_size, halo, order_col)
     blocks.write.mode("overwrite").parquet(path)
-    total = docs.agg(F.sum(F.size("ids")).cast("long")).first()[0] or 0
+    total = docs.agg(F.sum("n_tokens").cast("long")).first()[0] or 0
     if total == 0:
         raise ValueError("input produced no tokens")
     return int(total)
