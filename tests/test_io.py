@@ -13,6 +13,7 @@ from tokenyard.sinks.tokens import write_tokens
 from tokenyard.sources.runs import read_metrics, read_run_config, read_run_index
 from tokenyard.sources.text import scan_documents, scan_lines
 from tokenyard.sources.tokenizer_files import (
+    HEX_FORMAT,
     load_tokenizer,
     printable_byte_map,
     read_merges,
@@ -37,7 +38,7 @@ def test_tokenizer_files_round_trip(spark, tmp_out):
     back = load_tokenizer(spark, v, m)
     assert back.vocab == tok.vocab and list(back.merge_rank) == list(tok.merge_rank)
     doc = json.loads(open(single_file(v)).read())
-    assert doc["format"] == "cs336_bytes_hex_v1" and doc["vocab"]["256"] == "<|endoftext|>".encode().hex()
+    assert doc["format"] == HEX_FORMAT and doc["vocab"]["256"] == "<|endoftext|>".encode().hex()
 
 
 def test_legacy_formats(spark, tmp_out):
