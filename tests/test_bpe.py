@@ -31,24 +31,25 @@ def test_tie_break_greatest_pair(spark):
     assert (b.left, b.right, b.n) == ("63", "64", 1)
 
 
-@pytest.mark.parametrize("k", [2, 64])
-def test_rounds_equal_one_by_one_on_sample(spark, k):
+@pytest.mark.parametrize("k,incremental", [(2, False), (64, False), (2, True), (64, True)])
+def test_rounds_equal_one_by_one_on_sample(spark, k, incremental):
     texts = [SAMPLE, SAMPLE.upper() + DEFAULT_SPECIAL + SAMPLE]
     want = learn(texts, 256 + 1 + 40, [DEFAULT_SPECIAL])
-    m = train_bpe(_docs(spark, texts), 256 + 1 + 40, [DEFAULT_SPECIAL], candidates=k)
+    m = train_bpe(_docs(spark, texts), 256 + 1 + 40, [DEFAULT_SPECIAL], candidates=k, incremental=incremental)
     assert m.merges == want
     assert len(m.vocab) == 256 + 1 + len(want)
     assert m.vocab[256] == DEFAULT_SPECIAL.encode()
     assert m.vocab[257] == want[0][0] + want[0][1]
 
 
-def test_rounds_equal_one_by_one_on_random_corpora(spark):
+@pytest.mark.parametrize("incremental", [False, True])
+def test_rounds_equal_one_by_one_on_random_corpora(spark, incremental):
     rng = random.Random(7)
     for trial in range(4):
         alphabet = "abcd"[: 2 + trial % 3] + " "
         texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(20, 120))) for _ in range(5)]
         want = learn(texts, 256 + 25, [])
-        got = train_bpe(_docs(spark, texts), 256 + 25, [], candidates=16).merges
+        got = train_bpe(_docs(spark, texts), 256 + 25, [], candidates=16, incremental=incremental).merges
         assert got == want, (trial, texts)
 
 
@@ -62,7 +63,7 @@ def test_learned_from_documents_table(spark):
     from tokenyard.sources.tables import table
 
     docs = table(spark, SF_SMALL, "documents").select("text")
-    m = train_bpe(docs, 256 + 1 + 12, [DEFAULT_SPECIAL])
+    m = train_bpe(docs, 256 + 1 + 12, [DEFAULT_SPECIAL], incremental=True, checkpoint_every=2)
     texts = [r.text for r in docs.collect()]
     assert m.merges == learn(texts, 256 + 1 + 12, [DEFAULT_SPECIAL])
 

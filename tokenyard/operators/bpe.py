@@ -66,44 +66,36 @@ def base_vocab(specials: Sequence[str] | None) -> list[bytes]:
 
 
 def ranked_candidates(words: DataFrame, k: int) -> list[tuple[str, str, int, int]]:
-    """One action per round: the k best pairs with their neighbour bounds, ``(left, right, n, bound)``.
+    """One job per round: the k best pairs with their neighbour bounds, ``(left, right, n, bound)``.
 
-    The k best pairs (TakeOrderedAndProject, at most k rows: a bounded broadcast) are joined to the
-    pair occurrences of every word; each hit emits its left and right neighbour (null at a word
-    edge), summed per ``(pair, neighbour)`` and maximised per pair. The candidates flow through the
-    plan once; every candidate occurs somewhere, so each comes back, with bound 0 if it never has a
-    neighbour.
+    Every pair occurrence emits its left and its right neighbour (null at a word edge), weighted by
+    the word frequency. Summing per ``(pair, side, neighbour)`` and then per pair gives both the
+    pair count (the sum of its left-side rows: one per occurrence) and the bound (the largest
+    neighbour sum). For small word tables one such pass beats separate count and bound jobs.
     """
-    top = top_pairs(pair_counts(words), k)
     a, i = F.col("a"), F.col("i")
     occ = (
         words.select("freq", token_array("toks").alias("a"))
         .select("freq", "a", F.explode(F.sequence(F.lit(0), F.size(a) - 2)).alias("i"))
-        .select("freq", "a", "i", a[i].alias("ol"), a[i + 1].alias("or"))
     )
-    hit = occ.join(F.broadcast(top), (F.col("ol") == F.col("left")) & (F.col("or") == F.col("right")))
-    nb = hit.select(
-        "left",
-        "right",
-        "n",
+    trip = occ.select(
+        a[i].alias("left"),
+        a[i + 1].alias("right"),
         "freq",
         F.explode(
             F.array(
-                F.when(i > 0, F.concat(F.lit("L"), a[i - 1])),
-                F.when(i + 2 < F.size(a), F.concat(F.lit("R"), a[i + 2])),
+                F.struct(F.lit("L").alias("side"), F.when(i > 0, a[i - 1]).alias("tok")),
+                F.struct(F.lit("R").alias("side"), F.when(i + 2 < F.size(a), a[i + 2]).alias("tok")),
             )
         ).alias("nb"),
     )
-    rows = (
-        nb.groupBy("left", "right", "n", "nb")
-        .agg(F.sum("freq").alias("c"))
-        .groupBy("left", "right", "n")
-        .agg(F.max(F.when(F.col("nb").isNotNull(), F.col("c"))).alias("bound"))
-        .collect()
+    per_nb = trip.groupBy("left", "right", "nb.side", "nb.tok").agg(F.sum("freq").alias("c"))
+    per_pair = per_nb.groupBy("left", "right").agg(
+        F.sum(F.when(F.col("side") == "L", F.col("c"))).alias("n"),
+        F.max(F.when(F.col("tok").isNotNull(), F.col("c"))).alias("bound"),
     )
-    out = [(r.left, r.right, int(r.n), int(r.bound or 0)) for r in rows]
-    out.sort(key=lambda t: (t[2], t[0], t[1]), reverse=True)
-    return out
+    rows = top_pairs(per_pair, k).collect()
+    return [(r.left, r.right, int(r.n), int(r.bound or 0)) for r in rows]
 
 
 def commit_prefix(
@@ -140,6 +132,51 @@ def commit_prefix(
     return committed
 
 
+def neighbour_bounds(words: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
+    """Bounds for a few candidate pairs: only words holding one of them are exploded."""
+    from ..functions.pairs import contains_any_pair
+
+    keys = [f"{l} {r}" for l, r in pairs]  # a handful of literals: an in-set test, no join
+    a, i = F.col("a"), F.col("i")
+    occ = (
+        words.filter(contains_any_pair(F.col("toks"), pairs))
+        .select("freq", token_array("toks").alias("a"))
+        .select("freq", "a", F.explode(F.sequence(F.lit(0), F.size(a) - 2)).alias("i"))
+        .select("freq", "a", "i", F.concat_ws(" ", a[i], a[i + 1]).alias("key"))
+        .filter(F.col("key").isin(keys))
+    )
+    nb = occ.select(
+        "key",
+        "freq",
+        F.explode(
+            F.array(
+                F.when(i > 0, F.concat(F.lit("L"), a[i - 1])),
+                F.when(i + 2 < F.size(a), F.concat(F.lit("R"), a[i + 2])),
+            )
+        ).alias("nb"),
+    ).filter(F.col("nb").isNotNull())
+    rows = nb.groupBy("key", "nb").agg(F.sum("freq").alias("c")).groupBy("key").agg(F.max("c").alias("b")).collect()
+    return {tuple(r.key.split(" ")): int(r.b) for r in rows}
+
+
+def pair_deltas(words: DataFrame, committed: list[tuple[str, str]]) -> DataFrame:
+    """Count changes caused by applying ``committed``: -freq for the pairs of every affected word
+    before the merges, +freq for its pairs after. Only affected words are exploded."""
+    from ..functions.pairs import adjacent_pairs, contains_any_pair
+
+    hit = words.filter(contains_any_pair(F.col("toks"), committed))
+    before = hit.select((-F.col("freq")).alias("d"), F.explode(adjacent_pairs(token_array("toks"))).alias("p"))
+    after = hit.select(
+        F.col("freq").alias("d"), F.explode(adjacent_pairs(token_array(merge_pairs(F.col("toks"), committed)))).alias("p")
+    )
+    return (
+        before.unionByName(after)
+        .groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right"))
+        .agg(F.sum("d").alias("n"))
+        .filter(F.col("n") != 0)
+    )
+
+
 def train_bpe(
     docs: DataFrame,
     vocab_size: int,
@@ -149,45 +186,74 @@ def train_bpe(
     checkpoint_every: int = 8,
     partitions: int | None = None,
     one_by_one: bool = False,
+    incremental: bool | None = None,
 ) -> BpeModel:
     """A4: learn merges until ``vocab_size`` ids exist or no pair remains.
 
+    Two exact strategies, same merges:
+    * incremental: keep the pair-count table and update it with the count changes of the words a
+      round rewrote (the reference's incremental index, as table deltas); work per round follows
+      the rewritten words, at the price of two or three small jobs per round;
+    * recount: one job per round that recounts all pairs together with the bounds.
+    ``incremental=None`` picks by size: recount while the word table holds at most
+    ``RECOUNT_MAX_PAIRS`` pair occurrences (job latency dominates), incremental beyond.
     ``one_by_one=True`` commits a single merge per round (the reference's order, for checks).
 
-    The loop runs with adaptive execution off: its jobs have fixed shapes (partial aggregates of the
-    persisted word table, a k-row broadcast), so runtime re-planning has nothing to gain and costs a
+    The loop runs with adaptive execution off: its jobs have fixed shapes (partial aggregates of
+    persisted tables, k-row results), so runtime re-planning has nothing to gain and costs a
     re-plan per stage in every round. Hot pairs are combined map-side by the partial aggregate.
     """
     with sql_conf(docs.sparkSession, spark__sql__adaptive__enabled="false"):
-        return _train_bpe(docs, vocab_size, specials, text_col, candidates, checkpoint_every, partitions, one_by_one)
+        return _train(docs, vocab_size, specials, text_col, candidates, checkpoint_every, partitions, one_by_one, incremental)
 
 
-def _train_bpe(docs, vocab_size, specials, text_col, candidates, checkpoint_every, partitions, one_by_one):
+# Pair occurrences (sum over distinct words of their pair count) up to which a round recounts all.
+RECOUNT_MAX_PAIRS = 20_000_000
+
+
+def _train(docs, vocab_size, specials, text_col, candidates, checkpoint_every, partitions, one_by_one, incremental):
     spark = docs.sparkSession
     specials = list(specials or [])
     vocab = base_vocab(specials)
     merges: list[tuple[bytes, bytes]] = []
     if len(vocab) >= vocab_size:
         return BpeModel(vocab, merges, specials)
-
     ensure_checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     words = word_tokens(pretoken_counts(docs, specials, text_col)).repartition(parts).persist()
+    if incremental is None:
+        occurrences = words.agg(F.sum(F.length("toks") / 4 - 1).cast("long")).first()[0] or 0
+        incremental = occurrences > RECOUNT_MAX_PAIRS
+    pairs = pair_counts(words).persist() if incremental else None
     existing = {t.hex().upper() for t in vocab}
-    stale: list[DataFrame] = []
+    # Generations still cached: pairs of the previous round (read by this round's count update) and
+    # words of the previous round (read until this round's words are materialized, at the latest by
+    # the next round's first action).
+    old_pairs: list[DataFrame] = []
+    old_words: list[DataFrame] = []
     rounds = 0
     while len(vocab) < vocab_size:
         budget = vocab_size - len(vocab)
         k = 1 if one_by_one else max(1, min(candidates, budget))
-        if k == 1:
+        if incremental:
+            top = [(r.left, r.right, int(r.n), 0) for r in top_pairs(pairs, k).collect()]
+        elif k == 1:
             top = [(r.left, r.right, int(r.n), 0) for r in top_pairs(pair_counts(words), 1).collect()]
         else:
             top = ranked_candidates(words, k)
-        for df in stale:
+        for df in old_pairs:
             df.unpersist()
-        stale = []
+        old_pairs = []
+        while len(old_words) > 1:
+            old_words.pop(0).unpersist()
         if not top:
             break
+        if incremental and k > 1:
+            # Candidates that could be committed if their bounds allowed it; bounds only for those.
+            tentative = commit_prefix([(l, r, n, -1) for l, r, n, _ in top], existing)
+            if len(tentative) > 1:
+                bounds = neighbour_bounds(words, tentative[:-1])
+                top = [(l, r, n, bounds.get((l, r), 0)) for l, r, n, _ in top]
         committed = commit_prefix(top, existing)
         for left, right in committed:
             lb, rb = bytes.fromhex(left), bytes.fromhex(right)
@@ -195,15 +261,23 @@ def _train_bpe(docs, vocab_size, specials, text_col, candidates, checkpoint_ever
             vocab.append(lb + rb)
             existing.add(left + right)
         rounds += 1
-        nxt = words.select(merge_pairs(F.col("toks"), committed).alias("toks"), "freq").filter(
+        nxt_words = words.select(merge_pairs(F.col("toks"), committed).alias("toks"), "freq").filter(
             F.instr("toks", "||") > 0
         )
+        nxt_pairs = None
+        if incremental:
+            delta = pair_deltas(words, committed)
+            nxt_pairs = pairs.unionByName(delta).groupBy("left", "right").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
         if rounds % checkpoint_every == 0:
-            # Reliable checkpoint into the shared checkpoint folder cuts the lineage.
-            nxt = nxt.checkpoint(eager=True)
-        nxt = nxt.persist()
-        stale.append(words)
-        words = nxt
-    for df in stale + [words]:
+            # Reliable checkpoints into the shared checkpoint folder cut the lineage.
+            nxt_words = nxt_words.checkpoint(eager=True)
+            if incremental:
+                nxt_pairs = nxt_pairs.checkpoint(eager=True)
+        old_words.append(words)
+        words = nxt_words.persist()
+        if incremental:
+            old_pairs.append(pairs)
+            pairs = nxt_pairs.persist()
+    for df in old_pairs + old_words + [words] + ([pairs] if incremental else []):
         df.unpersist()
     return BpeModel(vocab, merges, specials, rounds)
