@@ -26,7 +26,7 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
 
 def corpus_tokenizer(spark: SparkSession, sf_dir: str) -> Tokenizer:
     """The tokenizer every encoding query uses: learned from `documents` by Spark (memoised)."""
-    key = (sf_dir, id(spark.sparkContext._jsc), P.CORPUS_MERGES)
+    key = (sf_dir, spark.sparkContext.applicationId, P.CORPUS_MERGES)
     tok = _TOKENIZERS.get(key)
     if tok is None:
         model = bpe.train_bpe(
@@ -135,7 +135,7 @@ _TABLES: dict[tuple, DataFrame] = {}
 
 def _memo_table(spark, sf_dir, name, build):
     """A derived table written once to the shared checkpoint folder and reused by later queries."""
-    key = (sf_dir, id(spark.sparkContext._jsc), name)
+    key = (sf_dir, spark.sparkContext.applicationId, name)
     df = _TABLES.get(key)
     if df is None:
         df = materialize(build(), name)
