@@ -37,8 +37,9 @@ def main():
         times[name] = round(time.time() - t, 3)
 
     docs = Q.documents(spark, SF_DIR, "text")
-    timed("pretoken_counts", lambda: force(counts.pretoken_counts(docs)))
-    timed("pair_counts", lambda: force(counts.pair_counts(counts.word_tokens(counts.pretoken_counts(docs)))))
+    sp = ["<|endoftext|>"]
+    timed("pretoken_counts", lambda: force(counts.pretoken_counts(docs, sp)))
+    timed("pair_counts", lambda: force(counts.pair_counts(counts.word_tokens(counts.pretoken_counts(docs, sp)))))
     holder = {}
     timed("train_bpe", lambda: holder.setdefault("m", bpe.train_bpe(docs, 257 + BPE_MERGES, ["<|endoftext|>"])))
     # The corpus tokenizer (8 merges) used by the encode queries; its learning is timed apart.

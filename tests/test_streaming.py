@@ -19,8 +19,9 @@ def test_stream_results_equal_batch(spark, tmp_out):
     schema = spark.read.parquet(folder).schema
     batch = spark.read.parquet(folder)
 
-    got = count_stream(spark, file_stream(spark, folder, schema, max_files=1))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pretoken_counts(batch).collect()))
+    for sp in (None, ["<|endoftext|>"]):
+        got = count_stream(spark, file_stream(spark, folder, schema, max_files=1), sp)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pretoken_counts(batch, sp).collect()))
 
     tok = Tokenizer(dict(enumerate(base_vocab([]))), [])
     got = encode_stream(spark, file_stream(spark, folder, schema, max_files=1), tok)

@@ -63,3 +63,11 @@ def test_pretoken_counts_drop_specials(spark):
 def test_token_string(spark):
     df = spark.createDataFrame([("aé",)], "w string")
     assert df.select(token_string("w").alias("t")).first().t == "|61||C3||A9|"
+
+
+def test_without_specials_lines_are_the_unit(spark):
+    df = spark.createDataFrame([("a\n\n\nb",)], "text string")
+    got = {r.word: r.freq for r in pretoken_counts(df).collect()}
+    assert got == {"a": 1, "\n": 3, "b": 1}
+    got = {r.word: r.freq for r in pretoken_counts(df, ["<|endoftext|>"]).collect()}
+    assert got == {"a": 1, "\n\n": 1, "\n": 1, "b": 1}

@@ -34,12 +34,17 @@ def pretokens(
 def pretoken_counts(
     docs: DataFrame, specials: Sequence[str] | None = None, text_col: str = "text"
 ) -> DataFrame:
-    """A1: ``word_freq(word, freq)`` over all segments that are not special tokens."""
+    """A1: ``word_freq(word, freq)`` over all segments that are not special tokens.
+
+    With specials the unit of pre-tokenizing is the segment between specials; without any it is the
+    line, newline kept (G14), so blank runs never join across lines.
+    """
     if specials:
         segs = special_segments(docs, specials, text_col=text_col, keys=(), keep_specials=False)
         text = F.col("segment")
     else:
-        segs, text = docs, F.col(text_col)
+        segs = docs.select(F.explode(F.split(F.col(text_col), "(?<=\n)", -1)).alias("line")).filter(F.col("line") != "")
+        text = F.col("line")
     return (
         segs.select(F.explode(pretokenize(text)).alias("word"))
         .groupBy("word")

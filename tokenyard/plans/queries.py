@@ -44,7 +44,8 @@ def _hex(c):
 # --- text, counts, learner ---------------------------------------------------------------------
 
 def q_pretoken_counts(spark, sf_dir):
-    return counts.pretoken_counts(documents(spark, sf_dir, "text"))
+    """A1 over documents as segments of a corpus joined by the default special token."""
+    return counts.pretoken_counts(documents(spark, sf_dir, "text"), [P.SPECIAL])
 
 
 def q_special_segments(spark, sf_dir):
@@ -54,7 +55,7 @@ def q_special_segments(spark, sf_dir):
 
 
 def _words(spark, sf_dir):
-    return counts.word_tokens(counts.pretoken_counts(documents(spark, sf_dir, "text")))
+    return counts.word_tokens(counts.pretoken_counts(documents(spark, sf_dir, "text"), [P.SPECIAL]))
 
 
 def q_pair_counts(spark, sf_dir):
@@ -361,7 +362,7 @@ def _stream_of(spark, sf_dir, name, cols):
 def q_stream_pretoken_counts(spark, sf_dir):
     from ..streaming.streams import count_stream
 
-    return count_stream(spark, _stream_of(spark, sf_dir, "documents", ["text"]))
+    return count_stream(spark, _stream_of(spark, sf_dir, "documents", ["text"]), [P.SPECIAL])
 
 
 def q_stream_encode_token_counts(spark, sf_dir):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.codec import Tokenizer
-from ..functions.text import pretokenize
+from ..operators.counts import pretoken_counts
 from ..operators.encode import encode
 from ..session import scratch_path
 
@@ -58,9 +58,10 @@ def encode_stream(
     return spark.read.parquet(out)
 
 
-def count_stream(spark: SparkSession, source: DataFrame, text_col: str = "text") -> DataFrame:
+def count_stream(spark: SparkSession, source: DataFrame, specials: Sequence[str] | None = None,
+                 text_col: str = "text") -> DataFrame:
     """Running pre-token counts (state = distinct words), complete mode; returns the final table."""
-    counts = source.select(F.explode(pretokenize(text_col)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+    counts = pretoken_counts(source, specials, text_col)
     out = _run(lambda p: counts.writeStream.outputMode("complete").foreachBatch(_overwrite_to(p)), "count-stream", spark)
     return spark.read.parquet(out)
 
