@@ -46,16 +46,15 @@ def read_merges(spark: SparkSession, path: str) -> DataFrame:
         return raw.select(F.posexplode(arr).alias("rank", "m")).select(
             "rank", F.unhex(F.col("m")[0]).alias("left"), F.unhex(F.col("m")[1]).alias("right")
         )
-    lines = spark.read.text(path).withColumn("_i", F.monotonically_increasing_id())
-    parts = lines.filter(F.col("value") != "").select("_i", F.split("value", " ", -1).alias("p"))
+    # Vocabulary-sized file, already read whole: lines get their rank from posexplode (file order).
+    lines = raw.select(F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n", -1)).alias("rank", "line"))
+    parts = lines.filter(F.col("line") != "").select("rank", F.split("line", " ", -1).alias("p"))
     checked = parts.select(
-        "_i",
+        "rank",
         F.when(F.size("p") == 2, F.col("p")).otherwise(F.raise_error(F.lit("merge line must hold exactly two tokens"))).alias("p"),
     )
-    from pyspark.sql import Window
-
     return checked.select(
-        (F.row_number().over(Window.orderBy("_i")) - 1).alias("rank"),
+        F.col("rank").cast("int").alias("rank"),
         F.encode(F.col("p")[0], "ISO-8859-1").alias("left"),
         F.encode(F.col("p")[1], "ISO-8859-1").alias("right"),
     )
@@ -100,13 +99,12 @@ def read_printable_vocab(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_printable_merges(spark: SparkSession, path: str) -> DataFrame:
-    """``left right`` lines in printable form -> ``merges(rank, left, right)``."""
-    from pyspark.sql import Window
-
-    lines = spark.read.text(path).withColumn("_i", F.monotonically_increasing_id())
-    parts = lines.filter(F.col("value") != "").select("_i", F.split("value", " ", -1).alias("p")).filter(F.size("p") == 2)
+    """``left right`` lines in printable form -> ``merges(rank, left, right)`` (rank = line order)."""
+    raw = _whole(spark, path)
+    lines = raw.select(F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n", -1)).alias("line_no", "line"))
+    parts = lines.select("line_no", F.split("line", " ", -1).alias("p")).filter(F.size("p") == 2)
     return parts.select(
-        (F.row_number().over(Window.orderBy("_i")) - 1).alias("rank"),
+        F.col("line_no").cast("int").alias("rank"),
         _printable_to_binary(F.col("p")[0]).alias("left"),
         _printable_to_binary(F.col("p")[1]).alias("right"),
     )
