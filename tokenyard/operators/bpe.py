@@ -209,6 +209,8 @@ def train_bpe(
 
 # Pair occurrences (sum over distinct words of their pair count) up to which a round recounts all.
 RECOUNT_MAX_PAIRS = 20_000_000
+# Distinct words per partition of the persisted word table.
+WORDS_PER_PARTITION = 250_000
 
 
 def _train(docs, vocab_size, specials, text_col, candidates, checkpoint_every, partitions, one_by_one, incremental):
@@ -219,18 +221,32 @@ def _train(docs, vocab_size, specials, text_col, candidates, checkpoint_every, p
     if len(vocab) >= vocab_size:
         return BpeModel(vocab, merges, specials)
     ensure_checkpoint_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = word_tokens(pretoken_counts(docs, specials, text_col)).repartition(parts).persist()
+    counted = word_tokens(pretoken_counts(docs, specials, text_col)).persist()
+    stats = counted.agg(F.count(F.lit(1)).alias("w"), F.sum(F.length("toks") / 4 - 1).cast("long").alias("p")).first()
+    n_words, occurrences = int(stats.w or 0), int(stats.p or 0)
+    if partitions is None:
+        # ~WORDS_PER_PARTITION distinct words per task, at least the cluster's parallelism and at most
+        # the configured shuffle partitions; narrowing is a coalesce (no shuffle).
+        upper = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(spark.sparkContext.defaultParallelism, -(-n_words // WORDS_PER_PARTITION))
+        partitions = max(1, min(partitions, upper))
+    words = counted.coalesce(partitions).persist() if counted.rdd.getNumPartitions() > partitions else counted
     if incremental is None:
-        occurrences = words.agg(F.sum(F.length("toks") / 4 - 1).cast("long")).first()[0] or 0
         incremental = occurrences > RECOUNT_MAX_PAIRS
+    with sql_conf(spark, spark__sql__shuffle__partitions=str(partitions)):
+        return _rounds(spark, words, counted, vocab, merges, specials, vocab_size, candidates, checkpoint_every,
+                       one_by_one, incremental)
+
+
+def _rounds(spark, words, counted, vocab, merges, specials, vocab_size, candidates, checkpoint_every, one_by_one,
+            incremental):
     pairs = pair_counts(words).persist() if incremental else None
     existing = {t.hex().upper() for t in vocab}
     # Generations still cached: pairs of the previous round (read by this round's count update) and
     # words of the previous round (read until this round's words are materialized, at the latest by
     # the next round's first action).
     old_pairs: list[DataFrame] = []
-    old_words: list[DataFrame] = []
+    old_words: list[DataFrame] = [] if counted is words else [counted]
     rounds = 0
     while len(vocab) < vocab_size:
         budget = vocab_size - len(vocab)
@@ -278,6 +294,6 @@ def _train(docs, vocab_size, specials, text_col, candidates, checkpoint_every, p
         if incremental:
             old_pairs.append(pairs)
             pairs = nxt_pairs.persist()
-    for df in old_pairs + old_words + [words] + ([pairs] if incremental else []):
+    for df in old_pairs + old_words + [words, counted] + ([pairs] if incremental else []):
         df.unpersist()
     return BpeModel(vocab, merges, specials, rounds)
