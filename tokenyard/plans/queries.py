@@ -162,7 +162,8 @@ def _blocks(spark, sf_dir):
     blocks = _memo_table(
         spark, sf_dir, "token_blocks", lambda: windows.token_blocks(_dataset(spark, sf_dir), P.BLOCK_SIZE, P.HALO)
     )
-    total = blocks.agg(F.sum(F.size("ids")).cast("long")).first()[0] or 0
+    # The count comes from the narrow n_tokens column of the dataset, not from the token arrays.
+    total = _dataset(spark, sf_dir).agg(F.sum("n_tokens").cast("long")).first()[0] or 0
     return blocks, int(total)
 
 
