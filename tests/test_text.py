@@ -71,3 +71,26 @@ def test_without_specials_lines_are_the_unit(spark):
     assert got == {"a": 1, "\n": 3, "b": 1}
     got = {r.word: r.freq for r in pretoken_counts(df, ["<|endoftext|>"]).collect()}
     assert got == {"a": 1, "\n\n": 1, "\n": 1, "b": 1}
+
+
+def test_pretokenize_parity_property(spark):
+    """Random strings over long-established scripts, blanks of all kinds and contractions."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    alphabet = (
+        list("abcXYZ019 '\t\n\r.,!?-_()[]{}<>|") + ["'s", "'ll", "'ve", "'re", "'d", "'m", "'t"]
+        + list("éüßçñøÅ") + list("αβγΩ") + list("жЖя") + list("中文字") + list("٣٤५६")
+        + [" ", " ", "　", "\x0b", "\x0c", "\x85", "\x1c", "́", "🙃", "👍🏽", "‍"]
+    )
+    texts = []
+
+    @settings(max_examples=400, deadline=None, suppress_health_check=list(HealthCheck), database=None)
+    @given(st.lists(st.sampled_from(alphabet), max_size=40).map("".join))
+    def collect(t):
+        texts.append(t)
+
+    collect()
+    got = _extract(spark, texts)
+    for i, t in enumerate(texts):
+        assert got[i] == pieces(t), repr(t)
