@@ -146,3 +146,21 @@ def test_vocab_table_ops(spark):
     assert every_n(spark.range(1, 301).withColumnRenamed("id", "step"), 100).count() == 3
     r = spark.range(1).select(run_stamp(parse_stamp(F.lit("2026-07-05T12:56:59"))).alias("s")).first()
     assert r.s == "20260705-125659"
+
+
+def test_prepare_flows_end_to_end(spark, tmp_out):
+    from brute import encode as brute_encode
+    from tokenyard.plans.prepare import encode_dataset, train_tokenizer
+
+    texts = ["the cat sat on the mat\nthe dog\n", "a dog and a cat<|endoftext|>more text here\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    v, m = os.path.join(tmp_out, "v"), os.path.join(tmp_out, "m")
+    assert train_tokenizer(spark, docs, 256 + 1 + 10, v, m) == 267
+    tok = load_tokenizer(spark, v, m, ["<|endoftext|>"])
+    count, bits = encode_dataset(docs, tok, os.path.join(tmp_out, "ds"), block_size=16, halo=4)
+    want = []
+    for t in texts:
+        for line in t.splitlines(keepends=True):
+            want += brute_encode(line, tok.vocab, list(tok.merge_rank), tok.specials)
+    blocks = read_token_blocks(spark, os.path.join(tmp_out, "ds")).orderBy("block_id").collect()
+    assert [i for b in blocks for i in b.ids] == want and count == len(want) and bits == 16
