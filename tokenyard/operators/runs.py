@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-METRIC_COLUMNS = ("step", "elapsed_seconds", "tokens_seen", "train_loss", "val_loss", "learning_rate")
 # Largest per-chunk / per-run summary we broadcast back.
 BROADCAST_SUMMARY_LIMIT = 1_000_000
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import Tokenizer
-from ..functions.hashing import uniform01  # noqa: F401  (re-exported for callers)
 from ..functions.vecmath import linear_project, logsumexp, rms_normalize, softmax
 from ..operators import bpe, counts, encode, runs, scores, segments, windows
 from ..sinks.tables import materialize
