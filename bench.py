@@ -48,7 +48,8 @@ def main():
                  "lm_windows_sampled", "nucleus", "weighted_draw", "cross_entropy", "run_summary", "run_progress"):
         timed(name, lambda n=name: force(Q.QUERIES[n](spark, SF_DIR)))
     total = round(sum(times.values()), 3)
-    n_chars = Q.documents(spark, SF_DIR, "n_chars").agg(F.sum("n_chars")).first()[0]
+    n_chars = int(Q.documents(spark, SF_DIR, "n_chars").agg(F.sum("n_chars")).first()[0] or 0)
+    n_tokens = int(Q._dataset(spark, SF_DIR).agg(F.sum("n_tokens")).first()[0] or 0)
     m = holder["m"]
     print(json.dumps({
         "metric": "total_sec",
@@ -57,7 +58,13 @@ def main():
         "queries": times,
         "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1],
         "cpus": CPUS,
-        "corpus_chars": int(n_chars or 0),
+        "corpus_chars": n_chars,
+        "corpus_tokens": n_tokens,
+        "throughput": {
+            "pretoken_chars_per_sec": round(n_chars / times["pretoken_counts"]),
+            "encode_tokens_per_sec": round(n_tokens / times["encode_token_counts"]),
+            "windows_tokens_per_sec": round(n_tokens / times["lm_windows_all"]),
+        },
         "bpe": {"merges": len(m.merges), "rounds": m.rounds},
     }))
     spark.stop()

@@ -94,3 +94,11 @@ def test_pretokenize_parity_property(spark):
     got = _extract(spark, texts)
     for i, t in enumerate(texts):
         assert got[i] == pieces(t), repr(t)
+
+
+def test_split_refuses_text_with_sentinel(spark):
+    import pytest
+
+    df = spark.createDataFrame([("a﷐b",)], "t string")
+    with pytest.raises(Exception):
+        df.select(split_special(F.col("t"), [DEFAULT_SPECIAL])).collect()

@@ -25,8 +25,8 @@ DEFAULT_SPECIAL = "<|endoftext|>"
 # Java needs UNICODE_CHARACTER_CLASS so that \s, \p{L} and \p{N} follow Unicode like Python's regex.
 JAVA_PRETOKEN_PATTERN = "(?U)" + PRETOKEN_PATTERN
 
-# A private-use code point that separates segments while splitting at special tokens.
-_SENTINEL = "﷐"
+# A Unicode noncharacter (U+FDD0) that separates segments while splitting at special tokens.
+_SENTINEL = "\ufdd0"
 
 
 def _col(c: Column | str) -> Column:
@@ -62,7 +62,9 @@ def split_special(text: Column | str, specials: Sequence[str] | None) -> Column:
     if not specials:
         return F.array(text)
     marked = F.regexp_replace(text, special_alternation(specials), _SENTINEL + "$1" + _SENTINEL)
-    return F.split(marked, _SENTINEL, -1)
+    # A text that already holds the sentinel (a Unicode noncharacter) would be cut wrongly: fail loudly.
+    guarded = F.when(F.instr(text, _SENTINEL) > 0, F.raise_error(F.lit("text contains U+FDD0"))).otherwise(marked)
+    return F.split(guarded, _SENTINEL, -1)
 
 
 def is_special(segment: Column | str, specials: Sequence[str] | None) -> Column:
