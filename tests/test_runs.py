@@ -56,3 +56,12 @@ def test_runs_without_rows(spark):
     got = sorted(r.run_name for r in runs_without_rows(idx, rows, registered_col="ts", logged_col="ts").collect())
     assert got == ["b", "c"]
     assert sorted(r.run_name for r in runs_without_rows(idx, rows).collect()) == ["c"]
+
+
+def test_audit_learning_rate_one_step_behind(spark):
+    from tokenyard.operators.runs import audit_learning_rate
+
+    # A run with lr 1e-3, min 1e-4, warm-up 100, 10,000 iterations logs 0.00099 at step 100.
+    m = spark.createDataFrame([(100, 0.00099), (101, 0.00099)], "step long, learning_rate double")
+    got = {r.step: r.lr_ok for r in audit_learning_rate(m, 1e-3, 1e-4, 100, 10000).collect()}
+    assert got == {100: True, 101: False}

@@ -116,3 +116,17 @@ def runs_without_rows(index: DataFrame, metrics: DataFrame, run_col: str = "run_
     lg = metrics.groupBy(run_col).agg(F.max(logged_col).alias("_last"))
     cond = (idx[run_col] == lg[run_col]) & (lg["_last"] > idx["_reg"])
     return idx.join(lg, cond, "left_anti").select(run_col)
+
+
+def audit_learning_rate(metrics: DataFrame, a_max: float, a_min: float, warmup: int, cycle: int,
+                        rel_tol: float = 1e-9) -> DataFrame:
+    """G21 via F12: a row logged at ``step`` carries the rate of iteration ``step - 1``.
+
+    Adds ``expected_lr`` and ``lr_ok`` (relative tolerance) to every metrics row (narrow).
+    """
+    from ..functions.vecmath import lr_schedule
+
+    expected = lr_schedule(F.col("step") - 1, a_max, a_min, warmup, cycle)
+    return metrics.withColumn("expected_lr", expected).withColumn(
+        "lr_ok", F.abs(F.col("learning_rate") - F.col("expected_lr")) <= F.lit(rel_tol) * F.abs(F.col("expected_lr"))
+    )
