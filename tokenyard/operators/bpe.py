@@ -238,28 +238,47 @@ def _train(docs, vocab_size, specials, text_col, candidates, checkpoint_every, p
                        one_by_one, incremental)
 
 
+PAIR_KEYS = ["left", "right"]
+
+
+def _current_counts(base: DataFrame, acc: DataFrame) -> DataFrame:
+    """Pair counts = ``base`` + accumulated changes ``acc``.
+
+    Both tables are hash-partitioned on the pair with the same number of partitions (the loop pins
+    it), so this full outer join (a hash join built on the small ``acc``) shuffles neither side.
+    """
+    j = base.join(acc.hint("shuffle_hash"), PAIR_KEYS, "full_outer")
+    n = F.coalesce(F.col("n"), F.lit(0)) + F.coalesce(F.col("dn"), F.lit(0))
+    return j.select("left", "right", n.alias("n")).filter(F.col("n") > 0)
+
+
 def _rounds(spark, words, counted, vocab, merges, specials, vocab_size, candidates, checkpoint_every, one_by_one,
             incremental):
-    pairs = pair_counts(words).persist() if incremental else None
     existing = {t.hex().upper() for t in vocab}
-    # Generations still cached: pairs of the previous round (read by this round's count update) and
-    # words of the previous round (read until this round's words are materialized, at the latest by
-    # the next round's first action).
-    old_pairs: list[DataFrame] = []
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = acc = None
+    if incremental:
+        # base: pair counts, hash-partitioned on the pair; acc: the changes since base was built.
+        base = pair_counts(words).persist()
+        acc = spark.createDataFrame([], "left string, right string, dn long").repartition(parts, *PAIR_KEYS)
+    # Generations still cached: the change table of the previous round (read by this round's update)
+    # and words of the previous round (read until this round's words are materialized, at the latest
+    # by the next round's first action).
+    old_acc: list[DataFrame] = []
     old_words: list[DataFrame] = [] if counted is words else [counted]
     rounds = 0
     while len(vocab) < vocab_size:
         budget = vocab_size - len(vocab)
         k = 1 if one_by_one else max(1, min(candidates, budget))
         if incremental:
-            top = [(r.left, r.right, int(r.n), 0) for r in top_pairs(pairs, k).collect()]
+            top = [(r.left, r.right, int(r.n), 0) for r in top_pairs(_current_counts(base, acc), k).collect()]
         elif k == 1:
             top = [(r.left, r.right, int(r.n), 0) for r in top_pairs(pair_counts(words), 1).collect()]
         else:
             top = ranked_candidates(words, k)
-        for df in old_pairs:
+        for df in old_acc:
             df.unpersist()
-        old_pairs = []
+        old_acc = []
         while len(old_words) > 1:
             old_words.pop(0).unpersist()
         if not top:
@@ -280,20 +299,25 @@ def _rounds(spark, words, counted, vocab, merges, specials, vocab_size, candidat
         nxt_words = words.select(merge_pairs(F.col("toks"), committed).alias("toks"), "freq").filter(
             F.instr("toks", "||") > 0
         )
-        nxt_pairs = None
+        nxt_acc = None
         if incremental:
-            delta = pair_deltas(words, committed)
-            nxt_pairs = pairs.unionByName(delta).groupBy("left", "right").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
+            delta = pair_deltas(words, committed).withColumnRenamed("n", "dn")
+            nxt_acc = acc.unionByName(delta).groupBy(*PAIR_KEYS).agg(F.sum("dn").alias("dn")).filter(F.col("dn") != 0)
         if rounds % checkpoint_every == 0:
             # Reliable checkpoints into the shared checkpoint folder cut the lineage.
             nxt_words = nxt_words.checkpoint(eager=True)
             if incremental:
-                nxt_pairs = nxt_pairs.checkpoint(eager=True)
+                # Fold the changes into a new base (one shuffle every checkpoint_every rounds).
+                folded = _current_counts(base, nxt_acc).repartition(parts, *PAIR_KEYS).checkpoint(eager=True)
+                base.unpersist()
+                base = folded.persist()
+                old_acc.append(acc)
+                acc = nxt_acc = spark.createDataFrame([], "left string, right string, dn long").repartition(parts, *PAIR_KEYS)
         old_words.append(words)
         words = nxt_words.persist()
-        if incremental:
-            old_pairs.append(pairs)
-            pairs = nxt_pairs.persist()
-    for df in old_pairs + old_words + [words, counted] + ([pairs] if incremental else []):
+        if incremental and nxt_acc is not acc:
+            old_acc.append(acc)
+            acc = nxt_acc.persist()
+    for df in old_acc + old_words + [words, counted] + ([base, acc] if incremental else []):
         df.unpersist()
     return BpeModel(vocab, merges, specials, rounds)
