@@ -61,10 +61,14 @@ def split_special(text: Column | str, specials: Sequence[str] | None) -> Column:
     text = _col(text)
     if not specials:
         return F.array(text)
+    # Most texts hold no special at all: a substring test spares them the regex scan and the split.
+    has_special = F.lit(False)
+    for sp in specials:
+        has_special = has_special | (F.instr(text, sp) > 0)
     marked = F.regexp_replace(text, special_alternation(specials), _SENTINEL + "$1" + _SENTINEL)
     # A text that already holds the sentinel (a Unicode noncharacter) would be cut wrongly: fail loudly.
     guarded = F.when(F.instr(text, _SENTINEL) > 0, F.raise_error(F.lit("text contains U+FDD0"))).otherwise(marked)
-    return F.split(guarded, _SENTINEL, -1)
+    return F.when(has_special, F.split(guarded, _SENTINEL, -1)).otherwise(F.array(text))
 
 
 def is_special(segment: Column | str, specials: Sequence[str] | None) -> Column:
