@@ -25,9 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.pairs import merge_pairs
-from ..functions.text import token_array
 from ..session import ensure_checkpoint_dir, sql_conf
-from .counts import pair_counts, pretoken_counts, top_pairs, word_tokens
+from .counts import pair_counts, pair_occurrences, pretoken_counts, top_pairs, word_tokens
 
 VOCAB_SCHEMA = T.StructType(
     [T.StructField("token_id", T.IntegerType(), False), T.StructField("token", T.BinaryType(), False)]
@@ -74,13 +73,10 @@ def ranked_candidates(words: DataFrame, k: int) -> list[tuple[str, str, int, int
     neighbour sum). For small word tables one such pass beats separate count and bound jobs.
     """
     a, i = F.col("a"), F.col("i")
-    occ = (
-        words.select("freq", token_array("toks").alias("a"))
-        .select("freq", "a", F.explode(F.sequence(F.lit(0), F.size(a) - 2)).alias("i"))
-    )
+    occ = pair_occurrences(words)
     trip = occ.select(
-        a[i].alias("left"),
-        a[i + 1].alias("right"),
+        "left",
+        "right",
         "freq",
         F.explode(
             F.array(
@@ -139,10 +135,8 @@ def neighbour_bounds(words: DataFrame, pairs: list[tuple[str, str]]) -> dict[tup
     keys = [f"{l} {r}" for l, r in pairs]  # a handful of literals: an in-set test, no join
     a, i = F.col("a"), F.col("i")
     occ = (
-        words.filter(contains_any_pair(F.col("toks"), pairs))
-        .select("freq", token_array("toks").alias("a"))
-        .select("freq", "a", F.explode(F.sequence(F.lit(0), F.size(a) - 2)).alias("i"))
-        .select("freq", "a", "i", F.concat_ws(" ", a[i], a[i + 1]).alias("key"))
+        pair_occurrences(words.filter(contains_any_pair(F.col("toks"), pairs)))
+        .select("freq", "a", "i", F.concat_ws(" ", "left", "right").alias("key"))
         .filter(F.col("key").isin(keys))
     )
     nb = occ.select(
@@ -162,19 +156,12 @@ def neighbour_bounds(words: DataFrame, pairs: list[tuple[str, str]]) -> dict[tup
 def pair_deltas(words: DataFrame, committed: list[tuple[str, str]]) -> DataFrame:
     """Count changes caused by applying ``committed``: -freq for the pairs of every affected word
     before the merges, +freq for its pairs after. Only affected words are exploded."""
-    from ..functions.pairs import adjacent_pairs, contains_any_pair
+    from ..functions.pairs import contains_any_pair
 
-    hit = words.filter(contains_any_pair(F.col("toks"), committed))
-    before = hit.select((-F.col("freq")).alias("d"), F.explode(adjacent_pairs(token_array("toks"))).alias("p"))
-    after = hit.select(
-        F.col("freq").alias("d"), F.explode(adjacent_pairs(token_array(merge_pairs(F.col("toks"), committed)))).alias("p")
-    )
-    return (
-        before.unionByName(after)
-        .groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right"))
-        .agg(F.sum("d").alias("n"))
-        .filter(F.col("n") != 0)
-    )
+    hit = words.filter(contains_any_pair(F.col("toks"), committed)).withColumn("neg", -F.col("freq"))
+    before = pair_occurrences(hit, keep=("neg",)).select(F.col("neg").alias("d"), "left", "right")
+    after = pair_occurrences(hit, merge_pairs(F.col("toks"), committed)).select(F.col("freq").alias("d"), "left", "right")
+    return before.unionByName(after).groupBy("left", "right").agg(F.sum("d").alias("n")).filter(F.col("n") != 0)
 
 
 def train_bpe(

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pairs import adjacent_pairs
 from ..functions.text import pretokenize, token_array, token_string
 from .segments import special_segments
 
@@ -59,15 +58,27 @@ def word_tokens(word_freq: DataFrame) -> DataFrame:
     )
 
 
-def pair_counts(words: DataFrame) -> DataFrame:
-    """A2: ``(left, right, n)`` frequency-weighted overlapping adjacent pair counts (hex tokens)."""
+def pair_occurrences(words: DataFrame, toks: F.Column | None = None, keep=("freq",)) -> DataFrame:
+    """F4 as rows: ``(*keep, a, i, left, right)``, one per adjacent pair (overlapping: ``aaa`` -> 2).
+
+    ``explode(sequence)`` with plain array indexing stays inside whole-stage codegen (a lambda over
+    the array would be interpreted); arrays shorter than 2 yield nothing (``sequence`` would count down).
+    """
+    a, i = F.col("a"), F.col("i")
+    arr = token_array(F.col("toks") if toks is None else toks)
+    idx = F.when(F.size(a) >= 2, F.sequence(F.lit(0), F.size(a) - 2)).otherwise(F.array().cast("array<int>"))
     return (
-        words.select("freq", F.explode(adjacent_pairs(token_array("toks"))).alias("p"))
-        .groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right"))
-        .agg(F.sum("freq").alias("n"))
+        words.select(*keep, arr.alias("a"))
+        .select(*keep, "a", F.explode(idx).alias("i"))
+        .select(*keep, "a", "i", a[i].alias("left"), a[i + 1].alias("right"))
     )
 
 
+def pair_counts(words: DataFrame) -> DataFrame:
+    """A2: ``(left, right, n)`` frequency-weighted overlapping adjacent pair counts (hex tokens)."""
+    return pair_occurrences(words).groupBy("left", "right").agg(F.sum("freq").alias("n"))
+
+
 def best_pair(pairs: DataFrame) -> DataFrame:
     """A3: one row, highest count; ties -> greatest (left, right) in raw byte order."""
     best = pairs.agg(F.max(F.struct("n", "left", "right")).alias("b"))
