@@ -177,9 +177,10 @@ SELECT doc_id, CAST(n_tokens AS BIGINT) AS n_tokens,
        CAST(coalesce(sum(n_tokens) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
 FROM per_doc"""
     L, S = P.WINDOW_LEN, P.WINDOW_STRIDE
+    assert S == L, "the windows oracle groups the stream into consecutive, non-overlapping windows"
     q["lm_windows_all"] = f"""WITH {STREAM},
-xs AS (SELECT pos // {S} AS k, string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) AS x FROM stream WHERE pos % {S} < {L} GROUP BY 1),
-ys AS (SELECT (pos - 1) // {S} AS k, string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) AS y FROM stream WHERE pos >= 1 AND (pos - 1) % {S} < {L} GROUP BY 1)
+xs AS (SELECT pos // {S} AS k, string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) AS x FROM stream GROUP BY 1),
+ys AS (SELECT (pos - 1) // {S} AS k, string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) AS y FROM stream WHERE pos >= 1 GROUP BY 1)
 SELECT CAST(k * {S} AS BIGINT) AS start, x, y FROM xs JOIN ys USING (k), total WHERE k * {S} <= total.n - {L} - 1"""
     h = hash62_sql("sample_id", P.SAMPLE_SEED)
     q["lm_windows_sampled"] = f"""WITH {STREAM},
