@@ -1,18 +1,21 @@
 """A4/A5: exact byte-pair learner in few distributed rounds.
 
-Each round is two small Spark jobs over the persisted word table ``(toks, freq)``:
-
-1. pair counts (A2) and the K best candidates in learner order (T1);
-2. for those K candidates only, an upper bound on the count of every pair a merge could *create*:
-   for each occurrence of ``(a, b)`` in ``x a b y`` add ``freq`` to ``(pair, L, x)`` and to
-   ``(pair, R, y)``; the bound of a candidate is the largest such sum.
+The persisted word table ``(toks, freq)`` holds distinct words with at least two tokens. A round
+finds the K best pairs in learner order (count, then greatest bytes) and, for candidates that may
+be committed, an upper bound on the count of every pair a merge could *create*: for each
+occurrence of ``(a, b)`` in ``x a b y``, ``freq`` is added to ``(pair, L, x)`` and ``(pair, R, y)``;
+the bound is the largest such sum.
 
 The driver then commits the longest prefix of candidates that one-by-one learning would also pick:
-the first always; a later one only when no committed merge can overlap its occurrences (so its
-count did not change: a merge of ``(a, b)`` touches only pairs ``(x, a)`` and ``(b, y)``), its merged bytes are not an existing or just-made token (merges are keyed by
-bytes, a duplicate would feed other pairs' counts) and its count is strictly above every bound so far
-(so no newly created pair can overtake or tie it). The committed merges are applied as a chain of
-``replace`` calls in one projection. Driver state is the merge list plus K rows per round.
+the first always; a later one only when no committed merge can overlap its occurrences (a merge
+of ``(a, b)`` touches only pairs ``(x, a)`` and ``(b, y)``, so its count did not change), its merged
+bytes are not an existing or just-made token (merges are keyed by bytes; a duplicate would feed
+other pairs' counts) and its count is strictly above every bound so far (so no newly created pair
+can overtake or tie it). The committed merges are applied as a chain of ``replace`` calls in one
+projection. Driver state is the merge list plus K rows per round.
+
+Two strategies produce the counts (see ``train_bpe``): a one-job recount for small word tables, and
+an incremental base + change table for large ones.
 """
 
 from __future__ import annotations
