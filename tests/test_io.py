@@ -114,6 +114,12 @@ def test_run_logs_round_trip(spark, tmp_out):
     assert json.loads(idx.configuration) == {k: json.loads(idx.configuration)[k] for k in sorted(json.loads(idx.configuration))}
     conf = read_run_config(spark, os.path.join(run_dir, "config")).first()
     assert conf.run_name == "myrun" and conf.lr == 0.001
+    from tokenyard.operators.runs import runs_join
+
+    metrics = read_metrics(spark, os.path.join(run_dir, "metrics"), with_run=False).withColumn("run_name", F.lit("myrun"))
+    joined = runs_join(read_run_index(spark, os.path.join(tmp_out, "runs", "index")), metrics,
+                       read_run_config(spark, os.path.join(run_dir, "config"))).orderBy("step").collect()
+    assert [r.step for r in joined] == [100, 200] and joined[0].d_model == 512 and joined[0].metrics_path.endswith("metrics")
 
 
 def test_vocab_table_ops(spark):

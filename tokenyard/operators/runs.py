@@ -130,3 +130,15 @@ def audit_learning_rate(metrics: DataFrame, a_max: float, a_min: float, warmup:
     return metrics.withColumn("expected_lr", expected).withColumn(
         "lr_ok", F.abs(F.col("learning_rate") - F.col("expected_lr")) <= F.lit(rel_tol) * F.abs(F.col("expected_lr"))
     )
+
+
+def runs_join(index: DataFrame, metrics: DataFrame, config: DataFrame | None = None, run_col: str = "run_name") -> DataFrame:
+    """Metrics rows with their run's index entry (and parsed configuration when given).
+
+    The index and configuration hold one row per run; they are joined to the (large) metrics side on
+    the run name, so Spark broadcasts them when their size estimate is small and shuffles otherwise.
+    """
+    out = metrics.join(index.drop("configuration"), run_col)
+    if config is not None:
+        out = out.join(config.drop("started_at"), run_col, "left")
+    return out
