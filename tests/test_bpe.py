@@ -81,3 +81,16 @@ def test_commit_prefix_rules():
     # duplicate bytes of an existing token: committed alone when first, stop before otherwise
     assert commit_prefix([("61", "62", 10, 0), ("63", "64", 9, 0)], {"6162"}) == [("61", "62")]
     assert commit_prefix([("61", "62", 10, 0), ("63", "64", 9, 0)], {"6364"}) == [("61", "62")]
+
+
+def test_random_mixed_corpora_with_specials_both_modes(spark):
+    rng = random.Random(11)
+    pieces = ["the", " the", "th", "e", "é", "ß", "12", " ", "  ", "\n", "\n\n", ",", "'s", "aa", "ab", "ba", DEFAULT_SPECIAL]
+    for trial in range(3):
+        texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(10, 60))) for _ in range(4)]
+        target = 256 + 1 + 18
+        want = learn(texts, target, [DEFAULT_SPECIAL])
+        for incremental in (False, True):
+            got = train_bpe(_docs(spark, texts), target, [DEFAULT_SPECIAL], candidates=8, incremental=incremental,
+                            checkpoint_every=2).merges
+            assert got == want, (trial, incremental, texts)
