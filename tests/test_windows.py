@@ -76,3 +76,33 @@ def test_sampling_repeatable_across_partitioning(spark):
     c = sample_starts(spark, 1000, 10**9, 64, seed=12).collect()
     assert sorted(map(tuple, a)) != sorted(map(tuple, c))
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_sampled_windows_read_only_their_shards(spark, tmp_out):
+    import os
+
+    from tokenyard.sinks.tokens import write_tokens
+    from tokenyard.sources.tokens import read_token_blocks
+
+    td, n = _docs(spark, [50, 70, 80])
+    path = os.path.join(tmp_out, "blocks")
+    assert write_tokens(td, path, block_size=8, halo=8, shard_blocks=4) == n
+    assert len([d for d in os.listdir(path) if d.startswith("shard=")]) == -(-n // (8 * 4))
+    blocks = read_token_blocks(spark, path)
+    starts = spark.createDataFrame([(0, 5), (1, 190)], "sample_id long, start long")
+    w = lm_windows_sampled(blocks, starts, 2, 8, 7, shard_blocks=4)
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    import re
+
+    assert re.search(r"PartitionFilters: \[shard#\d+ IN \(0,5\)\]", plan), plan
+    got = {r.sample_id: list(r.x) for r in w.collect()}
+    assert got == {0: list(range(5, 12)), 1: list(range(190, 197))}
+
+
+def test_window_longer_than_halo_is_an_error(spark):
+    import pytest
+
+    td, n = _docs(spark, [40])
+    blocks = token_blocks(td, block_size=8, halo=4)
+    with pytest.raises(Exception):
+        lm_windows_all(blocks, n, 7, 1).collect()

@@ -42,8 +42,17 @@ def global_offsets(
     )
 
 
-def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1024, order_col: str = "doc_id") -> DataFrame:
-    """K2 layout: ``(block_id, start, ids ARRAY<INT>, tail ARRAY<INT>)``.
+# Blocks per shard of a written token dataset (4096 blocks of 64 Ki tokens = 256 Mi tokens per shard).
+SHARD_BLOCKS = 4096
+
+
+def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1024, order_col: str = "doc_id",
+                 shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
+    """K2 layout: ``(shard, block_id, start, ids ARRAY<INT>, tail ARRAY<INT>)``.
+
+    ``shard = block_id div shard_blocks`` is the partition column of the written table: the pieces are
+    shuffled by shard (the only shuffle of token data besides the offset join), so every shard is
+    written by one task, and a reader that needs a few blocks prunes to their shard folders.
 
     ``token_docs`` should be a written table (K2 input): it is read twice, for sizes and for ids.
     Each document is cut into the pieces that fall into each block (``sequence`` over the blocks it
@@ -85,9 +94,17 @@ def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1
         F.transform(blocks, main_piece),
         F.filter(F.transform(blocks, tail_piece), lambda p: (p.block_id >= 0) & (F.size(p.piece) > 0)),
     )
-    exploded = offs.select(F.explode(pieces).alias("p")).select("p.*")
-    grouped = exploded.groupBy("block_id").agg(F.array_sort(F.collect_list(F.struct("kind", "p0", "piece"))).alias("parts"))
+    exploded = (
+        offs.select(F.explode(pieces).alias("p"))
+        .select("p.*")
+        .withColumn("shard", F.floor(F.col("block_id") / F.lit(shard_blocks)).cast("long"))
+        .repartition("shard")  # the grouping below reuses this partitioning
+    )
+    grouped = exploded.groupBy("shard", "block_id").agg(
+        F.array_sort(F.collect_list(F.struct("kind", "p0", "piece"))).alias("parts")
+    )
     return grouped.select(
+        "shard",
         "block_id",
         (F.col("block_id") * B).alias("start"),
         F.flatten(F.transform(F.filter("parts", lambda p: p.kind == 0), lambda p: p.piece)).alias("ids"),
@@ -96,9 +113,16 @@ def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1
 
 
 def _window(ids, tail, offset, length: int):
-    """``length`` tokens from 0-based ``offset`` in ``ids`` continued into ``tail`` (small slices only)."""
+    """``length`` tokens from 0-based ``offset`` in ``ids`` continued into ``tail`` (small slices only).
+
+    Windows are only asked for where the stream holds them, so a short one means the dataset was
+    written with a halo smaller than the window: that is an error, never a silently short window.
+    """
     head = F.slice(ids, (offset + 1).cast("int"), length)
-    return F.concat(head, F.slice(tail, 1, F.lit(length) - F.size(head)))
+    w = F.concat(head, F.slice(tail, 1, F.lit(length) - F.size(head)))
+    return F.when(F.size(w) == length, w).otherwise(
+        F.raise_error(F.lit(f"window of {length} tokens needs a halo of at least {length}"))
+    )
 
 
 def _slices(start_in_block, length: int, ids=None, tail=None):
@@ -136,12 +160,24 @@ def sample_starts(spark, n_samples: int, total_tokens: int, length: int, seed: i
     )
 
 
-def lm_windows_sampled(blocks: DataFrame, starts: DataFrame, n_samples: int, block_size: int, length: int) -> DataFrame:
-    """``(sample_id, start, x, y)`` for given starts. The sample side is broadcast when its known
-    row count is small, so the block table is streamed once without a shuffle; beyond the limit both
-    sides are shuffled on ``block_id``."""
+def lm_windows_sampled(blocks: DataFrame, starts: DataFrame, n_samples: int, block_size: int, length: int,
+                       shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
+    """``(sample_id, start, x, y)`` for given starts.
+
+    The sample side is broadcast when its known row count is small, so the block table is streamed
+    without a shuffle; its scan is first restricted to the shards the samples fall into (partition
+    pruning on a written dataset: a batch of windows reads a few shard folders, not the corpus).
+    Beyond the limit both sides are shuffled on ``block_id``.
+    """
     s = starts.select("sample_id", F.col("start").alias("s"), F.floor(F.col("start") / block_size).cast("long").alias("block_id"))
-    side = F.broadcast(s) if n_samples <= BROADCAST_SAMPLES_LIMIT else s
+    if n_samples <= BROADCAST_SAMPLES_LIMIT:
+        if "shard" in blocks.columns:
+            # At most n_samples values (a parameter), usually far fewer: the shards to read.
+            shards = [r[0] for r in s.select(F.floor(F.col("block_id") / F.lit(shard_blocks)).cast("long")).distinct().collect()]
+            blocks = blocks.filter(F.col("shard").isin(shards))
+        side = F.broadcast(s)
+    else:
+        side = s
     j = blocks.join(side, "block_id")
     x, y = _slices(F.col("s") - F.col("start"), length)
     return j.select("sample_id", F.col("s").alias("start"), x.alias("x"), y.alias("y"))

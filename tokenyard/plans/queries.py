@@ -133,12 +133,12 @@ def q_token_count_by_lang(spark, sf_dir):
 _TABLES: dict[tuple, DataFrame] = {}
 
 
-def _memo_table(spark, sf_dir, name, build):
+def _memo_table(spark, sf_dir, name, build, **write):
     """A derived table written once to the shared checkpoint folder and reused by later queries."""
     key = (sf_dir, spark.sparkContext.applicationId, name)
     df = _TABLES.get(key)
     if df is None:
-        df = materialize(build(), name)
+        df = materialize(build(), name, **write)
         _TABLES[key] = df
     return df
 
@@ -159,7 +159,8 @@ def q_global_offsets(spark, sf_dir):
 
 def _blocks(spark, sf_dir):
     blocks = _memo_table(
-        spark, sf_dir, "token_blocks", lambda: windows.token_blocks(_dataset(spark, sf_dir), P.BLOCK_SIZE, P.HALO)
+        spark, sf_dir, "token_blocks", lambda: windows.token_blocks(_dataset(spark, sf_dir), P.BLOCK_SIZE, P.HALO),
+        partition_by=["shard"], sort_by=["block_id"],
     )
     # The count comes from the narrow n_tokens column of the dataset, not from the token arrays.
     total = _dataset(spark, sf_dir).agg(F.sum("n_tokens").cast("long")).first()[0] or 0

@@ -15,12 +15,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing, e.g., Python encoding)
     and lets several later jobs share one computation.
     """
     path = scratch_path(df.sparkSession, name)
-    write_parquet(df, path)
+    write_parquet(df.sortWithinPartitions(*sort_by) if sort_by else df, path, partition_by=partition_by)
     return df.sparkSession.read.parquet(path)

@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.windows import token_blocks
+from ..operators.windows import SHARD_BLOCKS, token_blocks
 from .tables import materialize
 
 
-def write_tokens(token_docs: DataFrame, path: str, block_size: int = 1 << 16, halo: int = 1024, order_col: str = "doc_id") -> int:
+def write_tokens(token_docs: DataFrame, path: str, block_size: int = 1 << 16, halo: int = 1024, order_col: str = "doc_id",
+                 shard_blocks: int = SHARD_BLOCKS) -> int:
     """Encode-once dataset writer: token documents -> Parquet blocks at ``path``; returns the count.
 
     ``token_docs`` is written to the shared checkpoint folder first, so the Python encoder runs once
     however many passes the block layout needs.
     """
     docs = materialize(token_docs.select(order_col, "ids", F.size("ids").cast("long").alias("n_tokens")), "token_docs")
-    blocks = token_blocks(docs, block_size, halo, order_col)
-    blocks.write.mode("overwrite").parquet(path)
+    blocks = token_blocks(docs, block_size, halo, order_col, shard_blocks)
+    # One folder per shard, rows sorted by block inside each file (tight row-group statistics).
+    blocks.sortWithinPartitions("block_id").write.mode("overwrite").partitionBy("shard").parquet(path)
     total = docs.agg(F.sum("n_tokens").cast("long")).first()[0] or 0
     if total == 0:
         raise ValueError("input produced no tokens")
