@@ -106,3 +106,35 @@ def test_window_longer_than_halo_is_an_error(spark):
     blocks = token_blocks(td, block_size=8, halo=4)
     with pytest.raises(Exception):
         lm_windows_all(blocks, n, 7, 1).collect()
+
+
+def test_global_offsets_with_sampled_range_bounds(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i * 7 + rng.randint(0, 6), rng.randint(0, 50)) for i in range(20000)]
+    df = spark.createDataFrame(rows, "doc_id long, n long").repartition(13)
+    got = sorted((r.doc_id, r.offset) for r in global_offsets(df, "doc_id", "n", partitions=8).collect())
+    acc, want = 0, []
+    for d, n in sorted(rows):
+        want.append((d, acc))
+        acc += n
+    assert got == want
+
+
+def test_blocks_from_written_table_with_many_docs(spark, tmp_out):
+    import os
+    import random
+
+    rng = random.Random(5)
+    rows, nxt = [], 0
+    for d in range(20000):
+        k = rng.randint(0, 12)
+        rows.append((d, list(range(nxt, nxt + k))))
+        nxt += k
+    path = os.path.join(tmp_out, "docs")
+    spark.createDataFrame(rows, "doc_id long, ids array<int>").repartition(7).write.parquet(path)
+    td = spark.read.parquet(path)
+    blocks = token_blocks(td, block_size=64, halo=8).orderBy("block_id").collect()
+    assert [t for b in blocks for t in b.ids] == list(range(nxt))
+    assert all(len(b.ids) == 64 for b in blocks[:-1])

@@ -30,7 +30,10 @@ def global_offsets(
     range) are prefix-summed and broadcast back.
     """
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, order_col).withColumn("_rng", F.spark_partition_id())
+    # Persisted so that both branches below see one range assignment: two executions of a range
+    # exchange may sample different bounds. (Narrow rows; a lost block is recomputed from the same
+    # shuffle, whose partitioner is fixed.)
+    ranged = df.repartitionByRange(parts, order_col).withColumn("_rng", F.spark_partition_id()).persist()
     before = Window.partitionBy("_rng").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", F.coalesce(F.sum(size_col).over(before), F.lit(0)).cast("long"))
     totals = ranged.groupBy("_rng").agg(F.sum(size_col).cast("long").alias("_tot"))
