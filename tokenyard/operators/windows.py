@@ -47,15 +47,28 @@ def global_offsets(
 
 # Blocks per shard of a written token dataset (4096 blocks of 64 Ki tokens = 256 Mi tokens per shard).
 SHARD_BLOCKS = 4096
+# Largest number of blocks one task groups and writes as one file (256 blocks of 64 Ki ids = 64 MiB).
+MAX_SUB_SHARD_BLOCKS = 256
+
+
+def _sub_shard_blocks(total_blocks: int, shard_blocks: int, parallelism: int) -> int:
+    """Blocks per task-sized sub-shard: about two sub-shards per core on small data, at most
+    MAX_SUB_SHARD_BLOCKS on large data (few, large files); a power of two that divides a shard."""
+    want = max(1, min(MAX_SUB_SHARD_BLOCKS, shard_blocks, total_blocks // max(1, 2 * parallelism)))
+    sub = 1
+    while sub * 2 <= want and shard_blocks % (sub * 2) == 0:
+        sub *= 2
+    return sub
 
 
 def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1024, order_col: str = "doc_id",
                  shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
     """K2 layout: ``(shard, block_id, start, ids ARRAY<INT>, tail ARRAY<INT>)``.
 
-    ``shard = block_id div shard_blocks`` is the partition column of the written table: the pieces are
-    shuffled by shard (the only shuffle of token data besides the offset join), so every shard is
-    written by one task, and a reader that needs a few blocks prunes to their shard folders.
+    ``shard = block_id div shard_blocks`` is the partition column of the written table. The pieces are
+    shuffled by sub-shard (a power-of-two run of blocks inside one shard; the only shuffle of token
+    data besides the offset join), so a task writes whole sub-shards as few large files, and a
+    reader that needs a few blocks prunes to their shard folders.
 
     ``token_docs`` should be a written table (K2 input): it is read twice, for sizes and for ids.
     Each document is cut into the pieces that fall into each block (``sequence`` over the blocks it
@@ -71,7 +84,9 @@ def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1
     size = F.col("n_tokens") if "n_tokens" in token_docs.columns else F.size("ids").cast("long")
     sized = token_docs.select(order_col, size.alias("n_tokens")).filter("n_tokens > 0").persist()
     narrow = global_offsets(sized, order_col, "n_tokens").persist()
-    n_docs = narrow.count()
+    stats = narrow.agg(F.count(F.lit(1)).alias("d"), F.sum("n_tokens").alias("t")).first()
+    n_docs, total = int(stats.d), int(stats.t or 0)
+    sub = _sub_shard_blocks(-(-total // B), shard_blocks, token_docs.sparkSession.sparkContext.defaultParallelism)
     side = F.broadcast(narrow) if n_docs <= BROADCAST_OFFSETS_LIMIT else narrow
     offs = token_docs.select(order_col, "ids").join(side, order_col)
     sized.unpersist()
@@ -101,9 +116,10 @@ def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1
         offs.select(F.explode(pieces).alias("p"))
         .select("p.*")
         .withColumn("shard", F.floor(F.col("block_id") / F.lit(shard_blocks)).cast("long"))
-        .repartition("shard")  # the grouping below reuses this partitioning
+        .withColumn("_sub", F.floor(F.col("block_id") / F.lit(sub)).cast("long"))
+        .repartition("_sub")  # whole sub-shards per task; the grouping below reuses this partitioning
     )
-    grouped = exploded.groupBy("shard", "block_id").agg(
+    grouped = exploded.groupBy("_sub", "shard", "block_id").agg(
         F.array_sort(F.collect_list(F.struct("kind", "p0", "piece"))).alias("parts")
     )
     return grouped.select(
