@@ -65,3 +65,13 @@ def test_audit_learning_rate_one_step_behind(spark):
     m = spark.createDataFrame([(100, 0.00099), (101, 0.00099)], "step long, learning_rate double")
     got = {r.step: r.lr_ok for r in audit_learning_rate(m, 1e-3, 1e-4, 100, 10000).collect()}
     assert got == {100: True, 101: False}
+
+
+def test_progress_chunk_grows_with_span(spark):
+    from tokenyard.operators.runs import MAX_CHUNKS_PER_RUN, progress_chunk
+
+    small = spark.createDataFrame([("a", 1), ("a", 5000)], "run_name string, step long")
+    assert progress_chunk(small) == 4096
+    wide = spark.createDataFrame([("a", 0), ("a", 4096 * MAX_CHUNKS_PER_RUN * 3)], "run_name string, step long")
+    c = progress_chunk(wide)
+    assert (4096 * MAX_CHUNKS_PER_RUN * 3) // c < MAX_CHUNKS_PER_RUN and c % 4096 == 0

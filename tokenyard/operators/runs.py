@@ -64,11 +64,29 @@ def minmax_project(points: DataFrame, extents: DataFrame, n_runs: int, x_col: st
     return j.select(run_col, "series", x_col, px.alias("px"), py.alias("py"))
 
 
-def run_progress(metrics: DataFrame, run_col: str = "run_name", chunk: int = 4096) -> DataFrame:
+# Chunks per run kept by run_progress's carry window (rows of the per-chunk summary per run).
+MAX_CHUNKS_PER_RUN = 1 << 20
+
+
+def progress_chunk(metrics: DataFrame, run_col: str = "run_name", floor: int = 4096) -> int:
+    """Steps per chunk: at least ``floor``, and wide enough that the widest run has at most
+    MAX_CHUNKS_PER_RUN chunks (so neither level sorts more than about a million rows per group)."""
+    span = metrics.groupBy(run_col).agg((F.max("step") - F.min("step")).alias("s")).agg(F.max("s")).first()[0] or 0
+    chunk = floor
+    while span // chunk >= MAX_CHUNKS_PER_RUN:
+        chunk *= 2
+    return chunk
+
+
+def run_progress(metrics: DataFrame, run_col: str = "run_name", chunk: int | None = None) -> DataFrame:
     """Per row, tokens/s since the previous row of the run and the best validation loss so far.
 
-    Two levels (see module doc). ``step`` must be unique within a run.
+    Two levels (see module doc). ``step`` must be unique within a run. ``chunk`` (steps per chunk)
+    defaults to ``progress_chunk``: a run holding a third of all rows is cut into at most about a
+    million chunks of at most about a million rows each.
     """
+    if chunk is None:
+        chunk = progress_chunk(metrics, run_col)
     m = metrics.select(run_col, "step", "elapsed_seconds", "tokens_seen", "val_loss").withColumn(
         "_chunk", F.floor(F.col("step") / F.lit(chunk)).cast("long")
     )
