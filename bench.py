@@ -29,7 +29,13 @@ def force(df):
 
 
 def main():
-    spark = local_session(CPUS, shuffle_partitions=int(CPUS) if CPUS.isdigit() else 8, app="tokenyard-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # Stage and task times for later study, in a fresh scratch folder (no UI, no server).
+        import tempfile
+
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": tempfile.mkdtemp(prefix="tokenyard-events-")}
+    spark = local_session(CPUS, shuffle_partitions=int(CPUS) if CPUS.isdigit() else 8, app="tokenyard-bench", extra=extra)
     times: dict[str, float] = {}
 
     def timed(name, fn):

@@ -14,10 +14,14 @@ TABLES = (
 )
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tokenyard") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tokenyard",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A local session as used by tests and the bench. On a cluster, build the session there instead."""
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
