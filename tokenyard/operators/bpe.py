@@ -20,6 +20,7 @@ an incremental base + change table for large ones.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -67,33 +68,44 @@ def base_vocab(specials: Sequence[str] | None) -> list[bytes]:
     return vocab
 
 
-def ranked_candidates(words: DataFrame, k: int) -> list[tuple[str, str, int, int]]:
+# One recount round as one SQL statement over the word table's view: analysed once per round (a
+# chain of DataFrame calls would be re-analysed step by step, which costs more than the job itself
+# on small tables). Same computation as ``counts.pair_occurrences`` + neighbour sums.
+_ROUND_SQL = """
+WITH occ AS (
+  SELECT freq, a, i
+  FROM (SELECT freq, split(substring(toks, 2, length(toks) - 2), '\\\\|\\\\|', -1) AS a FROM {view})
+  LATERAL VIEW explode(sequence(0, size(a) - 2)) s AS i
+),
+trip AS (
+  SELECT a[i] AS left, a[i + 1] AS right, freq, nb.side AS side, nb.tok AS tok
+  FROM occ
+  LATERAL VIEW explode(array(
+    named_struct('side', 'L', 'tok', CASE WHEN i > 0 THEN a[i - 1] END),
+    named_struct('side', 'R', 'tok', CASE WHEN i + 2 < size(a) THEN a[i + 2] END))) t AS nb
+),
+per_nb AS (SELECT left, right, side, tok, sum(freq) AS c FROM trip GROUP BY left, right, side, tok),
+per_pair AS (
+  SELECT left, right, sum(CASE WHEN side = 'L' THEN c END) AS n, max(CASE WHEN tok IS NOT NULL THEN c END) AS bound
+  FROM per_nb GROUP BY left, right
+)
+SELECT left, right, n, bound FROM per_pair ORDER BY n DESC, left DESC, right DESC LIMIT {k}
+"""
+
+
+def ranked_candidates(words: DataFrame, k: int, view: str | None = None) -> list[tuple[str, str, int, int]]:
     """One job per round: the k best pairs with their neighbour bounds, ``(left, right, n, bound)``.
 
     Every pair occurrence emits its left and its right neighbour (null at a word edge), weighted by
     the word frequency. Summing per ``(pair, side, neighbour)`` and then per pair gives both the
     pair count (the sum of its left-side rows: one per occurrence) and the bound (the largest
     neighbour sum). For small word tables one such pass beats separate count and bound jobs.
+    ``words`` must hold words of at least two tokens.
     """
-    a, i = F.col("a"), F.col("i")
-    occ = pair_occurrences(words)
-    trip = occ.select(
-        "left",
-        "right",
-        "freq",
-        F.explode(
-            F.array(
-                F.struct(F.lit("L").alias("side"), F.when(i > 0, a[i - 1]).alias("tok")),
-                F.struct(F.lit("R").alias("side"), F.when(i + 2 < F.size(a), a[i + 2]).alias("tok")),
-            )
-        ).alias("nb"),
-    )
-    per_nb = trip.groupBy("left", "right", "nb.side", "nb.tok").agg(F.sum("freq").alias("c"))
-    per_pair = per_nb.groupBy("left", "right").agg(
-        F.sum(F.when(F.col("side") == "L", F.col("c"))).alias("n"),
-        F.max(F.when(F.col("tok").isNotNull(), F.col("c"))).alias("bound"),
-    )
-    rows = top_pairs(per_pair, k).collect()
+    spark = words.sparkSession
+    view = view or f"bpe_words_{uuid.uuid4().hex[:12]}"
+    words.createOrReplaceTempView(view)
+    rows = spark.sql(_ROUND_SQL.format(view=view, k=int(k))).collect()
     return [(r.left, r.right, int(r.n), int(r.bound or 0)) for r in rows]
 
 
@@ -246,6 +258,7 @@ def _rounds(spark, words, counted, vocab, merges, specials, vocab_size, candidat
             incremental):
     existing = {t.hex().upper() for t in vocab}
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    view = f"bpe_words_{uuid.uuid4().hex[:12]}"
     base = acc = None
     if incremental:
         # base: pair counts, hash-partitioned on the pair; acc: the changes since base was built.
@@ -265,7 +278,7 @@ def _rounds(spark, words, counted, vocab, merges, specials, vocab_size, candidat
         elif k == 1:
             top = [(r.left, r.right, int(r.n), 0) for r in top_pairs(pair_counts(words), 1).collect()]
         else:
-            top = ranked_candidates(words, k)
+            top = ranked_candidates(words, k, view)
         for df in old_acc:
             df.unpersist()
         old_acc = []
@@ -308,6 +321,7 @@ def _rounds(spark, words, counted, vocab, merges, specials, vocab_size, candidat
         if incremental and nxt_acc is not acc:
             old_acc.append(acc)
             acc = nxt_acc.persist()
+    spark.catalog.dropTempView(view)
     for df in old_acc + old_words + [words, counted] + ([base, acc] if incremental else []):
         df.unpersist()
     return BpeModel(vocab, merges, specials, rounds)
