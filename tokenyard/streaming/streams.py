@@ -2,9 +2,11 @@
 
 All three read a file source with an explicit schema and run with ``trigger(availableNow=True)``,
 so they process everything present and stop; the same code runs continuously with another trigger.
-Sinks write to shared storage (never the driver-memory sink): append files for the stateless encode,
-and ``foreachBatch`` overwrites of the full state table for the aggregates (file sinks only take
-append mode). Checkpoints live under the session's checkpoint folder, so a restarted query resumes.
+Sinks write to shared storage (never the driver-memory sink): append files for the stateless encode;
+for the aggregates, update mode, each micro-batch appending only the keys it changed, tagged with
+its epoch (a table of changes; the current state is the latest row per key, ``latest_state``). A
+retried epoch that appends twice writes identical rows, so reading stays exact. Checkpoints live
+under the session's checkpoint folder, so a restarted query resumes.
 """
 
 from __future__ import annotations
@@ -21,13 +23,21 @@ from ..operators.encode import encode
 from ..session import scratch_path
 
 
-def _overwrite_to(path: str):
-    def sink(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+def _append_changes(path: str):
+    def sink(batch: DataFrame, epoch: int) -> None:
+        batch.withColumn("_epoch", F.lit(epoch).cast("long")).write.mode("append").parquet(path)
 
     return sink
 
 
+def latest_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Current state from a table of changes: the row of the latest epoch per key (partial aggregate)."""
+    changes = spark.read.parquet(path)
+    values = [c for c in changes.columns if c not in keys and c != "_epoch"]
+    latest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "_epoch").alias("_v"))
+    return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+
+
 def _run(query_builder, name: str, spark: SparkSession) -> str:
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
@@ -60,19 +70,19 @@ def encode_stream(
 
 def count_stream(spark: SparkSession, source: DataFrame, specials: Sequence[str] | None = None,
                  text_col: str = "text") -> DataFrame:
-    """Running pre-token counts (state = distinct words), complete mode; returns the final table."""
+    """Running pre-token counts (state = distinct words), update mode; returns the current table."""
     counts = pretoken_counts(source, specials, text_col)
-    out = _run(lambda p: counts.writeStream.outputMode("complete").foreachBatch(_overwrite_to(p)), "count-stream", spark)
-    return spark.read.parquet(out)
+    out = _run(lambda p: counts.writeStream.outputMode("update").foreachBatch(_append_changes(p)), "count-stream", spark)
+    return latest_state(spark, out, ["word"])
 
 
 def metrics_stream(spark: SparkSession, source: DataFrame, run_col: str = "run_name") -> DataFrame:
-    """Latest and best values per run over a growing metrics log (complete mode)."""
+    """Latest and best values per run over a growing metrics log (update mode)."""
     agg = source.groupBy(run_col).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.max("step").alias("last_step"),
         F.max_by("train_loss", "step").alias("last_train_loss"),
         F.min("val_loss").alias("best_val_loss"),
     )
-    out = _run(lambda p: agg.writeStream.outputMode("complete").foreachBatch(_overwrite_to(p)), "metrics-stream", spark)
-    return spark.read.parquet(out)
+    out = _run(lambda p: agg.writeStream.outputMode("update").foreachBatch(_append_changes(p)), "metrics-stream", spark)
+    return latest_state(spark, out, [run_col])
