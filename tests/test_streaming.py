@@ -37,3 +37,18 @@ def test_metrics_stream(spark, tmp_out):
     r = metrics_stream(spark, file_stream(spark, folder, schema, max_files=1)).first()
     assert (r.n_rows, r.last_step) == (20, 200)
     assert abs(r.last_train_loss - 3.0) < 1e-12 and abs(r.best_val_loss - 2.0) < 1e-12
+
+
+def test_continuous_count_stream_handle(spark, tmp_out):
+    from tokenyard.streaming.streams import latest_state
+
+    folder = os.path.join(tmp_out, "docs2")
+    _write_parts(spark, folder, [(i, f"w{i % 3} x") for i in range(9)], "doc_id long, text string", 3)
+    schema = spark.read.parquet(folder).schema
+    q, path = count_stream(spark, file_stream(spark, folder, schema, max_files=1), trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.word: r.freq for r in latest_state(spark, path, ["word"]).collect()}
+    assert got == {"w": 9, "0": 3, "1": 3, "2": 3, " x": 9}  # letters and digits are separate pre-tokens

@@ -38,10 +38,16 @@ def latest_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
-def _run(query_builder, name: str, spark: SparkSession) -> str:
-    out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = query_builder(out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+def _run(query_builder, name: str, spark: SparkSession, trigger: dict | None = None, out: str | None = None,
+         checkpoint: str | None = None):
+    """Run to completion (``availableNow``) and return the output path, or, with a ``trigger`` such as
+    ``{"processingTime": "1 minute"}``, start a continuous query and return ``(query, path)``."""
+    out = out or scratch_path(spark, f"{name}-out")
+    ckpt = checkpoint or scratch_path(spark, f"{name}-ckpt")
+    writer = query_builder(out).option("checkpointLocation", ckpt)
+    if trigger is not None:
+        return writer.trigger(**trigger).start(), out
+    q = writer.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -60,23 +66,31 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
 
 
 def encode_stream(
-    spark: SparkSession, source: DataFrame, tok: Tokenizer, keys: Sequence[str] = ("doc_id",), text_col: str = "text"
-) -> DataFrame:
-    """Stateless per-row encoding of a stream, appended as Parquet; returns the written table."""
+    spark: SparkSession, source: DataFrame, tok: Tokenizer, keys: Sequence[str] = ("doc_id",), text_col: str = "text",
+    trigger: dict | None = None, out: str | None = None, checkpoint: str | None = None,
+):
+    """Stateless per-row encoding of a stream, appended as Parquet; returns the written table
+    (or ``(query, path)`` of a continuous query when a ``trigger`` is given)."""
     encoded = encode(source, tok, text_col=text_col, keys=keys)
-    out = _run(lambda p: encoded.writeStream.format("parquet").option("path", p).outputMode("append"), "encode-stream", spark)
-    return spark.read.parquet(out)
+    res = _run(lambda p: encoded.writeStream.format("parquet").option("path", p).outputMode("append"),
+               "encode-stream", spark, trigger, out, checkpoint)
+    return res if trigger is not None else spark.read.parquet(res)
 
 
 def count_stream(spark: SparkSession, source: DataFrame, specials: Sequence[str] | None = None,
-                 text_col: str = "text") -> DataFrame:
-    """Running pre-token counts (state = distinct words), update mode; returns the current table."""
+                 text_col: str = "text", trigger: dict | None = None, out: str | None = None,
+                 checkpoint: str | None = None):
+    """Running pre-token counts (state = distinct words), update mode; returns the current table
+    (or ``(query, path)`` of a continuous query when a ``trigger`` is given; read it with
+    ``latest_state(spark, path, ["word"])``)."""
     counts = pretoken_counts(source, specials, text_col)
-    out = _run(lambda p: counts.writeStream.outputMode("update").foreachBatch(_append_changes(p)), "count-stream", spark)
-    return latest_state(spark, out, ["word"])
+    res = _run(lambda p: counts.writeStream.outputMode("update").foreachBatch(_append_changes(p)),
+               "count-stream", spark, trigger, out, checkpoint)
+    return res if trigger is not None else latest_state(spark, res, ["word"])
 
 
-def metrics_stream(spark: SparkSession, source: DataFrame, run_col: str = "run_name") -> DataFrame:
+def metrics_stream(spark: SparkSession, source: DataFrame, run_col: str = "run_name", trigger: dict | None = None,
+                   out: str | None = None, checkpoint: str | None = None):
     """Latest and best values per run over a growing metrics log (update mode)."""
     agg = source.groupBy(run_col).agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -84,5 +98,6 @@ def metrics_stream(spark: SparkSession, source: DataFrame, run_col: str = "run_n
         F.max_by("train_loss", "step").alias("last_train_loss"),
         F.min("val_loss").alias("best_val_loss"),
     )
-    out = _run(lambda p: agg.writeStream.outputMode("update").foreachBatch(_append_changes(p)), "metrics-stream", spark)
-    return latest_state(spark, out, [run_col])
+    res = _run(lambda p: agg.writeStream.outputMode("update").foreachBatch(_append_changes(p)),
+               "metrics-stream", spark, trigger, out, checkpoint)
+    return res if trigger is not None else latest_state(spark, res, [run_col])
