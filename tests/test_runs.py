@@ -75,3 +75,21 @@ def test_progress_chunk_grows_with_span(spark):
     wide = spark.createDataFrame([("a", 0), ("a", 4096 * MAX_CHUNKS_PER_RUN * 3)], "run_name string, step long")
     c = progress_chunk(wide)
     assert (4096 * MAX_CHUNKS_PER_RUN * 3) // c < MAX_CHUNKS_PER_RUN and c % 4096 == 0
+
+
+def test_minmax_project_salted_equals_broadcast(spark):
+    import tokenyard.operators.runs as R
+
+    pts = spark.createDataFrame(
+        [("hot", s, "train_loss", 1.0 + (s % 7)) for s in range(200)] + [("cold", 3, "val_loss", 2.0)],
+        "run_name string, step long, series string, loss double",
+    )
+    ext = R.series_extent(pts)
+    a = sorted(map(tuple, R.minmax_project(pts, ext, 2).collect()))
+    old = R.BROADCAST_SUMMARY_LIMIT
+    R.BROADCAST_SUMMARY_LIMIT = 0  # force the salted join
+    try:
+        b = sorted(map(tuple, R.minmax_project(pts, ext, 2).collect()))
+    finally:
+        R.BROADCAST_SUMMARY_LIMIT = old
+    assert a == b and len(a) == 201

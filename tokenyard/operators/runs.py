@@ -52,13 +52,26 @@ def series_extent(points: DataFrame, x_col: str = "step", run_col: str = "run_na
     )
 
 
+# Salt buckets for the extents join when the extents are too many to broadcast.
+PROJECT_SALTS = 32
+
+
 def minmax_project(points: DataFrame, extents: DataFrame, n_runs: int, x_col: str = "step", run_col: str = "run_name",
                    width: int = 900, height: int = 520, margins=(80, 30, 40, 70)) -> DataFrame:
-    """map points into a pixel box (y grows downwards); extents broadcast below a checked size."""
+    """map points into a pixel box (y grows downwards).
+
+    The per-run extents are broadcast below a checked size. Beyond it the join is salted: points get
+    a salt from a hash of their step and each extents row is repeated once per salt, so a run with
+    a third of all points is spread over ``PROJECT_SALTS`` join partitions instead of one.
+    """
     left, right, top, bottom = margins
     pw, ph = width - left - right, height - top - bottom
-    side = F.broadcast(extents) if n_runs <= BROADCAST_SUMMARY_LIMIT else extents
-    j = points.join(side, run_col)
+    if n_runs <= BROADCAST_SUMMARY_LIMIT:
+        j = points.join(F.broadcast(extents), run_col)
+    else:
+        salted = points.withColumn("_salt", F.pmod(F.xxhash64(F.col(x_col)), F.lit(PROJECT_SALTS)))
+        spread = extents.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PROJECT_SALTS - 1).cast("long"))))
+        j = salted.join(spread, [run_col, "_salt"])
     px = F.lit(left) + (F.col(x_col) - F.col("x_min")) / (F.col("x_max") - F.col("x_min")) * F.lit(pw)
     py = F.lit(top) + (F.col("y_max") - F.col("loss")) / (F.col("y_max") - F.col("y_min")) * F.lit(ph)
     return j.select(run_col, "series", x_col, px.alias("px"), py.alias("py"))
