@@ -11,6 +11,8 @@ from ..functions.codec import Tokenizer, decode_expr, make_encode_udf, pieces_of
 
 # Largest vocabulary we ship to every executor as a broadcast (rows of id + bytes).
 BROADCAST_VOCAB_LIMIT = 2_000_000
+# Salt buckets of the shuffle join used beyond that size.
+DECODE_SALTS = 32
 
 
 def encode(
@@ -43,11 +45,19 @@ def decode_join(token_docs: DataFrame, vocab: DataFrame, vocab_rows: int, keys:
     """``(*keys, pos, token_id, token)`` by a join on the id.
 
     The vocabulary is broadcast only when its row count is known to be below the limit; otherwise the
-    join shuffles both sides on ``token_id``. An id missing from the vocabulary is an error (G12).
+    join shuffles both sides on ``(token_id, salt)`` with the vocabulary repeated per salt. An id
+    missing from the vocabulary is an error (G12).
     """
     toks = token_docs.select(*keys, F.posexplode("ids").alias("pos", "token_id"))
-    side = F.broadcast(vocab) if vocab_rows <= BROADCAST_VOCAB_LIMIT else vocab
-    joined = toks.join(side, "token_id", "left")
+    if vocab_rows <= BROADCAST_VOCAB_LIMIT:
+        joined = toks.join(F.broadcast(vocab), "token_id", "left")
+    else:
+        # Salted: a frequent id (a third of all tokens, say) is spread over DECODE_SALTS tasks.
+        salted = toks.withColumn("_salt", F.pmod(F.col("pos"), F.lit(DECODE_SALTS)).cast("long"))
+        spread = vocab.withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DECODE_SALTS - 1).cast("long")))
+        )
+        joined = salted.join(spread, ["token_id", "_salt"], "left")
     return joined.select(
         *keys,
         "pos",
