@@ -94,3 +94,8 @@ def test_random_mixed_corpora_with_specials_both_modes(spark):
             got = train_bpe(_docs(spark, texts), target, [DEFAULT_SPECIAL], candidates=8, incremental=incremental,
                             checkpoint_every=2).merges
             assert got == want, (trial, incremental, texts)
+
+
+def test_empty_corpus_learns_nothing(spark):
+    m = train_bpe(_docs(spark, []), 300, [DEFAULT_SPECIAL])
+    assert m.merges == [] and len(m.vocab) == 257

@@ -113,3 +113,10 @@ def test_weighted_draw_follows_probabilities(spark):
     drawn = weighted_draw(nucleus(long_scores(df, "row_id", "logits"), 1.0, 1.0), seed=5)
     freq = {r.class_id: r["count"] for r in drawn.groupBy("class_id").count().collect()}
     assert abs(freq[0] / 4000 - 0.7) < 0.03 and abs(freq[2] / 4000 - 0.1) < 0.02
+
+
+def test_nucleus_extremes(spark):
+    df = long_scores(_rows(spark, LOGITS), "row_id", "logits")
+    assert nucleus(df, 1.0, 1.0).count() == 8 * 5
+    one = nucleus(df, 1.0, 1e-9).collect()
+    assert len(one) == 8 and all(r.rank == 1 and abs(r.q - 1.0) < 1e-12 for r in one)

@@ -138,3 +138,12 @@ def test_blocks_from_written_table_with_many_docs(spark, tmp_out):
     blocks = token_blocks(td, block_size=64, halo=8).orderBy("block_id").collect()
     assert [t for b in blocks for t in b.ids] == list(range(nxt))
     assert all(len(b.ids) == 64 for b in blocks[:-1])
+
+
+def test_blocks_exact_block_docs_and_full_halo(spark):
+    td, n = _docs(spark, [16, 16, 5, 11])
+    blocks = token_blocks(td, block_size=16, halo=16).orderBy("block_id").collect()
+    assert [list(b.ids) for b in blocks] == [list(range(0, 16)), list(range(16, 32)), list(range(32, 48))]
+    assert [list(b.tail) for b in blocks] == [list(range(16, 32)), list(range(32, 48)), []]
+    rows = lm_windows_all(token_blocks(td, block_size=16, halo=16), n, 16, 16).collect()
+    assert sorted(r.start for r in rows) == [0, 16]
