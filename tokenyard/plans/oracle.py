@@ -247,6 +247,11 @@ SELECT run_name, step,
                   THEN (tokens_seen - lag(tokens_seen) OVER w) / (elapsed_seconds - lag(elapsed_seconds) OVER w) END, 3) AS tokens_per_sec,
        round(min(val_loss) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS best_val_loss
 FROM metrics WINDOW w AS (PARTITION BY run_name ORDER BY step)"""
+    q["run_rows_with_index"] = f"""
+WITH idx AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, min(event_id) AS registered_step
+             FROM events WHERE event_type = '{P.REGISTER_EVENT}' GROUP BY 1)
+SELECT m.run_name, m.event_id AS step, idx.registered_step, m.event_id >= idx.registered_step AS after_registration
+FROM (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, event_id FROM events) m JOIN idx USING (run_name)"""
     q["runs_without_rows"] = f"""
 WITH idx AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, max(ts) AS reg FROM events WHERE event_type = '{P.REGISTER_EVENT}' GROUP BY 1),
 lg AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, max(ts) AS last_row FROM events WHERE event_type = '{P.EVAL_EVENT}' GROUP BY 1)

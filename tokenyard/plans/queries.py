@@ -338,6 +338,16 @@ def q_run_progress(spark, sf_dir):
     )
 
 
+def q_run_rows_with_index(spark, sf_dir):
+    """Every logged row with its run's index entry (first registration step; one row per run)."""
+    ev = table(spark, sf_dir, "events")
+    run = F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("run_name")
+    index = ev.filter(F.col("event_type") == P.REGISTER_EVENT).groupBy(run).agg(F.min("event_id").alias("registered_step"))
+    rows = metrics_from_events(spark, sf_dir).select("run_name", "step")
+    j = runs.runs_join(index, rows)
+    return j.select("run_name", "step", "registered_step", (F.col("step") >= F.col("registered_step")).alias("after_registration"))
+
+
 def q_runs_without_rows(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     run = F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("run_name")
