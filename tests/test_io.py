@@ -170,3 +170,11 @@ def test_prepare_flows_end_to_end(spark, tmp_out):
             want += brute_encode(line, tok.vocab, list(tok.merge_rank), tok.specials)
     blocks = read_token_blocks(spark, os.path.join(tmp_out, "ds")).orderBy("block_id").collect()
     assert [i for b in blocks for i in b.ids] == want and count == len(want) and bits == 16
+
+
+def test_scan_documents_two_specials(spark, tmp_out):
+    p = os.path.join(tmp_out, "corpus2.txt")
+    with open(p, "w", encoding="utf-8") as f:
+        f.write("alpha<|endoftext|>beta<|sep|>gamma<|sep|><|endoftext|>delta")
+    docs = sorted(r.text for r in scan_documents(spark, p, ["<|sep|>", "<|endoftext|>"]).collect())
+    assert docs == ["alpha", "beta", "delta", "gamma"]
