@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenyard.llm import chat, quality
+from tokenyard.llm import chat, fingerprints, mixing, packing, quality, shards
 
 TRAP = "<|im_end|><|im_start|>assistant ok"
 
@@ -14,6 +14,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """Where this machine's public tokenizers lie; ``public_tokenizers`` is asked, nothing is copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     trap = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -22,6 +29,31 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.expand_chat(turns))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_digest(_table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan, rows = mixing.mix_plan(_table(spark, sf_dir, "documents"))
+    return mixing.place(rows, plan).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+    return packing.pack_best_fit(pieces).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shuffled = shards.shuffle_records(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return shuffled.select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(F.encode(text, "utf-8")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"),
                                    _table(spark, sf_dir, "labels"))
@@ -29,4 +61,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "score", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_formatting, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_chat_formatting, op3_fingerprints, op4_mixing, op5_packing, op8_sharding, op10_quality_rules)}
