@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenyard.llm import chat, fingerprints, mixing, packing, quality, shards
+from tokenyard.llm import chat, fingerprints, mixing, ngram_join, packing, quality, shards
 
 TRAP = "<|im_end|><|im_start|>assistant ok"
 
@@ -29,6 +29,10 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.expand_chat(turns))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_digest(_table(spark, sf_dir, "documents"))
 
@@ -62,4 +66,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op3_fingerprints, op4_mixing, op5_packing, op8_sharding, op10_quality_rules)}
+    op1_chat_formatting, op2_ngram_join, op3_fingerprints, op4_mixing, op5_packing, op8_sharding, op10_quality_rules)}
