@@ -133,6 +133,12 @@ def segments(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
 
 
+def runs(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
+    """[start, end) of each run of equal keys."""
+    at = segments(sorted_keys)
+    return list(zip(at.tolist(), np.append(at[1:], len(sorted_keys))[:len(at)].tolist(), strict=True))
+
+
 def take_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indexes of the ranges [start, start + length) one after another."""
     total = int(lengths.sum())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenyard.session import scratch_path
+from tokenyard.session import scratch_path, sql_conf
 
 #: ASCII white space that ends a word: space and \t \n \v \f \r.
 SPACES = " \t\n\x0b\x0c\r"
@@ -27,10 +27,14 @@ def n_words(text: Column) -> Column:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame once to the shared scratch folder and read it back: cuts lineage, survives lost executors."""
+    """Write a frame once to the shared scratch folder and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files behind it go as soon as it is written.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with sql_conf(spark, **{"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

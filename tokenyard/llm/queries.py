@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenyard.llm import chat, fingerprints, mixing, ngram_join, packing, quality, shards
+from tokenyard.llm import chat, fingerprints, mixing, ngram_join, packing, phrase_dedup, quality, shards
 
 TRAP = "<|im_end|><|im_start|>assistant ok"
 
@@ -49,6 +49,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = phrase_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return cleaned.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffled = shards.shuffle_records(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
@@ -66,4 +72,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op2_ngram_join, op3_fingerprints, op4_mixing, op5_packing, op8_sharding, op10_quality_rules)}
+    op1_chat_formatting, op2_ngram_join, op3_fingerprints, op4_mixing, op5_packing, op6_phrase_dedup, op8_sharding, op10_quality_rules)}
