@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenyard.llm import chat, fingerprints, mixing, ngram_join, packing, phrase_dedup, quality, shards
+from tokenyard.llm import chat, ctw, fingerprints, mixing, ngram_join, packing, pfp_dedup, phrase_dedup, quality, shards
 
 TRAP = "<|im_end|><|im_start|>assistant ok"
 
@@ -55,6 +55,11 @@ def op6_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffled = shards.shuffle_records(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
@@ -64,6 +69,13 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_pfp_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = pfp_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return cleaned.select("rest.doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                          F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"),
                                    _table(spark, sf_dir, "labels"))
@@ -72,4 +84,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op2_ngram_join, op3_fingerprints, op4_mixing, op5_packing, op6_phrase_dedup, op8_sharding, op10_quality_rules)}
+    op1_chat_formatting, op2_ngram_join, op3_fingerprints, op4_mixing, op5_packing, op6_phrase_dedup, op7_lm_scoring, op8_sharding, op9_pfp_dedup, op10_quality_rules)}

@@ -172,16 +172,18 @@ def n_fragments(n: int) -> int:
 
 
 def with_shared_anchors(docs: DataFrame, units: Units, q: int, span: int) -> DataFrame:
-    """Written rows (doc_id, text, anchors): every row of ``docs`` and its governing grams that other documents
-    have too (an array of bytes, null for none). Rows with a null id have none."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """Written rows (doc_id, text, rest, anchors): every row of ``docs`` (its other columns in the struct ``rest``)
+    and its governing grams that other documents have too (an array of bytes, null for none). Rows with a null id
+    have none."""
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("rest")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = n_fragments(2 * size // (span - q + 2) // (1 if units is byte_units else 5))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return deal(_anchors(batches, units, q, span), fragments)
 
-    blocks = texts.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(scan, BLOCKS)
+    blocks = texts.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(scan, BLOCKS)
     keys = staged(shared_keys(blocks), "anchors")
     per_doc = keys.groupBy("doc_id").agg(F.collect_list("keys").alias("anchors"))
     return staged(texts.join(per_doc, "doc_id", "left"), "anchored")
