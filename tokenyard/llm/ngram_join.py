@@ -8,8 +8,9 @@ class from the start, so a group of copies counts once.
    in a large share of all documents (few, by arithmetic) are put last in the order instead of being dealt out.
 2. Scan: every batch sends each fragment its n-grams, six bytes each. Fragments return, per class, the n-grams
    that another class has too. A class keeps going only if such n-grams are 80% of its set.
-3. Prefixes in the order rare to frequent give candidates: first each list's documents with one hub, then, between
-   documents that are not yet in one component, all pairs that a list, the sizes and the positions allow.
+3. Prefixes in the order rare to frequent give candidates: first, in a few rounds, each list's documents with one
+   hub, then, between documents that are not yet in one component, all pairs that a list, the sizes, the positions
+   and a parity sketch (a lower bound of the difference) allow.
 4. Candidates are verified fragment by fragment: partial overlaps are counted apart and summed per pair.
 
 Components are the same as those of all links, without listing a group's pairs.
@@ -35,6 +36,8 @@ FRAGMENT_GRAMS, BATCH_GRAMS = 1 << 22, 1 << 21
 COMMON_SHARE = 0.005
 #: Parts in which candidate pairs are verified.
 VERIFY_PARTS = 4
+#: Rounds in which each candidate list meets one hub, before the pairs left over are listed.
+HUB_ROUNDS = 3
 _COMMON_RANK = 127
 
 
@@ -282,6 +285,57 @@ def _linked(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int)
         F.col("common") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
+def _sketches(whole: DataFrame) -> DataFrame:
+    """Per class its size, its n-grams that no other class has (own), and the parity of the others in 1024 bits.
+
+    The parities of two sets differ in at most as many bits as the sets differ in n-grams.
+    """
+
+    def parity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = batch.column("grams")
+            size = np.diff(grams.offsets.to_numpy())
+            row = np.repeat(np.arange(len(size)), size)
+            bits = np.bincount(row * 1024 + (grams.flatten().to_numpy() & 1023), minlength=1024 * len(size)) & 1
+            words = np.packbits(bits.astype(np.uint8)).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, 16, dtype=np.int32)), pa.array(words))
+            n = batch.column("n").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(n), pa.array(n - size), lists],
+                                             ["class", "n", "own", "sketch"])
+
+    return whole.select("class", "n", "grams").mapInArrow(parity, "class long, n long, own long, sketch array<long>")
+
+
+def _near(percent: int) -> str:
+    """Whether sizes and sketches allow the similarity: the least possible difference against the greatest allowed."""
+    apart = " + ".join(f"bit_count(sketch_a[{i}] ^ sketch_b[{i}])" for i in range(16))
+    return (f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) AND "
+            f"(100 + {percent}) * (own_a + own_b + {apart}) <= (100 - {percent}) * (n_a + n_b)")
+
+
+def _hub_pairs(rows: DataFrame, sketches: DataFrame, percent: int, round_no: int) -> DataFrame:
+    """Pairs (a < b) of each list's hub with the classes of other components in the list.
+
+    The first round takes the least class, so that lists of one group share their hub; later ones take one at random.
+    """
+    order = F.lit(0) if round_no == 0 else F.xxhash64(F.lit(round_no), "gram", "class")
+    hubs = (rows.groupBy("gram").agg(F.min(F.struct(order.alias("o"), "class", "root")).alias("h"))
+            .select("gram", F.col("h.class").alias("hub"), F.col("h.root").alias("hub_root")))
+    met = rows.join(hubs, "gram").where("root <> hub_root").select(
+        F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
+    one, two = (sketches.select(*[F.col(c).alias(x if c == "class" else f"{c}_{x}") for c in sketches.columns])
+                for x in "ab")
+    return met.join(one, "a").join(two, "b").where(_near(percent)).select("a", "b")
+
+
+def _open_postings(postings: DataFrame, root: DataFrame) -> DataFrame:
+    """The postings, with components, of lists that hold more than one."""
+    rows = postings.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn(
+        "root", F.coalesce("root", "class"))
+    several = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    return rows.join(several.select("gram"), "gram", "left_semi")
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id``: documents linked by Jaccard similarity >= percent of word n-gram sets.
 
@@ -311,26 +365,28 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     # a document's unshared n-grams come first in the order; "rest" n-grams follow the one at hand
     postings = staged(whole.select("class", "n", F.size("grams").alias("shared"), F.posexplode(prefix).alias("at", "gram"))
                       .select("class", "n", "gram", (F.col("shared") - F.col("at") - 1).alias("rest")), "postings")
-    hubs = postings.groupBy("gram").agg(F.min("class").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    size_ok = "100 * least(na, nb) >= {p} * greatest(na, nb)".format(p=percent)
-    hub_size = sizes.select(F.col("class").alias("a"), F.col("n").alias("na"))
-    first = (postings.select("gram", F.col("class").alias("b"), F.col("n").alias("nb")).join(hubs, "gram")
-             .where("a <> b").select("a", "b", "nb").distinct().join(hub_size, "a").where(size_ok).select("a", "b"))
-    first = staged(first, "hub-pairs")
-    links = staged(_linked(first, parts, sizes, percent), "hub-links")
-    root = components(links)
-
-    # what a hub did not settle: pairs in one list that are not in one component yet
-    rows = postings.join(root.withColumnRenamed("node", "class"), "class", "left").select(
-        "gram", "class", "n", "rest", F.coalesce("root", "class").alias("root"))
-    open_lists = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    rows = staged(rows.join(open_lists.select("gram"), "gram", "left_semi"), "open-postings")
-    a = rows.select("gram", F.col("class").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("root").alias("ca"))
-    b = rows.select("gram", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("root").alias("cb"))
-    enough = f"(100 + {percent}) * (1 + least(ra, rb)) >= {percent} * (na + nb)"
-    more = a.join(b, "gram").where("a < b AND ca <> cb").where(size_ok).where(enough).select("a", "b").distinct()
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = staged(more.join(done, ["a", "b"], "left_anti"), "more-pairs")
+    sketches = staged(_sketches(whole), "sketches")
+
+    links, tried, root, open_rows = None, None, None, postings.withColumn("root", F.col("class"))
+    for round_no in range(HUB_ROUNDS):
+        pairs = _hub_pairs(open_rows, sketches, percent, round_no)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = staged(pairs, "hub-pairs")
+        found = staged(_linked(pairs, parts, sizes, percent), "hub-links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        root = components(links)
+        open_rows = staged(_open_postings(postings, root), "open-postings")
+
+    # what the hubs did not settle: pairs in one list that are not in one component yet
+    rows = open_rows.join(sketches.select("class", "own", "sketch"), "class")
+    a, b = (rows.select("gram", F.col("class").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in
+                                                           ("n", "rest", "root", "own", "sketch")]) for x in "ab")
+    enough = f"(100 + {percent}) * (1 + least(rest_a, rest_b)) >= {percent} * (n_a + n_b)"
+    more = (a.join(b, "gram").where("a < b AND root_a <> root_b").where(enough).where(_near(percent))
+            .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+    more = staged(more, "more-pairs")
     links = links.unionByName(_linked(more, parts, sizes, percent))
     root = components(links)
 
