@@ -7,6 +7,7 @@ again as wholes with those of other groups, in ever fewer groups, until one grou
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,38 +22,97 @@ from tokenyard.llm.common import staged
 GROUP_PIECES = 1 << 17
 #: Bins fuller than this share of a sequence are final; others are packed again with other groups' bins.
 LOOSE_BELOW = 0.98
-#: Distinct space-separated strings whose ids a worker remembers, and the longest such string.
+#: Strings whose ids a worker remembers (twice as many for a while), and the longest such string.
 _MEMORY, _LONGEST = 1 << 18, 64
+#: Strings of these letters are one word of the tokenizer each, alone or before one of these marks.
+_WORD = re.compile(r"[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_MARKS = ".,;:"
+_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 class _Ids:
-    """Token ids of a text as little-endian 32-bit integers, remembering those of common strings.
+    """Token ids of texts as little-endian 32-bit integers, remembering those of recent strings.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are its strings' ids in order.
+    The tokenizer folds case, drops white space and never joins across it or across a word's last letter, so a
+    text's ids are its strings' ids in order, and a word with a mark behind it is the word's ids and the mark's.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _encode(self, strings: list[str]) -> list[bytes]:
+    def _each(self, strings: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(strings, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _words(self, strings: list[str]) -> list[bytes]:
+        """Ids of words, all encoded in one text and cut at the tokens that end a word."""
+        if not strings:
+            return []
+        ids = np.array(self.tokenizer.encode(" ".join(strings), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(strings) or ends[-1] != len(ids):
+            return self._each(strings)
+        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [raw[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _look_up(self, strings: set[str]) -> dict[str, bytes]:
+        recent, older, known = self.recent, self.older, {}
+        words, others, marked = [], [], []
+        for s in strings:
+            core = s[:-1] if s and s[-1] in _MARKS else s
+            ids = recent.get(core)
+            if ids is None:
+                ids = older.get(core)
+                if ids is not None:
+                    recent[core] = ids
+            if ids is not None and (core is s or _WORD.fullmatch(core)):
+                known[core] = ids
+            elif _WORD.fullmatch(core):
+                words.append(core)
+            else:
+                others.append(s)
+                continue
+            if core is not s:
+                marked.append((s, core))
+        words = list(set(words))
+        for s, ids in zip(words, self._words(words), strict=True):
+            known[s] = ids
+            if len(s) <= _LONGEST:
+                recent[s] = ids
+        known.update(zip(others, self._each(others), strict=True))
+        marks = dict(zip(_MARKS, self._each(list(_MARKS)), strict=True)) if marked else {}
+        for s, core in marked:
+            known[s] = known[core] + marks[s[-1]]
+        known[""] = b""
+        if len(recent) > _MEMORY:
+            self.older, self.recent = recent, {}
+        return known
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = list({s for strings in split for s in strings if s not in known})
-        if len(known) + len(new) > _MEMORY:
-            known = self.known = {"": b""}
-            new = list({s for strings in split for s in strings if s})
-        known.update(zip(new, self._encode(new), strict=True))
-        out = [b"".join([known[s] for s in strings]) for strings in split]
-        for s in new:
-            if len(s) > _LONGEST:
-                del known[s]
-        return out
+        whole = [any(s in t or s in t.lower() for s in self.specials) if "<" in t else False for t in texts]
+        split = [[] if w else t.encode().translate(_LOWER).decode().replace("\n", " ").split(" ")
+                 for t, w in zip(texts, whole, strict=True)]
+        known = self._look_up({s for strings in split for s in strings})
+        return [self._each([t])[0] if w else b"".join([known[s] for s in strings])
+                for t, strings, w in zip(texts, split, whole, strict=True)]
+
+
+_loaded: dict[str, _Ids] = {}
+
+
+def _ids(path: str) -> _Ids:
+    """One tokenizer and memory per worker process, kept between its tasks."""
+    if path not in _loaded:
+        _loaded[path] = _Ids(path)
+    return _loaded[path]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0, with_ids: bool = True) -> DataFrame:
@@ -65,7 +125,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: in
               ("length", "bigint"), ("ids_crc32", "bigint")] + ([("ids", "binary")] if with_ids else [])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = _Ids(tokenizer)
+        ids_of = _ids(tokenizer)
         mark = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
