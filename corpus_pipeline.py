@@ -5,18 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenyard.llm.common import staged
+from tokenyard.llm.mixing import mix
+from tokenyard.llm.ngram_join import one_of_each
+from tokenyard.llm.packing import pack_best_fit, token_pieces
+from tokenyard.llm.pfp_dedup import without_repeats
 from tokenyard.llm.quality import quality_rules
+from tokenyard.llm.queries import tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; the target is fitted on the labels beside the documents."""
     judged = quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judged.where("kept").select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the least id, of each group that the n-gram Jaccard join links."""
+    return one_of_each(docs)
 
-#: Learned scores and the packing have no SQL form; a brute-force version stands in the tests.
+
+def repeated_string_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 50-byte strings that a document of a smaller id has; n_chars follows the text."""
+    return without_repeats(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix draws them (weights 5, 2, 1 over the sources, at most three times)."""
+    return mix(docs).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all drawn documents, packed into sequences of at most 2048 tokens."""
+    pieces = token_pieces(docs, tokenizer_path(), with_ids=False)
+    return pack_best_fit(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
+    ("suffix_array_dedup", repeated_string_stage),
+    ("source_mixing", mixing_stage),
+    ("best_fit_packing", packing_stage),
+]
+
+#: Learned scores and the packing have no SQL form; brute-force versions of the stages stand in the tests.
 ORACLE_SQL = None
 
 
