@@ -22,6 +22,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -32,7 +33,7 @@ from tokenyard.llm.common import staged
 
 DEPTH, _END = 5, 255  # 0xFF is in no UTF-8 text: it ends a text and stands before it
 #: Text bytes of a batch, and of the corpus per fragment.
-BATCH_BYTES, FRAGMENT_BYTES = 6 << 20, 1 << 23
+BATCH_BYTES, FRAGMENT_BYTES = 4 << 20, 1 << 23
 _U = np.uint64
 _HALF = np.log(0.5)
 _STOP = _U(0xE0D)  # the word number of a text's end
@@ -81,16 +82,17 @@ def gram_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     """Per byte and per text end: the five bytes before, latest first, and the byte itself; and rows' offsets."""
     n, pad = len(offsets) - 1, DEPTH + 1
     text = np.full(len(data) + pad * n + DEPTH, _END, np.uint8)
-    row = np.repeat(np.arange(n), np.diff(offsets))
-    text[DEPTH + np.arange(len(data)) + pad * row] = data
-    wide = text.astype(_U)
-    size = len(text) - DEPTH
-    keys = wide[DEPTH:].copy()
+    inside = np.ones(len(data) + pad * n, bool)  # a row's bytes and its end, then the marks before the next row
+    ends = offsets[1:] + pad * np.arange(n)
+    for k in range(1, pad):
+        inside[ends + k] = False
+    bytes_only = inside.copy()
+    bytes_only[ends] = False
+    text[DEPTH:][bytes_only] = data
+    keys = text[DEPTH:].astype(_U)
     for back in range(1, DEPTH + 1):
-        keys |= wide[DEPTH - back:DEPTH - back + size] << _U(8 * (DEPTH + 1 - back))
-    start = offsets[:-1] + pad * np.arange(n)
-    length = np.diff(offsets) + 1
-    return keys[A.take_ranges(start, length)], np.concatenate([[0], np.cumsum(length)])
+        keys |= text[DEPTH - back:len(text) - back].astype(_U) << _U(8 * (DEPTH + 1 - back))
+    return keys[inside], offsets + np.arange(n + 1)
 
 
 def word_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +110,7 @@ _KINDS = (gram_keys, word_keys)
 
 def _part(kind: int, keys: np.ndarray, parts: int) -> np.ndarray:
     spread = A.mix64(keys >> _U(8 * (DEPTH - 1))) if kind == 0 else keys  # the two latest context bytes
-    return ((spread >> _U(40)) % _U(parts)).astype(np.int64)
+    return ((spread >> _U(40)) % _U(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]):
@@ -119,11 +121,33 @@ def _texts(batches: Iterator[pa.RecordBatch]):
             yield batch, k, batch.column("ids")[k].as_py(), data, np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _sent(kind: int, keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, their parts, and the order in which they are sent (by part, then key)."""
-    distinct = np.unique(keys)
-    part = _part(kind, distinct, parts)
-    return distinct, part, np.argsort(part, kind="stable")
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts the keys, where in it each distinct key begins, and the distinct keys."""
+    order = np.argsort(keys)
+    sorted_keys = keys[order]
+    at = A.segments(sorted_keys)
+    return order, at, sorted_keys[at]
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """An array of integers or floats, compressed byte plane by byte plane behind its length."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes, dtype: str) -> np.ndarray:
+    size, item = int.from_bytes(raw[:8], "little"), np.dtype(dtype).itemsize
+    planes = pa.decompress(raw[8:], decompressed_size=size * item, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(item, size).T).reshape(-1).view(dtype)
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys, as differences."""
+    return _packed(np.diff(keys, prepend=_U(0)))
+
+
+def _unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw, "<u8"), dtype=_U)
 
 
 def _counted(blobs: DataFrame, parts: int) -> DataFrame:
@@ -133,14 +157,16 @@ def _counted(blobs: DataFrame, parts: int) -> DataFrame:
             train = np.array([not held_out(i) for i in ids])
             rows = []
             for kind, keys_of in enumerate(_KINDS):
-                keys, at = keys_of(data, offsets)
-                distinct, part, order = _sent(kind, keys, parts)
-                known, times = np.unique(keys[np.repeat(train, np.diff(at))], return_counts=True)
-                counts = np.zeros(len(distinct), "<u4")
+                keys, row_at = keys_of(data, offsets)
+                distinct = np.unique(keys)
+                known, times = np.unique(keys[np.repeat(train, np.diff(row_at))], return_counts=True)
+                counts = np.zeros(len(distinct), np.uint32)
                 counts[np.searchsorted(distinct, known)] = times
+                part = _part(kind, distinct, parts)
+                order = np.argsort(part, kind="stable")
                 distinct, counts, part = distinct[order], counts[order], part[order]
                 for i, j in A.runs(part):
-                    rows.append((kind, int(part[i]), number, distinct[i:j].tobytes(), counts[i:j].tobytes()))
+                    rows.append((kind, int(part[i]), number, _packed_keys(distinct[i:j]), _packed(counts[i:j])))
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()),
@@ -149,18 +175,16 @@ def _counted(blobs: DataFrame, parts: int) -> DataFrame:
     return blobs.mapInArrow(count, _BLOCKS)
 
 
-def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys of a part's blocks and their total training counts."""
-    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), _U)
-    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4")
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    at = A.segments(keys)
-    return keys[at], np.add.reduceat(counts[order].astype(np.int64), at)
+def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys of a part's blocks, their total training counts, and each block's keys."""
+    own = [_unpacked_keys(k) for k in table.column("keys").to_pylist()]
+    counts = np.concatenate([_unpacked(c, "<u4") for c in table.column("counts").to_pylist()])
+    order, at, keys = _distinct(np.concatenate(own))
+    return keys, np.add.reduceat(counts[order].astype(np.int64), at), own
 
 
-def _answers(table: pa.Table, kind: int, part: int, keys: np.ndarray, values: np.ndarray) -> pa.Table:
-    found = [values[np.searchsorted(keys, np.frombuffer(own, _U))].tobytes() for own in table.column("keys").to_pylist()]
+def _answers(table: pa.Table, kind: int, part: int, keys: np.ndarray, own: list, values: np.ndarray) -> pa.Table:
+    found = [_packed(values[np.searchsorted(keys, k)]) for k in own]
     n = table.num_rows
     return pa.table({"batch": table.column("batch"), "kind": pa.array([kind] * n, pa.int32()),
                      "part": pa.array([part] * n, pa.int32()), "found": pa.array(found, pa.binary())})
@@ -174,16 +198,35 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(rising)
 
 
+_TABLE = 1 << 16
+_tables: list[np.ndarray] = []
+
+
+def _known_gamma(counts: np.ndarray, which: int) -> np.ndarray:
+    """Log gamma of count + 1/2 (0) or count + 1 (1), from a table where counts are small."""
+    if not _tables:
+        _tables.extend([log_gamma(np.arange(_TABLE) + 0.5), log_gamma(np.arange(_TABLE) + 1.0)])
+    out = _tables[which][np.minimum(counts, _TABLE - 1).astype(np.int64)]
+    large = counts >= _TABLE
+    if large.any():
+        out[large] = log_gamma(counts[large] + (1.0 if which else 0.5))
+    return out
+
+
 def kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Log of the KT probability of any sequence with these counts."""
-    return log_gamma(n0 + 0.5) + log_gamma(n1 + 0.5) - log_gamma(n0 + n1 + 1.0) - np.log(np.pi)
+    return _known_gamma(n0, 0) + _known_gamma(n1, 0) - _known_gamma(n0 + n1, 1) - np.log(np.pi)
 
 
-def _level(keys: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (context of this depth, byte) and their counts."""
-    short = ((keys >> _U(8 * (DEPTH - depth) + 8)) << _U(8)) | (keys & _U(255))
-    distinct, place = np.unique(short, return_inverse=True)
-    return distinct, np.bincount(place, weights=counts).astype(np.int64)
+def _levels(keys: np.ndarray, counts: np.ndarray) -> dict:
+    """Per depth from DEPTH to 2 the distinct (context of this depth, byte) and their counts."""
+    out = {DEPTH: (keys, counts)}
+    for depth in range(DEPTH - 1, 1, -1):
+        keys, counts = out[depth + 1]
+        short = ((keys >> _U(16)) << _U(8)) | (keys & _U(255))
+        order, at, distinct = _distinct(short)
+        out[depth] = distinct, np.add.reduceat(counts[order], at)
+    return out
 
 
 def _nodes(level: tuple[np.ndarray, np.ndarray], bit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -218,7 +261,7 @@ def _weighted(levels: dict, bit: int, lowest: int) -> dict:
 
 def _top_sums(keys: np.ndarray, counts: np.ndarray) -> pa.Table:
     """Per decision node of depth 1: counts, and the sum of its children's weighted logs in this part."""
-    levels = {d: _level(keys, counts, d) for d in range(2, DEPTH + 1)}
+    levels = _levels(keys, counts)
     rows = [[], [], [], [], []]
     for bit in range(8):
         number, n0, n1, _, weighted = _weighted(levels, bit, 2)[2]
@@ -254,7 +297,7 @@ class Top:
 
 def predictions(keys: np.ndarray, counts: np.ndarray, top: Top) -> np.ndarray:
     """log10 probability of each gram's byte after its context; contexts never seen leave their parent's estimate."""
-    levels = {d: _level(keys, counts, d) for d in range(2, DEPTH + 1)}
+    levels = _levels(keys, counts)
     out = np.zeros(len(keys))
     for bit in range(8):
         tree = _weighted(levels, bit, 2)
@@ -290,7 +333,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     blocks = staged(_counted(blobs, parts), "ctw-blocks")
 
     def tops(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return _top_sums(*_summed(table))
+        return _top_sums(*_summed(table)[:2])
 
     sums = (blocks.where("kind = 0").groupBy("part")
             .applyInArrow(tops, "bit int, node long, n0 double, n1 double, logs double")
@@ -299,11 +342,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         kind, part = key[0].as_py(), key[1].as_py()
-        keys, counts = _summed(table)
+        keys, counts, own = _summed(table)
         values = predictions(keys, counts, top).astype("<f4") if kind == 0 else counts.astype("<i8")
-        out = _answers(table, kind, part, keys, values)
+        out = _answers(table, kind, part, keys, own, values)
         if kind == 1:  # a row of its own: the part's words and how many are known
-            total = np.array([counts.sum(), (counts > 0).sum()], "<i8").tobytes()
+            total = _packed(np.array([counts.sum(), (counts > 0).sum()], "<i8"))
             out = pa.concat_tables([out, pa.table({
                 "batch": pa.array([-1], pa.int64()), "kind": pa.array([2], pa.int32()),
                 "part": pa.array([part], pa.int32()), "found": pa.array([total], pa.binary())})])
@@ -313,7 +356,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     totals = answers.where("kind = 2").select("found").toLocalIterator()
     n_train, n_words = 0, 0
     for r in totals:
-        own = np.frombuffer(r[0], "<i8")
+        own = _unpacked(r[0], "<i8")
         n_train, n_words = n_train + int(own[0]), n_words + int(own[1])
     per_batch = (answers.where("kind < 2").groupBy("batch")
                  .agg(F.collect_list(F.struct("kind", "part", "found")).alias("answers")))
@@ -325,13 +368,18 @@ def score_documents(docs: DataFrame) -> DataFrame:
             got = sorted(batch.column("answers")[k].as_py(), key=lambda a: (a["kind"], a["part"]))
             per_key = []
             for kind, (keys_of, dtype) in enumerate(zip(_KINDS, ("<f4", "<i8"), strict=True)):
-                keys, at = keys_of(data, offsets)
-                distinct, _, order = _sent(kind, keys, parts)
-                values = np.empty(len(distinct), np.float64 if kind == 0 else np.int64)
-                values[order] = np.frombuffer(b"".join(a["found"] for a in got if a["kind"] == kind), dtype)
-                per_key.append((values[np.searchsorted(distinct, keys)], at))
+                keys, row_at = keys_of(data, offsets)
+                code, distinct = pd.factorize(keys)
+                order = np.argsort(distinct)
+                values = np.empty(len(distinct), dtype)
+                distinct = distinct[order]
+                values[np.argsort(_part(kind, distinct, parts), kind="stable")] = np.concatenate(
+                    [_unpacked(a["found"], dtype) for a in got if a["kind"] == kind])
+                by_code = np.empty_like(values)
+                by_code[order] = values
+                per_key.append((by_code[code], row_at))
             (logs, at), (counts, word_at) = per_key
-            full = np.add.reduceat(logs, at[:-1])
+            full = np.add.reduceat(logs, at[:-1], dtype=np.float64)
             base = np.add.reduceat(np.log10((counts + 1) / (n_train + n_words + 1)), word_at[:-1])
             known = np.add.reduceat((counts > 0).astype(np.int64), word_at[:-1])
             length = np.diff(offsets)
