@@ -2,7 +2,7 @@
 
 import regex
 
-PAT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+from tokenyard.functions.text import PRETOKEN_PATTERN as PAT
 
 
 def pieces(text):
@@ -10,10 +10,16 @@ def pieces(text):
 
 
 def split_specials(text, specials):
-    if not specials:
-        return [text]
-    alt = "(" + "|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")"
-    return regex.split(alt, text)
+    """Plain text and specials in turn: at each place the longest special that starts there is cut out."""
+    out, start, at = [], 0, 0
+    while at < len(text):
+        found = max((s for s in specials if text.startswith(s, at)), key=len, default="")
+        if found:
+            out += [text[start:at], found]
+            start = at = at + len(found)
+        else:
+            at += 1
+    return [*out, text[start:]]
 
 
 def word_freq(texts, specials):

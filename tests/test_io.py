@@ -13,6 +13,7 @@ from tokenyard.sinks.tokens import write_tokens
 from tokenyard.sources.runs import read_metrics, read_run_config, read_run_index
 from tokenyard.sources.text import scan_documents, scan_lines
 from tokenyard.sources.tokenizer_files import (
+    read_vocab,
     HEX_FORMAT,
     load_tokenizer,
     printable_byte_map,
@@ -83,6 +84,32 @@ def test_scan_documents_and_lines(spark, tmp_out):
     assert docs == sorted(["one doc\nline two", "second", "third\n"])
     lines = sorted(r.text for r in scan_lines(spark, p).collect())
     assert lines[0].endswith("\n") and len(lines) == 2
+    q = os.path.join(tmp_out, "open_end.txt")
+    with open(q, "w", encoding="utf-8") as f:
+        f.write("x\n\ny")
+    rows = scan_lines(spark, q).orderBy("file", "line_start").collect()
+    assert [r.text for r in rows] == ["x\n", "\n", "y"]
+    both = scan_lines(spark, [p, q]).collect()
+    assert sorted(r.text for r in both) == sorted([*lines, "x\n", "\n", "y"])
+
+
+def test_ranks_and_indented_files(spark, tmp_out):
+    import json
+
+    legacy, printable, vocab = (os.path.join(tmp_out, n) for n in ("legacy.txt", "printable.txt", "vocab.json"))
+    with open(legacy, "w", encoding="latin-1") as f:
+        f.write("a b\nab c\nc d\n")
+    with open(printable, "w", encoding="utf-8") as f:
+        f.write("Ġ t\nĠt h\na b\n")
+    assert [r.rank for r in read_merges(spark, legacy).orderBy("left").collect()] == [0, 1, 2]
+    assert sorted(r.rank for r in read_printable_merges(spark, printable).collect()) == [0, 1, 2]
+    with open(vocab, "w", encoding="utf-8") as f:
+        json.dump({"format": HEX_FORMAT, "vocab": {"0": "61", "1": "62"}}, f, indent=2)
+    assert sorted((r.token_id, bytes(r.token)) for r in read_vocab(spark, vocab).collect()) == [(0, b"a"), (1, b"b")]
+    with open(printable, "w", encoding="utf-8") as f:
+        f.write("Ġ t\nonly\n")
+    with pytest.raises(Exception, match="exactly two tokens"):
+        read_printable_merges(spark, printable).collect()
 
 
 def test_write_and_read_tokens(spark, tmp_out):
@@ -93,7 +120,8 @@ def test_write_and_read_tokens(spark, tmp_out):
     assert [b.block_id for b in blocks] == [1, 2]
     empty = spark.createDataFrame([(0, [])], "doc_id long, ids array<int>")
     with pytest.raises(ValueError):
-        write_tokens(empty, os.path.join(tmp_out, "none"), block_size=8, halo=4)
+        write_tokens(empty, os.path.join(tmp_out, "tokens"), block_size=8, halo=4)
+    assert read_token_blocks(spark, os.path.join(tmp_out, "tokens")).count() == 3  # the old dataset is untouched
 
 
 def test_run_logs_round_trip(spark, tmp_out):

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codec import Tokenizer, decode_expr, make_encode_udf, pieces_of
+from ..sinks.tables import materialize
+from ..functions.codec import Tokenizer, decode_expr, fits_decode_array, joined_text, make_encode_udf, pieces_of
 
-# Largest vocabulary we ship to every executor as a broadcast (rows of id + bytes).
-BROADCAST_VOCAB_LIMIT = 2_000_000
-# Salt buckets of the shuffle join used beyond that size.
+# Salt buckets of the vocabulary join.
 DECODE_SALTS = 32
 
 
@@ -30,8 +29,24 @@ def encode(
 
 
 def decode(token_docs: DataFrame, tok: Tokenizer, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
-    """F9 per row, all in the JVM."""
-    return token_docs.withColumn(out_col, decode_expr(F.col(ids_col), tok))
+    """F9 per row. A small vocabulary is an array in the expression; a larger one is joined (J2) and regrouped.
+
+    The join needs rows told apart: they get a number, under which their tokens come together again in order.
+    """
+    if fits_decode_array(tok):
+        return token_docs.withColumn(out_col, decode_expr(F.col(ids_col), tok))
+    return decode_by_join(token_docs, tok, ids_col, out_col)
+
+
+def decode_by_join(token_docs: DataFrame, tok: Tokenizer, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
+    """F9 for any vocabulary size: J2 on (row, position, id), then each row's tokens in order."""
+    rows = materialize(token_docs.withColumn("_row", F.monotonically_increasing_id()), "decode_rows")
+    tokens = decode_join(rows.select("_row", F.col(ids_col).alias("ids")),
+                         vocab_frame(token_docs.sparkSession, tok), keys=("_row",))
+    texts = tokens.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", F.hex("token").alias("h")))).alias("t"))
+    texts = texts.select("_row", joined_text(F.transform("t", lambda x: x["h"])).alias("_text"))
+    empty = F.when(F.size(F.col(ids_col)) == 0, F.lit(""))
+    return rows.join(texts, "_row", "left").withColumn(out_col, F.coalesce("_text", empty)).drop("_row", "_text")
 
 
 def vocab_frame(spark, tok: Tokenizer) -> DataFrame:
@@ -41,39 +56,36 @@ def vocab_frame(spark, tok: Tokenizer) -> DataFrame:
     return spark.createDataFrame(sorted(tok.vocab.items()), VOCAB_SCHEMA)
 
 
-def decode_join(token_docs: DataFrame, vocab: DataFrame, vocab_rows: int, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+def decode_join(token_docs: DataFrame, vocab: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``(*keys, pos, token_id, token)`` by a join on the id.
 
-    The vocabulary is broadcast only when its row count is known to be below the limit; otherwise the
-    join shuffles both sides on ``(token_id, salt)`` with the vocabulary repeated per salt. An id
-    missing from the vocabulary is an error (G12).
+    Spark broadcasts the vocabulary if its bytes allow; the join is salted for the case that they do not, so a
+    frequent id (a third of all tokens, say) is spread over DECODE_SALTS tasks. A missing id is an error (G12).
     """
-    toks = token_docs.select(*keys, F.posexplode("ids").alias("pos", "token_id"))
-    if vocab_rows <= BROADCAST_VOCAB_LIMIT:
-        joined = toks.join(F.broadcast(vocab), "token_id", "left")
-    else:
-        # Salted: a frequent id (a third of all tokens, say) is spread over DECODE_SALTS tasks.
-        salted = toks.withColumn("_salt", F.pmod(F.col("pos"), F.lit(DECODE_SALTS)).cast("long"))
-        spread = vocab.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(DECODE_SALTS - 1).cast("long")))
-        )
-        joined = salted.join(spread, ["token_id", "_salt"], "left")
-    return joined.select(
-        *keys,
-        "pos",
-        "token_id",
-        F.when(F.col("token").isNull(), F.raise_error(F.lit("token id missing from vocabulary")))
-        .otherwise(F.col("token"))
-        .alias("token"),
-    )
+    toks = token_docs.select(*keys, F.posexplode("ids").alias("pos", "token_id")).withColumn(
+        "_salt", F.pmod(F.col("pos"), F.lit(DECODE_SALTS)))
+    spread = vocab.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(DECODE_SALTS - 1))))
+    joined = toks.join(spread, ["token_id", "_salt"], "left")
+    return joined.select(*keys, "pos", "token_id", _present("token"))
+
+
+def count_tokens(token_docs: DataFrame, vocab: DataFrame) -> DataFrame:
+    """How often each token occurs, ``(token_id, token, n)``: grouped by id before the join with the vocabulary."""
+    counts = token_docs.select(F.explode("ids").alias("token_id")).groupBy("token_id").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(vocab, "token_id", "left").select("token_id", _present("token"), "n")
+
+
+def _present(token: str) -> Column:
+    return F.coalesce(F.col(token), F.raise_error(F.lit("token id missing from vocabulary")).cast("binary")).alias(token)
 
 
 def token_counts(token_docs: DataFrame, by: Sequence[str] = (), rollup: bool = False) -> DataFrame:
     """Tokens per group (and in total with ``rollup``): ``(*by, n_docs, n_tokens)``."""
-    aggs = [F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("ids")).cast("long").alias("n_tokens")]
+    sized = token_docs.select(*by, F.size("ids").alias("_n"))  # the arrays stay out of the rollup
+    aggs = [F.count(F.lit(1)).alias("n_docs"), F.sum("_n").cast("long").alias("n_tokens")]
     if not by:
-        return token_docs.agg(*aggs)
-    grouped = token_docs.rollup(*by) if rollup else token_docs.groupBy(*by)
+        return sized.agg(*aggs)
+    grouped = sized.rollup(*by) if rollup else sized.groupBy(*by)
     return grouped.agg(*aggs)
 
 

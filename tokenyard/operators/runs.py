@@ -31,6 +31,13 @@ def run_summary(metrics: DataFrame, run_col: str = "run_name") -> DataFrame:
     )
 
 
+def net_throughput(metrics: DataFrame, run_col: str = "run_name") -> DataFrame:
+    """Tokens per second between a run's first and last row, so tokens from before a resume do not count."""
+    tokens = F.max("tokens_seen") - F.min("tokens_seen")
+    seconds = F.max("elapsed_seconds") - F.min("elapsed_seconds")
+    return metrics.groupBy(run_col).agg(F.when(seconds > 0, tokens / seconds).alias("net_tokens_per_sec"))
+
+
 def long_series(metrics: DataFrame, run_col: str = "run_name") -> DataFrame:
     """U4 + P7: train and validation losses as one list of points; null losses dropped."""
     return metrics.unpivot(

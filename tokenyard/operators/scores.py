@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from ..functions.hashing import uniform01
 from ..functions.vecmath import token_loss
 
-# Largest embedding table (rows) we broadcast to the token side.
-BROADCAST_EMBED_LIMIT = 1_000_000
-
 
 def long_scores(df: DataFrame, row_col: str, arr_col: str, value_name: str = "logit") -> DataFrame:
     """Array form -> long form ``(row_id, class_id, <value_name>)`` (narrow)."""
@@ -49,9 +46,9 @@ def estimate_loss(batch_losses: DataFrame, batch_col: str = "batch_id") -> DataF
 def check_sampling(temperature: float, top_p: float) -> None:
     """G20."""
     if temperature <= 0:
-        raise ValueError("temperature must be greater than 0")
+        raise ValueError(f"temperature {temperature} is not positive")
     if not 0 < top_p <= 1:
-        raise ValueError("top_p must be in the interval (0, 1]")
+        raise ValueError(f"top_p {top_p} is outside (0, 1]")
 
 
 def nucleus(long_df: DataFrame, temperature: float = 1.0, top_p: float = 1.0) -> DataFrame:
@@ -89,9 +86,31 @@ def weighted_draw(kept: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def embed_lookup(token_counts: DataFrame, emb: DataFrame, emb_rows: int, id_col: str = "token_id",
-                 emb_id: str = "vec_id", emb_col: str = "embedding") -> DataFrame:
-    """Attach the vector of each token id; the table is broadcast only below a checked row count."""
+def embed_lookup(token_counts: DataFrame, emb: DataFrame, id_col: str = "token_id", emb_id: str = "vec_id",
+                 emb_col: str = "embedding") -> DataFrame:
+    """Attach the vector of each token id; an id without one is an error.
+
+    Give ids aggregated (one row per id and group), as here: then no id is hot. Spark broadcasts the vectors if
+    their bytes allow.
+    """
     side = emb.select(F.col(emb_id).alias(id_col), F.col(emb_col).alias("vec"))
-    side = F.broadcast(side) if emb_rows <= BROADCAST_EMBED_LIMIT else side
-    return token_counts.join(side, id_col)
+    joined = token_counts.join(side, id_col, "left")
+    missing = F.raise_error(F.lit("token id without an embedding")).cast(side.schema["vec"].dataType)
+    return joined.withColumn("vec", F.coalesce("vec", missing))
+
+
+def linear_project_table(rows: DataFrame, weights: DataFrame, vec_col: str, keys: list[str] | tuple[str, ...],
+                         block_rows: int = 1024) -> DataFrame:
+    """F14 with W as a table ``(out_id, w ARRAY<DOUBLE>)`` of any number of rows: ``(*keys, out_id, score)``.
+
+    W goes in blocks of about ``block_rows`` rows; every vector meets every block in an equi-join on the block.
+    """
+    n_blocks = weights.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.lit(1)).cast("int")).scalar()
+    w = weights.select("out_id", "w", n_blocks.alias("_n")).groupBy(
+        F.pmod(F.xxhash64("out_id"), F.col("_n")).cast("int").alias("_block")).agg(
+        F.collect_list(F.struct("out_id", "w")).alias("_w"))
+    x = rows.select(*keys, F.transform(vec_col, lambda v: v.cast("double")).alias("_x"), n_blocks.alias("_n"))
+    x = x.select(*keys, "_x", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_block"))
+    met = x.join(w, "_block").select(*keys, "_x", F.explode("_w").alias("_o"))
+    dot = F.aggregate(F.zip_with("_x", F.col("_o.w"), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    return met.select(*keys, F.col("_o.out_id").alias("out_id"), dot.alias("score"))

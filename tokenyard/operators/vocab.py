@@ -16,9 +16,9 @@ from ..functions.pairs import contains_any_pair
 from ..functions.text import specials_longest_first
 
 
-def token_ids(vocab: DataFrame) -> DataFrame:
-    """``(token, token_id)``, one id per byte string; on duplicates the last (largest) id wins."""
-    return vocab.groupBy("token").agg(F.max_by("token_id", "token_id").alias("token_id"))
+def token_ids(vocab: DataFrame, order: str = "token_id") -> DataFrame:
+    """``(token, token_id)``, one id per byte string; of equal ones the last in insertion ``order`` wins."""
+    return vocab.groupBy("token").agg(F.max_by("token_id", order).alias("token_id"))
 
 
 def merges_by_rank(merges: DataFrame) -> DataFrame:

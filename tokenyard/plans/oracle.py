@@ -257,8 +257,8 @@ WITH idx AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, max(ts) AS r
 lg AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, max(ts) AS last_row FROM events WHERE event_type = '{P.EVAL_EVENT}' GROUP BY 1)
 SELECT run_name FROM idx WHERE NOT EXISTS (SELECT 1 FROM lg WHERE lg.run_name = idx.run_name AND lg.last_row > idx.reg)"""
     q["words_with_best_pair"] = f"""WITH {WORD_FREQ}, p AS ({pairs_of("w0")}),
-b AS (SELECT "left", "right" FROM p {ORDER_PAIRS} LIMIT 1)
-SELECT toks, freq FROM w0, b WHERE contains(toks, '|' || b."left" || '||' || b."right" || '|')"""
+b AS MATERIALIZED (SELECT '|' || "left" || '||' || "right" || '|' AS pair FROM p {ORDER_PAIRS} LIMIT 1)
+SELECT toks, freq FROM w0 WHERE contains(toks, (SELECT pair FROM b))"""
     q["loss_curve_points"] = f"""WITH {METRICS},
 pts AS (SELECT run_name, step, 'train_loss' AS series, train_loss AS loss FROM metrics WHERE train_loss IS NOT NULL
         UNION ALL SELECT run_name, step, 'val_loss', val_loss FROM metrics WHERE val_loss IS NOT NULL),
@@ -269,6 +269,7 @@ SELECT p.run_name, p.series, p.step,
        round(80 + (p.step - e.x_min) / (e.x_max - e.x_min) * 790, 3) AS px,
        round(40 + (e.y_max - p.loss) / (e.y_max - e.y_min) * 410, 3) AS py
 FROM pts p JOIN ext e USING (run_name)"""
+    q["decode_by_join"] = q["encode_decode_roundtrip"]
     q["stream_pretoken_counts"] = q["pretoken_counts"]
     q["stream_encode_token_counts"] = q["encode_token_counts"]
     q["stream_run_status"] = f"""

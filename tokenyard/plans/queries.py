@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import Tokenizer
-from ..functions.vecmath import linear_project, logsumexp, rms_normalize, softmax
+from ..functions.vecmath import logsumexp, rms_normalize, softmax
 from ..operators import bpe, counts, encode, runs, scores, segments, windows
 from ..sinks.tables import materialize
 from ..sources.tables import balanced, table
@@ -70,12 +70,11 @@ def q_top_pairs(spark, sf_dir):
 
 
 def q_words_with_best_pair(spark, sf_dir):
-    """The words in which the best pair occurs (the words a merge of it rewrites)."""
-    from ..operators.vocab import words_with_pair
-
-    words = _words(spark, sf_dir).persist()
-    best = counts.best_pair(counts.pair_counts(words)).first()  # exactly one row
-    return words_with_pair(words, best.left, best.right).select("toks", "freq")
+    """The words in which the best pair occurs (the words a merge of it rewrites); one lazy plan."""
+    words = _words(spark, sf_dir)
+    best = counts.best_pair(counts.pair_counts(words))
+    pair = best.select(F.concat(F.lit("|"), "left", F.lit("||"), "right", F.lit("|"))).scalar()
+    return words.withColumn("pair", pair).where(F.instr("toks", F.col("pair")) > 0).select("toks", "freq")
 
 
 def q_bpe_merges_8(spark, sf_dir):
@@ -116,11 +115,13 @@ def q_encode_decode_roundtrip(spark, sf_dir):
 
 def q_decode_join(spark, sf_dir):
     td, tok = _encoded(spark, sf_dir)
-    vocab = encode.vocab_frame(spark, tok)
-    j = encode.decode_join(td, vocab, tok.vocab_size)
-    return j.groupBy("token_id", "token").agg(F.count(F.lit(1)).alias("n")).select(
-        "token_id", _hex("token").alias("token"), "n"
-    )
+    return encode.count_tokens(td, encode.vocab_frame(spark, tok)).select("token_id", _hex("token").alias("token"), "n")
+
+
+def q_decode_by_join(spark, sf_dir):
+    """F9 by the join that vocabularies too large for an expression take."""
+    td, tok = _encoded(spark, sf_dir)
+    return encode.decode_by_join(td, tok).select("doc_id", "text")
 
 
 def q_token_count_by_lang(spark, sf_dir):
@@ -143,6 +144,11 @@ def _memo_table(spark, sf_dir, name, build, **write):
     return df
 
 
+def encoded_lines(spark, sf_dir):
+    """The documents encoded line by line."""
+    return _encoded(spark, sf_dir, per_line=True)[0]
+
+
 def _dataset(spark, sf_dir):
     """K2 input: the documents encoded line by line (G13), written once as `token_docs`."""
     return _memo_table(
@@ -236,37 +242,25 @@ def q_rms_normalize(spark, sf_dir):
     )
 
 
-# Most rows of a weight matrix we ship inside the expression.
-MAX_WEIGHT_ROWS = 4096
-
-
 def q_linear_project(spark, sf_dir):
     """F14 with W = the per-label mean vectors (nearest-centroid scores), derived by Spark."""
     e = _emb(spark, sf_dir)
-    cent = (
+    weights = (
         e.select("label", F.posexplode(F.transform("embedding", lambda x: x.cast("double"))).alias("dim", "x"))
         .groupBy("label", "dim")
         .agg(F.avg("x").alias("w"))
         .groupBy("label")
-        .agg(F.array_sort(F.collect_list(F.struct("dim", "w"))).alias("ws"))
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "w"))), lambda s: s["w"]).alias("w"))
+        .withColumnRenamed("label", "out_id")
     )
-    n_labels = cent.count()
-    if n_labels > MAX_WEIGHT_ROWS:
-        raise ValueError(f"{n_labels} output rows exceed the weight-matrix limit {MAX_WEIGHT_ROWS}")
-    rows = sorted(cent.collect(), key=lambda r: r.label)
-    labels = [r.label for r in rows]
-    weight = F.array(*[F.lit([float(s.w) for s in r.ws]) for r in rows])
-    out = e.select("vec_id", F.posexplode(linear_project(F.col("embedding"), weight)).alias("k", "score"))
-    lab = F.lit(labels)
-    return out.select("vec_id", F.element_at(lab, F.col("k") + 1).alias("out_id"), F.round("score", 6).alias("score"))
+    out = scores.linear_project_table(e, weights, "embedding", keys=("vec_id",))
+    return out.select("vec_id", "out_id", F.round("score", 6).alias("score"))
 
 
 def q_embed_lookup(spark, sf_dir):
     td, _ = _encoded(spark, sf_dir, cols=("doc_id", "lang", "text"))
     tc = td.select("lang", F.explode("ids").alias("token_id")).groupBy("lang", "token_id").agg(F.count(F.lit(1)).alias("n"))
-    emb = table(spark, sf_dir, "embeddings")
-    n_emb = emb.count()
-    j = scores.embed_lookup(tc, emb, n_emb)
+    j = scores.embed_lookup(tc, table(spark, sf_dir, "embeddings"))
     long = j.select("lang", "n", F.posexplode(F.transform("vec", lambda x: x.cast("double"))).alias("dim", "x"))
     return long.groupBy("lang", "dim").agg(
         F.round(F.sum(F.col("n") * F.col("x")) / F.sum("n"), 6).alias("value")
@@ -366,8 +360,10 @@ QUERIES = {
 def _stream_of(spark, sf_dir, name, cols):
     from ..streaming.streams import file_stream
 
-    schema = table(spark, sf_dir, name).select(*cols).schema
-    return file_stream(spark, sf_dir, schema, glob=f"{name}.parquet").select(*cols)
+    static = table(spark, sf_dir, name).select(*cols)
+    if all(f.endswith(f"/{name}.parquet") for f in static.inputFiles()):  # the table is one file among others
+        return file_stream(spark, sf_dir, static.schema, glob=f"{name}.parquet").select(*cols)
+    return file_stream(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", static.schema, max_files=1000).select(*cols)
 
 
 def q_stream_pretoken_counts(spark, sf_dir):

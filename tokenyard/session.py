@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tokenyard-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc._jsc.sc().getCheckpointDir().get()

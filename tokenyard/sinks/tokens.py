@@ -17,10 +17,10 @@ def write_tokens(token_docs: DataFrame, path: str, block_size: int = 1 << 16, ha
     however many passes the block layout needs.
     """
     docs = materialize(token_docs.select(order_col, "ids", F.size("ids").cast("long").alias("n_tokens")), "token_docs")
+    total = docs.agg(F.sum("n_tokens").cast("long")).first()[0] or 0
+    if total == 0:  # before the old dataset is touched
+        raise ValueError("the input holds no tokens")
     blocks = token_blocks(docs, block_size, halo, order_col, shard_blocks)
     # One folder per shard, rows sorted by block inside each file (tight row-group statistics).
     blocks.sortWithinPartitions("block_id").write.mode("overwrite").partitionBy("shard").parquet(path)
-    total = docs.agg(F.sum("n_tokens").cast("long")).first()[0] or 0
-    if total == 0:
-        raise ValueError("input produced no tokens")
     return int(total)

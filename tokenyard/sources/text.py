@@ -25,7 +25,7 @@ def scan_documents(spark: SparkSession, path: str, specials: Sequence[str]) -> D
     """
     sp = specials_longest_first(specials)
     if not sp:
-        return scan_lines(spark, path)
+        return scan_lines(spark, path).select("text")
     raw = spark.read.option("lineSep", sp[0]).text(path).withColumnRenamed("value", "text")
     raw = raw.withColumn("piece_id", F.monotonically_increasing_id())
     segs = special_segments(raw, sp, keys=("piece_id",), keep_specials=False)
@@ -33,9 +33,17 @@ def scan_documents(spark: SparkSession, path: str, specials: Sequence[str]) -> D
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line with its newline kept (``text``).
+    """One row per line with its newline kept (``text``), with the sort key ``(file, line_start)`` of file order.
 
-    Spark's line reader drops the separator; it is put back on every line, so a file whose last
-    line has no newline gets one.
+    A last line without a newline stays without: of each file's lines only the one that ends at the file's length
+    can lack it, and whether it does shows in the bytes that the lines account for.
     """
-    return spark.read.option("lineSep", "\n").text(path).select(F.concat(F.col("value"), F.lit("\n")).alias("text"))
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    total = lines.groupBy("file").agg(
+        (F.sum(F.octet_length("value") + 1) > F.max("file_size")).alias("cut"), F.max(F.struct("block", "n")).alias("last"))
+    return lines.join(total, "file").select(
+        F.when(F.col("cut") & (F.struct("block", "n") == F.col("last")), F.col("value"))
+        .otherwise(F.concat("value", F.lit("\n"))).alias("text"),
+        "file", F.struct("block", "n").alias("line_start"))

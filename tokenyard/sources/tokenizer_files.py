@@ -13,7 +13,17 @@ HEX_FORMAT = "cs336_bytes_hex_v1"
 
 
 def _whole(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
+
+
+def _parsed(col: str, schema: str, path: str):
+    """``from_json`` that fails on a file that does not parse."""
+    return F.coalesce(F.from_json(col, schema), F.raise_error(F.lit(f"not a JSON map: {path}")).cast(schema))
+
+
+def _two(parts):
+    """The two tokens of a merge line; other numbers of tokens are an error."""
+    return F.when(F.size(parts) == 2, parts).otherwise(F.raise_error(F.lit("a merge line must hold exactly two tokens")))
 
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
@@ -21,7 +31,7 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     raw = _whole(spark, path)
     fmt = F.get_json_object("value", "$.format")
     hex_map = F.from_json(F.get_json_object("value", "$.vocab"), "map<string,string>")
-    legacy = F.from_json("value", "map<string,string>")
+    legacy = _parsed("value", "map<string,string>", path)
     rows = raw.select(
         F.explode(F.when(fmt == HEX_FORMAT, hex_map).otherwise(legacy)).alias("k", "v"), (fmt == HEX_FORMAT).alias("is_hex")
     ).filter(F.col("k") != "format")
@@ -49,10 +59,7 @@ def read_merges(spark: SparkSession, path: str) -> DataFrame:
     # Vocabulary-sized file, already read whole: lines get their rank from posexplode (file order).
     lines = raw.select(F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n", -1)).alias("rank", "line"))
     parts = lines.filter(F.col("line") != "").select("rank", F.split("line", " ", -1).alias("p"))
-    checked = parts.select(
-        "rank",
-        F.when(F.size("p") == 2, F.col("p")).otherwise(F.raise_error(F.lit("merge line must hold exactly two tokens"))).alias("p"),
-    )
+    checked = parts.select("rank", _two(F.col("p")).alias("p"))
     return checked.select(
         F.col("rank").cast("int").alias("rank"),
         F.encode(F.col("p")[0], "ISO-8859-1").alias("left"),
@@ -62,25 +69,30 @@ def read_merges(spark: SparkSession, path: str) -> DataFrame:
 
 def load_tokenizer(spark: SparkSession, vocab_path: str, merges_path: str, specials=None) -> Tokenizer:
     """Build the driver-side Tokenizer (its size is the vocabulary's)."""
-    vocab = {r.token_id: bytes(r.token) for r in read_vocab(spark, vocab_path).collect()}
-    merges = [(bytes(r.left), bytes(r.right)) for r in sorted(read_merges(spark, merges_path).collect(), key=lambda r: r.rank)]
-    return Tokenizer(dict(sorted(vocab.items())), merges, list(specials or []))
+    return _tokenizer(read_vocab(spark, vocab_path), read_merges(spark, merges_path), specials)
+
+
+# ---- fixed values: the byte ranges that stand for themselves in printable tokenizer files -----
+PRINTABLE_RANGES = ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF))
+# ----------------------------------------------------------------------------------------------
 
 
 def printable_byte_map() -> dict[str, int]:
-    """GPT-2's printable stand-in character for every byte, built by its rule.
+    """The printable stand-in character of every byte: itself, or in order the code points from 256 on."""
+    own = [b for low, high in PRINTABLE_RANGES for b in range(low, high + 1)]
+    others = sorted(set(range(256)) - set(own))
+    return dict(zip(map(chr, [*own, *range(256, 256 + len(others))]), [*own, *others]))
 
-    Printable bytes (``!``..``~``, ``¡``..``¬``, ``®``..``ÿ``) stand for themselves; the remaining
-    bytes take code points 256, 257, ... in byte order.
-    """
-    keep = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF]
-    out = {chr(b): b for b in keep}
-    extra = 0
-    for b in range(256):
-        if b not in out.values():
-            out[chr(256 + extra)] = b
-            extra += 1
-    return out
+
+def load_printable_tokenizer(spark: SparkSession, vocab_path: str, merges_path: str, specials=None) -> Tokenizer:
+    """The driver-side Tokenizer of printable vocabulary and merge files."""
+    return _tokenizer(read_printable_vocab(spark, vocab_path), read_printable_merges(spark, merges_path), specials)
+
+
+def _tokenizer(vocab: DataFrame, merges: DataFrame, specials) -> Tokenizer:
+    ids = {r.token_id: bytes(r.token) for r in vocab.collect()}
+    ranked = sorted(merges.collect(), key=lambda r: r.rank)
+    return Tokenizer(dict(sorted(ids.items())), [(bytes(r.left), bytes(r.right)) for r in ranked], list(specials or []))
 
 
 def _printable_to_binary(col):
@@ -94,7 +106,7 @@ def _printable_to_binary(col):
 
 def read_printable_vocab(spark: SparkSession, path: str) -> DataFrame:
     """``{printable_token: id}`` JSON -> ``vocab(token_id, token BINARY)``."""
-    raw = _whole(spark, path).select(F.explode(F.from_json("value", "map<string,int>")).alias("k", "token_id"))
+    raw = _whole(spark, path).select(F.explode(_parsed("value", "map<string,int>", path)).alias("k", "token_id"))
     return raw.select("token_id", _printable_to_binary(F.col("k")).alias("token"))
 
 
@@ -102,8 +114,8 @@ def read_printable_merges(spark: SparkSession, path: str) -> DataFrame:
     """``left right`` lines in printable form -> ``merges(rank, left, right)`` (rank = line order)."""
     raw = _whole(spark, path)
     lines = raw.select(F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n", -1)).alias("line_no", "line"))
-    parts = lines.select("line_no", F.split("line", " ", -1).alias("p")).filter(F.size("p") == 2)
-    return parts.select(
+    parts = lines.filter(F.col("line") != "").select("line_no", F.split("line", " ", -1).alias("p"))
+    return parts.select("line_no", _two(F.col("p")).alias("p")).select(
         F.col("line_no").cast("int").alias("rank"),
         _printable_to_binary(F.col("p")[0]).alias("left"),
         _printable_to_binary(F.col("p")[1]).alias("right"),
