@@ -29,11 +29,12 @@ def n_words(text: Column) -> Column:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a frame once to the shared scratch folder and read it back: cuts lineage, survives lost executors.
 
-    The shuffle files behind it go as soon as it is written.
+    The shuffle files behind it go as soon as it is written. Python workers get batches of at most 2,000 rows.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with sql_conf(spark, **{"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+    with sql_conf(spark, **{"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+                            "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -20,7 +20,7 @@ from tokenyard.llm.common import staged
 
 _U = np.uint64
 #: Entries a worker gathers before it sends them (of at most _MOST_ROWS documents), and entries of a fragment.
-BATCH_ENTRIES, FRAGMENT_ENTRIES = 1 << 21, 1 << 22
+BATCH_ENTRIES, FRAGMENT_ENTRIES = 1 << 20, 1 << 21
 _MOST_ROWS, _SURE, _LIST_PARTS = 32000, 1 << 15, 1 << 12
 
 #: Units of a text: (data, row offsets) to (a 64-bit hash per unit, offset of each row in units).
