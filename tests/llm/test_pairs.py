@@ -11,7 +11,7 @@ from tokenyard.llm import arrays as A
 from tokenyard.llm import ngram_join, pfp_dedup, phrase_dedup
 from tokenyard.llm.graph import components
 
-from llm_texts import prose
+from llm_texts import make_docs, odd_rows, prose  # noqa: F401
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tokenyard.llm import chat, ctw, fingerprints, quality
 
-from llm_texts import prose
+from llm_texts import make_docs, odd_rows, prose  # noqa: F401
 
 TURNS = "conv_id long, turn long, role string, text string, turns int, formatted string"
 
