@@ -89,6 +89,7 @@ def main():
         },
         "bpe": {"merges": len(m.merges), "rounds": m.rounds} if m else None,
         "errors": errors,
+        "excludes": "encode_*, global_offsets: the tokenizer's learning (corpus_tokenizer); lm_windows_sampled: encoding and block writing",
         "bpe_vocab500_sf0.001": {"sec": small_sec, "merges": len(small.merges), "rounds": small.rounds,
                                  "corpus_chars": 495892},
     }))

@@ -1,3 +1,4 @@
+import pytest
 import math
 
 from pyspark.sql import functions as F
@@ -147,3 +148,14 @@ def test_blocks_exact_block_docs_and_full_halo(spark):
     assert [list(b.tail) for b in blocks] == [list(range(16, 32)), list(range(32, 48)), []]
     rows = lm_windows_all(token_blocks(td, block_size=16, halo=16), n, 16, 16).collect()
     assert sorted(r.start for r in rows) == [0, 16]
+
+
+@pytest.mark.parametrize("stride", [1, 3, 7, 10])
+def test_windows_in_small_chunks(spark, monkeypatch, stride):
+    import tokenyard.operators.windows as windows
+
+    monkeypatch.setattr(windows, "CHUNK_WINDOW_TOKENS", 21)
+    td, n = _docs(spark, [50, 1, 120, 30])
+    rows = lm_windows_all(token_blocks(td, block_size=32, halo=16), n, 7, stride).collect()
+    assert sorted(r.start for r in rows) == list(range(0, n - 7, stride))
+    assert all(list(r.x) == list(range(r.start, r.start + 7)) and list(r.y) == [v + 1 for v in r.x] for r in rows)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_index
+from ..sinks.tables import materialize
 
 # Largest number of sample rows we broadcast to the block scan.
 BROADCAST_SAMPLES_LIMIT = 5_000_000
@@ -30,10 +31,9 @@ def global_offsets(
     range) are prefix-summed and broadcast back.
     """
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Persisted so that both branches below see one range assignment: two executions of a range
-    # exchange may sample different bounds. (Narrow rows; a lost block is recomputed from the same
-    # shuffle, whose partitioner is fixed.)
-    ranged = df.repartitionByRange(parts, order_col).withColumn("_rng", F.spark_partition_id()).persist()
+    # Written once so that both branches below see one range assignment: two executions of a range
+    # exchange may sample different bounds. (Narrow rows.)
+    ranged = materialize(df.repartitionByRange(parts, order_col).withColumn("_rng", F.spark_partition_id()), "ranges")
     before = Window.partitionBy("_rng").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", F.coalesce(F.sum(size_col).over(before), F.lit(0)).cast("long"))
     totals = ranged.groupBy("_rng").agg(F.sum(size_col).cast("long").alias("_tot"))
@@ -150,24 +150,40 @@ def _slices(start_in_block, length: int, ids=None, tail=None):
     return _window(ids, tail, start_in_block, length), _window(ids, tail, start_in_block + 1, length)
 
 
+# Tokens of windows that one exploded chunk of a block builds at a time.
+CHUNK_WINDOW_TOKENS = 1 << 17
+
+
 def lm_windows_all(blocks: DataFrame, total_tokens: int, length: int, stride: int | None = None) -> DataFrame:
     """Every window ``(start, x, y)`` with ``start`` a multiple of ``stride`` and
-    ``start + length <= total_tokens - 1`` (``y`` is ``x`` shifted by one). Narrow: no shuffle."""
+    ``start + length <= total_tokens - 1`` (``y`` is ``x`` shifted by one). Narrow: no shuffle.
+
+    Blocks are first cut into chunks that hold a bounded number of windows, so small strides do not build all of
+    a block's windows in one row.
+    """
     stride = stride or length
     last_start = total_tokens - length - 1
+    span = stride * max(1, CHUNK_WINDOW_TOKENS // length)
+    row = F.concat("ids", "tail")
+
+    def chunk(at):
+        return F.struct((F.col("start") + at).alias("start"),
+                        F.least(F.lit(span), F.size("ids") - at).alias("n"),
+                        F.slice(row, at + 1, F.lit(span + length)).alias("ids"))
+
+    offsets = F.sequence(F.lit(0), F.size("ids") - 1, F.lit(span))
+    chunks = blocks.where(F.size("ids") > 0).select(F.explode(F.transform(offsets, chunk)).alias("c")).select("c.*")
     first = (F.ceil(F.col("start") / stride) * stride).cast("long")
-    last = F.least(F.col("start") + F.size("ids") - 1, F.lit(last_start)).cast("long")
+    last = F.least(F.col("start") + F.col("n") - 1, F.lit(last_start)).cast("long")
     starts = F.when(first <= last, F.sequence(first, last, F.lit(stride).cast("long"))).otherwise(
         F.array().cast("array<bigint>")
     )
 
     def one(s):
-        x, y = _slices(s - F.col("start"), length)
+        x, y = _slices(s - F.col("start"), length, tail=F.array().cast("array<int>"))
         return F.struct(s.alias("start"), x.alias("x"), y.alias("y"))
 
-    # Windows are built as an array per block and exploded alone, so the block arrays are not
-    # copied into every output row.
-    return blocks.select(F.explode(F.transform(starts, one)).alias("w")).select("w.*")
+    return chunks.select(F.explode(F.transform(starts, one)).alias("w")).select("w.*")
 
 
 def sample_starts(spark, n_samples: int, total_tokens: int, length: int, seed: int) -> DataFrame:

@@ -319,7 +319,7 @@ def q_series_minmax(spark, sf_dir):
 def q_loss_curve_points(spark, sf_dir):
     """every loss point mapped into the plot box by its run's extents."""
     pts = runs.long_series(metrics_from_events(spark, sf_dir))
-    ext = runs.series_extent(pts).persist()
+    ext = materialize(runs.series_extent(pts), "extents")
     n_runs = ext.count()
     proj = runs.minmax_project(pts, ext, n_runs)
     return proj.select("run_name", "series", "step", F.round("px", 3).alias("px"), F.round("py", 3).alias("py"))
