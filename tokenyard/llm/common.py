@@ -26,15 +26,16 @@ def n_words(text: Column) -> Column:
     return F.when(body == "", 0).otherwise(spread - gaps).cast("long")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, batch_rows: int = 2000) -> DataFrame:
     """Write a frame once to the shared scratch folder and read it back: cuts lineage, survives lost executors.
 
-    The shuffle files behind it go as soon as it is written. Python workers get batches of at most 2,000 rows.
+    The shuffle files behind it go as soon as it is written. Python workers get batches of at
+    most ``batch_rows`` rows.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     with sql_conf(spark, **{"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-                            "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}):
+                            "spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows)}):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -33,7 +33,7 @@ from tokenyard.llm.common import staged
 
 DEPTH, _END = 5, 255  # 0xFF is in no UTF-8 text: it ends a text and stands before it
 #: Text bytes of a batch, and of the corpus per fragment.
-BATCH_BYTES, FRAGMENT_BYTES = 4 << 20, 1 << 23
+BATCH_BYTES, FRAGMENT_BYTES = 3 << 20, 1 << 23
 _U = np.uint64
 _HALF = np.log(0.5)
 _STOP = _U(0xE0D)  # the word number of a text's end
@@ -47,7 +47,7 @@ def held_out(doc_id: int | None, folds: int = 7, fold: int = 2) -> bool:
 
 
 def _batches(docs: DataFrame) -> DataFrame:
-    """Rows (batch, ids, sizes, text): documents in batches of bounded bytes, texts lower-cased."""
+    """Rows (batch, ids, sizes, text): documents in batches of bounded bytes, texts lower-cased and compressed."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -57,7 +57,8 @@ def _batches(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([
                 pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                 pa.array([np.concatenate(sizes).astype("<i8").tobytes()], pa.binary()),
-                pa.array([b"".join(texts)], pa.binary())], ["batch", "ids", "sizes", "text"])
+                pa.array([pa.compress(b"".join(texts), codec="zstd", asbytes=True)], pa.binary())],
+                ["batch", "ids", "sizes", "text"])
 
         for batch in batches:
             data, offsets = A.utf8(batch.column("text"))
@@ -117,7 +118,8 @@ def _texts(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for k in range(batch.num_rows):
             sizes = np.frombuffer(batch.column("sizes")[k].as_py(), "<i8")
-            data = np.frombuffer(batch.column("text")[k].as_buffer(), np.uint8)
+            raw = pa.decompress(batch.column("text")[k].as_py(), int(sizes.sum()), codec="zstd", asbytes=True)
+            data = np.frombuffer(raw, np.uint8)
             yield batch, k, batch.column("ids")[k].as_py(), data, np.concatenate([[0], np.cumsum(sizes)])
 
 
@@ -330,7 +332,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(16, -(-size // FRAGMENT_BYTES))
     blobs = staged(_batches(docs), "ctw-batches")
-    blocks = staged(_counted(blobs, parts), "ctw-blocks")
+    blocks = staged(_counted(blobs, parts), "ctw-blocks", batch_rows=1)
 
     def tops(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return _top_sums(*_summed(table)[:2])
@@ -389,4 +391,4 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 pa.array(length), pa.array(-full * np.log2(10) / np.maximum(length, 1))],
                 [f.split()[0] for f in schema.split(", ")])
 
-    return blobs.join(per_batch, "batch").mapInArrow(score, schema)
+    return staged(blobs.join(per_batch, "batch").mapInArrow(score, schema), "ctw-scores", batch_rows=1)
