@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one kernel call works on; a longer document is one call of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
 #: Odd multiplier of the rolling hashes (2**64 divided by the golden ratio) and its inverse modulo 2**64.

@@ -20,7 +20,7 @@ from tokenyard.llm.common import staged
 
 _U = np.uint64
 #: Entries a worker gathers before it sends them (of at most _MOST_ROWS documents), and entries of a fragment.
-BATCH_ENTRIES, FRAGMENT_ENTRIES = 1 << 20, 1 << 21
+BATCH_ENTRIES, FRAGMENT_ENTRIES = 1 << 19, 1 << 19
 _MOST_ROWS, _SURE, _LIST_PARTS = 32000, 1 << 15, 1 << 12
 
 #: Units of a text: (data, row offsets) to (a 64-bit hash per unit, offset of each row in units).
@@ -87,12 +87,13 @@ def deal(parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], fragments:
         if several.any():
             rows += _lists(doc[several], key[several])
         table, index = np.unique(doc[at], return_inverse=True)
-        index = index.astype(np.uint16) | np.where(length > 1, _SURE, 0).astype(np.uint16)
+        sure = np.where(length > 1, _SURE, 0).astype(np.uint16)
         one = key[at]
         part = _fragment(one, fragments)
-        raw = table.tobytes()
         for i, j in A.runs(part):
-            rows.append((int(part[i]), None, None, raw, index[i:j].tobytes(), one[i:j].tobytes()))
+            used, local = np.unique(index[i:j], return_inverse=True)
+            rows.append((int(part[i]), None, None, table[used].tobytes(), (local.astype(np.uint16) | sure[i:j]).tobytes(),
+                         one[i:j].tobytes()))
         return _batch(rows)
 
     for docs, row, key in parts:
