@@ -169,7 +169,9 @@ def shared_keys(blocks: DataFrame, least_only: bool = False) -> DataFrame:
 
 
 def n_fragments(n: int) -> int:
-    return max(16, -(-n // FRAGMENT_ENTRIES))
+    """Fragments for n entries. A document's keys come back in a row per fragment; with many fragments from the start,
+    that is a row for nearly each key at any size, and rows follow the keys."""
+    return max(128, -(-n // FRAGMENT_ENTRIES))
 
 
 def with_shared_anchors(docs: DataFrame, units: Units, q: int, span: int) -> DataFrame:
