@@ -31,7 +31,7 @@ from tokenyard.llm.graph import components
 
 _U = np.uint64
 #: N-grams that a fragment holds on average, and that a worker gathers before it sends them.
-FRAGMENT_GRAMS, BATCH_GRAMS = 1 << 22, 1 << 21
+FRAGMENT_GRAMS, BATCH_GRAMS = 1 << 21, 1 << 20
 #: Share of the documents from which an n-gram is common; at most (mean set size / share) n-grams are.
 COMMON_SHARE = 0.005
 #: Parts in which candidate pairs are verified.
