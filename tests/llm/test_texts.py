@@ -88,6 +88,16 @@ def test_quality_verdict(spark, make_docs):
     assert quality.quality_rules(docs.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("sf, junk, at_least", [("sf0.001", 6, 5), ("sf0.01", 27, 27)])
+def test_quality_rejects_labelled_junk(spark, sf, junk, at_least):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality.quality_rules(docs, labels).where("NOT base_failed").join(labels, "doc_id")
+    bad = [r.kept for r in judged.where("quality = 0").collect()]
+    good = [r.kept for r in judged.where("quality = 1").collect()]
+    assert len(bad) == junk and bad.count(False) >= at_least
+    assert good.count(False) <= 0.01 * len(good)
+
+
 def test_fingerprint_algebra():
     a, b, c = "first line\nsecond line here", "third one", "second line here\nfirst line"
     one, two, swapped, joined = (fingerprints.of_texts([t]) for t in (a, b, c, a + "\n" + b))
