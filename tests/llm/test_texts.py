@@ -49,6 +49,19 @@ def test_chat_round_trip(spark):
     assert chat.chat_digest(chat.expand_chat(turns.limit(0))).count() == 0
 
 
+def test_chat_repeated_last_turn(spark):
+    rows = [(1, 0, "assistant", "hi"), (1, 1, "user", "bye"), (1, 1, "user", "bye"), (2, 0, "user", "x"), (2, 0, "user", "x"),
+            (3, None, None, None), (3, None, None, None), (4, 0, "assistant", "a"), (4, 0, "assistant", "a")]
+    examples = chat.expand_chat(spark.createDataFrame([(*r, 9, "clash") for r in rows], TURNS).repartition(3))
+    digest = chat.chat_digest(examples).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in digest} == digest_by_hand(rows)
+    assert {r.conv_id: (r.n_turns, r.trainable) for r in examples.where("complete").collect()} == {
+        1: (3, False), 2: (2, False), 3: (2, False), 4: (2, True)}
+    chars = {r.conv_id: r.formatted_chars for r in digest}
+    turn = len(f"{chat.OPEN}user\n{chat.CLOSE}\n")
+    assert chars[2] == 2 * (turn + 1) and chars[1] == (turn + 5 + 2) + (turn + 5 + 2) + 2 * (turn + 3)
+
+
 def base_by_hand(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = collections.Counter(zip(w, w[1:], w[2:]))

@@ -58,13 +58,12 @@ def expand_chat(conversations: DataFrame, trainable_role: str = "assistant") ->
     turn = F.struct("at", F.concat("head", "body", F.lit(CLOSE + "\n")).alias("shown"))
     target = F.struct("at", "end", (F.col("end") - tail - F.length("body")).alias("loss_start"),
                       (F.col("end") - tail).alias("loss_end"), "own")
-    last = Window.partitionBy("conv_id").orderBy(F.desc("turn"), F.desc("role"), F.desc("text"))
     grouped = (turns
-               .withColumn("final", F.row_number().over(last) == 1)
                .groupBy("conv_id")
-               .agg(F.sort_array(F.collect_list(turn)).alias("turns"),
-                    F.sort_array(F.collect_list(F.when(F.col("own") | F.col("final"), target))).alias("targets")))
-    script = grouped.select("conv_id", "targets", F.size("turns").alias("all_turns"),
+               .agg(F.sort_array(F.collect_list(turn)).alias("turns"), F.max(target).alias("final"),
+                    F.sort_array(F.collect_list(F.when(F.col("own"), target))).alias("own_targets")))
+    targets = F.when(F.col("final.own"), F.col("own_targets")).otherwise(F.concat("own_targets", F.array("final")))
+    script = grouped.select("conv_id", targets.alias("targets"), F.size("turns").alias("all_turns"),
                             F.array_join(F.transform("turns", lambda t: t["shown"]), "").alias("transcript"))
     cut = script.select("conv_id", "all_turns", "transcript", F.posexplode("targets").alias("example", "t"))
     return cut.select(
