@@ -79,6 +79,20 @@ def test_one_of_each(make_docs, odd_rows):
     assert {r.doc_id for r in left.collect()} == {d for d in component if component[d] == d} | {None}
 
 
+def test_one_of_each_decides_by_row(make_docs):
+    base, other, third = prose(40, 120), prose(41, 120), prose(42, 120)
+    rows = [(1, base), (2, other), (2, other), (2, other), (3, base), (3, prose(43, 120)), (None, base), (None, third),
+            (None, third), (4, third + " more"), (5, prose(44, 90)), (5, prose(44, 90) + " end"), (6, None), (7, " "),
+            (None, prose(45, 60)), (None, prose(45, 60)), (None, None)]
+    left = sorted(((r.doc_id, r.text) for r in ngram_join.one_of_each(make_docs(rows)).collect()), key=str)
+    five = [r for r in left if r[0] == 5]
+    assert len(five) == 1 and five[0] in rows
+    want = [(1, base), (2, other), (3, prose(43, 120)), (4, third + " more"), (6, None), (7, " "), (None, prose(45, 60)), (None, None)]
+    assert [r for r in left if r[0] != 5] == sorted(want, key=str)
+    same = ngram_join.one_of_each(make_docs([(1, base), (2, other), (3, None)])).collect()
+    assert len(same) == 3
+
+
 def test_contraction(spark):
     pairs = [(i, i + 1) for i in range(0, 40)] + [(100, 50), (50, 75), (7, 7), (200, 201)]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenyard.llm import arrays as A
@@ -109,8 +109,19 @@ def _gathered(batches: Iterator[pa.RecordBatch], n: int):
         yield out()
 
 
+_KEYS = ("key_a", "key_b")
+
+
+def _row_keys(docs: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a row's columns, nulls told apart; maps, which have no hash, are left out."""
+    cols = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    nulls = [c.isNull() for c in cols]
+    return [F.xxhash64(F.lit(i), *cols, *nulls).alias(k) for i, k in enumerate(_KEYS)]
+
+
 def document_sets(docs: DataFrame, n: int) -> DataFrame:
-    """One row per document (doc_id, n_shingles, class), and rows with ``times`` for n-grams frequent in a batch."""
+    """One row per document (doc_id, n_shingles, class, and key_a, key_b of its row), and rows with ``times`` for
+    n-grams frequent in a batch."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def kept():
@@ -118,7 +129,7 @@ def document_sets(docs: DataFrame, n: int) -> DataFrame:
                 rows.append(pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(i, j - i).cast(pa.int64()), pa.array(np.diff(at)),
                     pa.array(set_classes(flat, at).view(np.int64)), pa.nulls(j - i, pa.int64()),
-                    pa.nulls(j - i, pa.int64())], ["doc_id", "n_shingles", "class", "gram", "times"]))
+                    pa.nulls(j - i, pa.int64()), *[batch.column(k).slice(i, j - i) for k in _KEYS]], names))
                 yield flat, at
 
         rows: list[pa.RecordBatch] = []
@@ -142,11 +153,11 @@ def document_sets(docs: DataFrame, n: int) -> DataFrame:
         k = int(often.sum())
         none = pa.nulls(k, pa.int64())
         return pa.RecordBatch.from_arrays([none, none, none, pa.array(grams[often].view(np.int64)),
-                                           pa.array(times[often].astype(np.int64))],
-                                          ["doc_id", "n_shingles", "class", "gram", "times"])
+                                           pa.array(times[often].astype(np.int64)), none, none], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        scan, "doc_id long, n_shingles long, class long, gram long, times long")
+    names = ["doc_id", "n_shingles", "class", "gram", "times", *_KEYS]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_row_keys(docs)).mapInArrow(
+        scan, ", ".join(f"{c} long" for c in names))
 
 
 def _bits(total: int) -> tuple[int, int]:
@@ -336,16 +347,10 @@ def _open_postings(postings: DataFrame, root: DataFrame) -> DataFrame:
     return rows.join(several.select("gram"), "gram", "left_semi")
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id``: documents linked by Jaccard similarity >= percent of word n-gram sets.
-
-    ``component_id`` is the least doc_id that links reach. Words and case folding are those of :func:`gram_sets`.
-    A document without words (or null) links with nothing and is its own component, as is a null id with null.
-    Repeated rows are copies. Other columns are ignored. No rows: no rows.
-    N-grams are told apart by 64-bit hashes in a set, and by their 52 or more highest bits between sets.
-    """
+def _linked_classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n_shingles, class, key_a, key_b) of all documents, and (node, root) of the classes that links reach."""
     scanned = staged(document_sets(docs, n), "sets")
-    members = scanned.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "class")
+    members = scanned.where("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "class", *_KEYS)
     n_docs, total = members.agg(F.count(F.lit(1)), F.sum("n_shingles")).first()
     often = (scanned.where("times IS NOT NULL").groupBy("gram").agg(F.sum("times").alias("t"))
              .where(F.col("t") >= max(8.0, COMMON_SHARE * n_docs)).select("gram").collect())
@@ -389,7 +394,18 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     more = staged(more, "more-pairs")
     links = links.unionByName(_linked(more, parts, sizes, percent))
     root = components(links)
+    return members, root
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id``: documents linked by Jaccard similarity >= percent of word n-gram sets.
 
+    ``component_id`` is the least doc_id that links reach. Words and case folding are those of :func:`gram_sets`.
+    A document without words (or null) links with nothing and is its own component, as is a null id with null.
+    Repeated rows are copies. Other columns are ignored. No rows: no rows.
+    N-grams are told apart by 64-bit hashes in a set, and by their 52 or more highest bits between sets.
+    """
+    members, root = _linked_classes(docs.select("doc_id", "text"), n, percent)
     classes = members.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     named = classes.join(root.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "least", F.coalesce("root", "class").alias("root"))
@@ -401,8 +417,21 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that are the least id of their component (all columns); of rows with one id and equal
-    sets one stays. Documents without words and null ids stay."""
-    found = jaccard_components(docs, n, percent)
-    gone = found.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """One row of each component (all columns): that of the least id, null ids last, and of rows with one id the
+    least by a hash of the row. Of equal rows one stays. Documents without words stay."""
+    members, root = _linked_classes(docs, n, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *_KEYS)
+    rows = members.where("n_shingles > 0").groupBy("class", "doc_id", *_KEYS).agg(F.count(F.lit(1)).alias("copies"))
+    rows = staged(rows, "distinct-rows")
+    best = rows.groupBy("class").agg(F.min(order).alias("o"))
+    best = (best.join(root.withColumnRenamed("node", "class"), "class", "left")
+            .groupBy(F.coalesce("root", "class").alias("root")).agg(F.min("o").alias("o")).select("o.*"))
+    stay = staged(best.join(rows.select(*_KEYS, "copies"), [*_KEYS]).select(*_KEYS, "copies"), "stay")
+    gone = rows.select(*_KEYS).join(stay, [*_KEYS], "left_anti")
+    keyed = docs.select(F.struct("*").alias("row"), *_row_keys(docs)).join(gone, [*_KEYS], "left_anti")
+    repeated = stay.where("copies > 1").select(*_KEYS)
+    if repeated.isEmpty():
+        return keyed.select("row.*")
+    once = keyed.join(repeated, [*_KEYS], "left_anti").select("row")
+    one = keyed.join(repeated, [*_KEYS], "left_semi").groupBy(*_KEYS).agg(F.first("row").alias("row")).select("row")
+    return once.unionByName(one).select("row.*")
