@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tokenyard.llm.common import staged
 from tokenyard.llm.mixing import mix
@@ -31,7 +32,8 @@ def repeated_string_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix draws them (weights 5, 2, 1 over the sources, at most three times)."""
-    return mix(docs).select(*docs.columns)
+    given = docs.select("doc_id", "source", "text", F.struct("*").alias("document"))
+    return mix(given).select("document.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

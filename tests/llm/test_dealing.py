@@ -9,6 +9,7 @@ import pytest
 from llm_texts import make_docs, odd_rows, prose  # noqa: F401
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tokenyard.llm import mixing, packing, shards
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -62,6 +63,17 @@ def test_mix(make_docs, block_words):
     assert set(docs.columns) <= set(out[0].asDict())
 
 
+def test_mix_keeps_columns_of_like_names(spark, make_docs):
+    docs = make_docs(mixed_rows())
+    for c in ("mix_ratio", "mix_copy", "mix_shard", "mix_order"):
+        docs = docs.withColumn(c, F.concat(F.lit(c), F.col("doc_id")))
+    out = mixing.mix(docs)
+    assert "mix_ratio" in out.columns and sorted(out.columns) == sorted(docs.columns)
+    rows = corpus_pipeline.mixing_stage(spark, docs, "").collect()
+    given = {r.doc_id: r for r in docs.collect()}
+    assert rows and all(r == given[r.doc_id] for r in rows if r.doc_id not in (2002, None))
+
+
 def test_mix_of_nothing(make_docs):
     assert mixing.mix(make_docs([])).count() == 0
     assert mixing.mix(make_docs([(1, None), (2, "")])).count() == 0
