@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenyard.llm import arrays as A
 from tokenyard.llm import ngram_join, pfp_dedup, phrase_dedup
+from tokenyard.llm import recurring as R
 from tokenyard.llm.graph import components
 
 from llm_texts import make_docs, odd_rows, prose  # noqa: F401
@@ -147,6 +148,37 @@ def test_repeated_bytes(make_docs, odd_rows, which):
                    hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got) == want
 
 
+def shared_passage(n=150):
+    passage = prose(50, 30)
+    return [(k, prose(100 + k, 12) + " " + passage + " " + prose(400 + k, 12)) for k in range(n)]
+
+
+@pytest.mark.parametrize("which", ["odd", "near", "shared"])
+def test_repeated_bytes_of_hot_triggers(make_docs, odd_rows, which):
+    rows = {"odd": odd_rows, "near": near_copies(), "shared": shared_passage()}[which]
+    units = [(t or "").encode() for _, t in rows]
+    want = sorted((str(d), ranges(m)) for (d, _), m in zip(rows, brute_removed(rows, units, 50)))
+    for hot_phrases in (1, 3):
+        got = pfp_dedup.remove_repeats(make_docs(rows), sample=1, hot_phrases=hot_phrases).collect()
+        assert sorted((str(r.rest.doc_id), [(s.start, s.end) for s in r.spans]) for r in got) == want
+
+
+def test_hot_triggers_are_spread(make_docs):
+    rows = shared_passage()
+    live = R.with_shared_anchors(make_docs(rows), R.byte_units, pfp_dedup.TRIGGER, 50).where("anchors IS NOT NULL")
+    hot = pfp_dedup.hot_triggers(live, 50, 1, 20)
+    batches = live.select("doc_id", "text", "anchors").toArrow().combine_chunks().to_batches()
+    most = []
+    for dealt in (pfp_dedup._deal(iter(batches), 1 << 16, 50), pfp_dedup._deal(iter(batches), 1 << 16, 50, hot)):
+        parts = {}
+        for b in dealt:
+            for part, windows in zip(b.column("part").to_pylist(), b.column("windows").to_pylist()):
+                if part >= 0:
+                    parts[part] = parts.get(part, 0) + sum(windows)
+        most.append(max(parts.values()))
+    assert len(hot) >= 2 and most[0] > 10 * most[1]
+
+
 def test_texts_without_repeats(make_docs, odd_rows):
     docs = make_docs(odd_rows).withColumn("rest", F.lit(1)).withColumn("anchors", F.lit("a")).withColumn("row", F.lit(2))
     out = pfp_dedup.without_repeats(docs)
