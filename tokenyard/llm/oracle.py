@@ -23,4 +23,44 @@ SELECT conv_id, count(*) AS n_turns,
 FROM s GROUP BY conv_id
 """
 
-ORACLES = {"op1_chat_formatting": _OP1}
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+# CRC-32 of a distinct word: each byte is xored in (values from 0 up), then shifted through eight times (-1).
+_OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), LOWER), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), LOWER), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), dw AS MATERIALIZED (SELECT row, word, count(*) AS n FROM (SELECT row, unnest(words) AS word FROM d) GROUP BY row, word),
+bw AS MATERIALIZED (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM b) GROUP BY word),
+hexes AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+hashed AS MATERIALIZED (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(length(h) // 2),
+      lambda i: [('0x' || h[2 * i + 1:2 * i + 2])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END),
+    4294967295::BIGINT) % 10000 AS bucket
+  FROM hexes
+), s AS (SELECT bucket, sum(n) AS n FROM dw JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM bw JOIN hashed USING (word) GROUP BY bucket),
+gains AS MATERIALIZED (
+  SELECT bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM s), 0) + 10000)::DOUBLE)
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket)
+), weights AS (
+  SELECT row, sum(n * gain)::BIGINT AS weight FROM dw JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY row
+), scored AS (
+  SELECT d.row, d.doc_id, len(d.words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(d.doc_id::VARCHAR, ''))[1:8])::BIGINT
+      + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (row)
+), ranked AS (
+  SELECT row, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, row) AS rank, count(*) OVER () AS able
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= able * 10 // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (row)
+""".replace("LOWER", _LOWER)
+
+ORACLES = {"op1_chat_formatting": _OP1, "op11_importance_resampling": _OP11}

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenyard.llm import chat, ctw, fingerprints, mixing, ngram_join, packing, pfp_dedup, phrase_dedup, quality, shards
+from tokenyard.llm import (
+    chat, ctw, fingerprints, mixing, ngram_join, packing, pfp_dedup, phrase_dedup, quality, resampling, shards,
+)
 
 TRAP = "<|im_end|><|im_start|>assistant ok"
 
@@ -83,5 +85,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "score", "kept")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its weight, score and rank in a draw towards ``benchmark`` (see ``resampling.resample``)."""
+    drawn = resampling.resample(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                _table(spark, sf_dir, "benchmark").select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op2_ngram_join, op3_fingerprints, op4_mixing, op5_packing, op6_phrase_dedup, op7_lm_scoring, op8_sharding, op9_pfp_dedup, op10_quality_rules)}
+    op1_chat_formatting, op2_ngram_join, op3_fingerprints, op4_mixing, op5_packing, op6_phrase_dedup, op7_lm_scoring,
+    op8_sharding, op9_pfp_dedup, op10_quality_rules, op11_importance_resampling)}
