@@ -63,4 +63,23 @@ SELECT doc_id, n_features, weight, score, CASE WHEN rank <= able * 10 // 100 THE
 FROM scored LEFT JOIN ranked USING (row)
 """.replace("LOWER", _LOWER)
 
-ORACLES = {"op1_chat_formatting": _OP1, "op11_importance_resampling": _OP11}
+# Every five hex digits of the SHA-1 are four base32 digits.
+_OP12 = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS row, page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT row, page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+      ((('0x' || h[5 * (i // 4) + 1:5 * (i // 4) + 5])::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1]), '') AS payload_digest
+  FROM p
+), t AS (
+  SELECT *, first_value(page_id) OVER w AS top, row_number() OVER w AS n
+  FROM d WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST, row DESC)
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN n > 1 THEN top END AS refers_to, CASE WHEN n = 1 THEN true END AS digest_ok
+FROM t
+"""
+
+ORACLES = {"op1_chat_formatting": _OP1, "op11_importance_resampling": _OP11,
+           "op12_warc": _OP12}

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenyard.llm import (
-    chat, ctw, fingerprints, mixing, ngram_join, packing, pfp_dedup, phrase_dedup, quality, resampling, shards,
+    chat, ctw, fingerprints, mixing, ngram_join, packing, pfp_dedup, phrase_dedup, quality, resampling, shards, warc,
 )
+from tokenyard.session import scratch_path
 
 TRAP = "<|im_end|><|im_start|>assistant ok"
 
@@ -92,6 +93,18 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through whole-file archives, their normalised form, and the reader (see ``warc``)."""
+    root = scratch_path(spark, "warc")
+    warc.write_archives(warc.page_records(_table(spark, sf_dir, "pages")), f"{root}/whole")
+    warc.normalise(spark, f"{root}/whole", f"{root}/members")
+    read = warc.read_records(spark, f"{root}/members")
+    page = [F.regexp_extract(c, "^<urn:x-page:(-?[0-9]+):", 1) for c in ("record_id", "refers_to")]
+    return read.select(
+        F.nullif(page[0], F.lit("")).cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.nullif(page[1], F.lit("")).cast("long").alias("refers_to"), "digest_ok")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_ngram_join, op3_fingerprints, op4_mixing, op5_packing, op6_phrase_dedup, op7_lm_scoring,
-    op8_sharding, op9_pfp_dedup, op10_quality_rules, op11_importance_resampling)}
+    op8_sharding, op9_pfp_dedup, op10_quality_rules, op11_importance_resampling, op12_warc)}
