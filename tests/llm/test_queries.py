@@ -30,7 +30,7 @@ def test_sql(spark, name):
 
 
 def test_names():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 13))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES] == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 

@@ -81,5 +81,40 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN n = 1 THEN 'response' E
 FROM t
 """
 
+_OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), LOWER), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM d
+), n AS (SELECT lang, sum(len(words))::HUGEINT AS n FROM w GROUP BY lang),
+g AS MATERIALIZED (
+  SELECT lang, m, phrase, count(*)::HUGEINT AS a FROM (
+    SELECT lang, m, array_to_string(words[i:i + m - 1], ' ') AS phrase
+    FROM (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i
+          FROM (SELECT lang, words, unnest([1, 2, 3, 4, 5]) AS m FROM w WHERE len(words) > 0)))
+  GROUP BY lang, m, phrase HAVING count(*) >= 100
+), c AS (
+  SELECT *, string_split(phrase, ' ') AS ws, unnest(range(1, m)) AS k FROM g WHERE m > 1
+), s AS (
+  SELECT c.lang, c.m, c.phrase, c.a, k, l.a AS l, r.a AS r, n.n, (1000 * c.a * n.n) // (l.a * r.a) AS score
+  FROM c JOIN n USING (lang)
+  JOIN g l ON l.lang = c.lang AND l.phrase = array_to_string(ws[1:k], ' ')
+  JOIN g r ON r.lang = c.lang AND r.phrase = array_to_string(ws[k + 1:], ' ')
+), b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, array_to_string(ws[i:i + q - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, ws, q, a, unnest(range(1, m - q + 2)) AS i
+        FROM (SELECT lang, ws, m, a, unnest(range(2, m)) AS q FROM (SELECT *, string_split(phrase, ' ') AS ws FROM g WHERE m > 2)))
+  GROUP BY 1, 2
+)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a::BIGINT AS a,
+  l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM b LEFT JOIN inner_ i ON i.lang = b.lang AND i.phrase = b.phrase
+WHERE i.longer IS NULL OR i.longer < a
+QUALIFY rank <= 2000
+""".replace("LOWER", _LOWER)
+
 ORACLES = {"op1_chat_formatting": _OP1, "op11_importance_resampling": _OP11,
-           "op12_warc": _OP12}
+           "op12_warc": _OP12, "op13_collocations": _OP13}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenyard.llm import (
-    chat, ctw, fingerprints, mixing, ngram_join, packing, pfp_dedup, phrase_dedup, quality, resampling, shards, warc,
+    chat, collocations, ctw, fingerprints, mixing, ngram_join, packing, pfp_dedup, phrase_dedup, quality, resampling, shards, warc,
 )
 from tokenyard.session import scratch_path
 
@@ -105,6 +105,11 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(page[1], F.lit("")).cast("long").alias("refers_to"), "digest_ok")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language of ``documents`` (see ``collocations.collocations``)."""
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_ngram_join, op3_fingerprints, op4_mixing, op5_packing, op6_phrase_dedup, op7_lm_scoring,
-    op8_sharding, op9_pfp_dedup, op10_quality_rules, op11_importance_resampling, op12_warc)}
+    op8_sharding, op9_pfp_dedup, op10_quality_rules, op11_importance_resampling, op12_warc, op13_collocations)}
