@@ -1,21 +1,13 @@
 """A4/A5: exact byte-pair learner in few distributed rounds.
 
-The persisted word table ``(toks, freq)`` holds distinct words with at least two tokens. A round
-finds the K best pairs in learner order (count, then greatest bytes) and, for candidates that may
-be committed, an upper bound on the count of every pair a merge could *create*: for each
-occurrence of ``(a, b)`` in ``x a b y``, ``freq`` is added to ``(pair, L, x)`` and ``(pair, R, y)``;
-the bound is the largest such sum.
-
-The driver then commits the longest prefix of candidates that one-by-one learning would also pick:
-the first always; a later one only when no committed merge can overlap its occurrences (a merge
-of ``(a, b)`` touches only pairs ``(x, a)`` and ``(b, y)``, so its count did not change), its merged
-bytes are not an existing or just-made token (merges are keyed by bytes; a duplicate would feed
-other pairs' counts) and its count is strictly above every bound so far (so no newly created pair
-can overtake or tie it). The committed merges are applied as a chain of ``replace`` calls in one
-projection. Driver state is the merge list plus K rows per round.
-
-Two strategies produce the counts (see ``train_bpe``): a one-job recount for small word tables, and
-an incremental base + change table for large ones.
+A round finds the K best pairs in learner order (count, then greatest bytes) and how often each token stands beside
+them. From these the driver follows one-by-one learning as far as bounds on the counts decide it, also through merges
+that overlap (``commits.py``), and the merges it commits are applied together. Driver state is the merge list, K
+rows per round and their frequent neighbours.
+
+Two strategies produce the counts (see ``train_bpe``): a one-job recount of the persisted word table
+``(toks, freq)`` for small tables; for large ones pair counts that are kept up by changes, and an inverted index from
+pairs to words (``word_index.py``), so that a round reads only words that hold one of its pairs.
 """
 
 from __future__ import annotations
@@ -30,7 +22,10 @@ from pyspark.sql import types as T
 
 from ..functions.pairs import merge_pairs
 from ..session import ensure_checkpoint_dir, sql_conf
+from ..sinks.tables import materialize
+from .commits import Candidate, commit_overlapping
 from .counts import pair_counts, pair_occurrences, pretoken_counts, top_pairs, word_tokens
+from .word_index import build_index
 
 VOCAB_SCHEMA = T.StructType(
     [T.StructField("token_id", T.IntegerType(), False), T.StructField("token", T.BinaryType(), False)]
@@ -70,7 +65,7 @@ def base_vocab(specials: Sequence[str] | None) -> list[bytes]:
 
 # One recount round as one SQL statement over the word table's view: analysed once per round (a
 # chain of DataFrame calls would be re-analysed step by step, which costs more than the job itself
-# on small tables). Same computation as ``counts.pair_occurrences`` + neighbour sums.
+# on small tables). ``per_nb`` is shuffled once and used twice: for the best pairs and for their neighbours.
 _ROUND_SQL = """
 WITH occ AS (
   SELECT freq, a, i
@@ -85,98 +80,61 @@ trip AS (
     named_struct('side', 'R', 'tok', CASE WHEN i + 2 < size(a) THEN a[i + 2] END))) t AS nb
 ),
 per_nb AS (SELECT left, right, side, tok, sum(freq) AS c FROM trip GROUP BY left, right, side, tok),
-per_pair AS (
-  SELECT left, right, sum(CASE WHEN side = 'L' THEN c END) AS n, max(CASE WHEN tok IS NOT NULL THEN c END) AS bound
-  FROM per_nb GROUP BY left, right
+best AS (
+  SELECT left AS l, right AS r, sum(c) AS n FROM per_nb WHERE side = 'L' GROUP BY left, right
+  ORDER BY n DESC, l DESC, r DESC LIMIT {k}
 )
-SELECT left, right, n, bound FROM per_pair ORDER BY n DESC, left DESC, right DESC LIMIT {k}
+SELECT /*+ BROADCAST(best) */ l, r, n, side, tok, c FROM per_nb JOIN best ON left = l AND right = r
+WHERE c >= {floor} OR tok IS NULL
 """
 
 
-def ranked_candidates(words: DataFrame, k: int, view: str | None = None) -> list[tuple[str, str, int, int]]:
-    """One job per round: the k best pairs with their neighbour bounds, ``(left, right, n, bound)``.
+def ranked_candidates(words: DataFrame, k: int, floor: int = 1, view: str | None = None) -> list[Candidate]:
+    """One job per round: the k best pairs in learner order, with their neighbours of ``floor`` occurrences or more.
 
-    Every pair occurrence emits its left and its right neighbour (null at a word edge), weighted by
-    the word frequency. Summing per ``(pair, side, neighbour)`` and then per pair gives both the
-    pair count (the sum of its left-side rows: one per occurrence) and the bound (the largest
-    neighbour sum). For small word tables one such pass beats separate count and bound jobs.
-    ``words`` must hold words of at least two tokens.
+    Every pair occurrence emits its left and its right neighbour (null at a word edge), weighted by the word
+    frequency; sums per ``(pair, side, neighbour)`` give both the counts (the left sides: one per occurrence) and the
+    neighbours. ``words`` must hold words of at least two tokens. The result has at most ``n / floor`` rows per pair
+    and side beside the edges.
     """
     spark = words.sparkSession
     view = view or f"bpe_words_{uuid.uuid4().hex[:12]}"
     words.createOrReplaceTempView(view)
-    rows = spark.sql(_ROUND_SQL.format(view=view, k=int(k))).collect()
-    return [(r.left, r.right, int(r.n), int(r.bound or 0)) for r in rows]
+    return _candidates((tuple(r) for r in spark.sql(_ROUND_SQL.format(view=view, k=int(k), floor=int(floor))).collect()))
 
 
-def commit_prefix(
-    cands: list[tuple[str, str, int, int]],
-    existing_tokens: set[str],
-) -> list[tuple[str, str]]:
-    """Longest prefix of the ranked candidates that equals one-by-one learning (see module doc).
+def _candidates(rows) -> list[Candidate]:
+    """Candidates in learner order from rows (left, right, n, side, neighbour, count)."""
+    found: dict[tuple[str, str], Candidate] = {}
+    for left, right, n, side, tok, c in rows:
+        pair = found.setdefault((left, right), Candidate(left, right, int(n), {}, {}))
+        if tok is not None:
+            (pair.before if side == "L" else pair.after)[tok] = int(c)
+    return sorted(found.values(), key=lambda c: (c.n, c.left, c.right), reverse=True)
 
-    Merging ``(a, b)`` only changes the count of pairs overlapping one of its occurrences, i.e.
-    ``(x, a)`` and ``(b, y)``; so a later candidate ``(c, d)`` keeps its count unless ``d`` is the left
-    token or ``c`` the right token of a committed pair.
-    """
-    committed: list[tuple[str, str]] = []
-    lefts: set[str] = set()
-    rights: set[str] = set()
-    created: set[str] = set()
-    max_bound = -1
-    for j, (left, right, n, bound) in enumerate(cands):
-        new = left + right
-        if j > 0:
-            if right in lefts or left in rights or left in created or right in created:
-                break
-            if new in existing_tokens or new in created:
-                break
-            if n <= max_bound:
-                break
-        committed.append((left, right))
-        lefts.add(left)
-        rights.add(right)
-        created.add(new)
-        max_bound = max(max_bound, bound)
-        if j == 0 and new in existing_tokens:
-            break  # a duplicate token is committed alone
-    return committed
-
-
-def neighbour_bounds(words: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], int]:
-    """Bounds for a few candidate pairs: only words holding one of them are exploded."""
-    from ..functions.pairs import contains_any_pair
-
-    keys = [f"{l} {r}" for l, r in pairs]  # a handful of literals: an in-set test, no join
+
+def neighbours(words: DataFrame, best: list[tuple[str, str, int]], floor: int) -> list[Candidate]:
+    """The given best pairs with their neighbours, from words that include all that hold one of them."""
+    keys = [f"{l} {r}" for l, r, _ in best]  # a few literals: an in-set test, no join
     a, i = F.col("a"), F.col("i")
-    occ = (
-        pair_occurrences(words.filter(contains_any_pair(F.col("toks"), pairs)))
-        .select("freq", "a", "i", F.concat_ws(" ", "left", "right").alias("key"))
-        .filter(F.col("key").isin(keys))
-    )
-    nb = occ.select(
-        "key",
-        "freq",
-        F.explode(
-            F.array(
-                F.when(i > 0, F.concat(F.lit("L"), a[i - 1])),
-                F.when(i + 2 < F.size(a), F.concat(F.lit("R"), a[i + 2])),
-            )
-        ).alias("nb"),
-    ).filter(F.col("nb").isNotNull())
-    rows = nb.groupBy("key", "nb").agg(F.sum("freq").alias("c")).groupBy("key").agg(F.max("c").alias("b")).collect()
-    return {tuple(r.key.split(" ")): int(r.b) for r in rows}
-
-
-def pair_deltas(words: DataFrame, committed: list[tuple[str, str]]) -> DataFrame:
-    """Count changes caused by applying ``committed``: -freq for the pairs of every affected word
-    before the merges, +freq for its pairs after. Only affected words are exploded."""
-    from ..functions.pairs import contains_any_pair
-
-    hit = words.filter(contains_any_pair(F.col("toks"), committed)).withColumn("neg", -F.col("freq"))
-    before = pair_occurrences(hit, keep=("neg",)).select(F.col("neg").alias("d"), "left", "right")
-    after = pair_occurrences(hit, merge_pairs(F.col("toks"), committed)).select(F.col("freq").alias("d"), "left", "right")
-    return before.unionByName(after).groupBy("left", "right").agg(F.sum("d").alias("n")).filter(F.col("n") != 0)
+    occ = pair_occurrences(words).select("freq", "a", "i", F.concat_ws(" ", "left", "right").alias("key")).where(
+        F.col("key").isin(keys))
+    beside = F.array(F.struct(F.lit("L").alias("side"), F.when(i > 0, a[i - 1]).alias("tok")),
+                     F.struct(F.lit("R").alias("side"), F.when(i + 2 < F.size(a), a[i + 2]).alias("tok")))
+    sums = occ.select("key", "freq", F.explode(beside).alias("nb")).groupBy("key", "nb.side", "nb.tok").agg(
+        F.sum("freq").alias("c")).where((F.col("c") >= floor) & F.col("tok").isNotNull())
+    counts = {(l, r): n for l, r, n in best}
+    rows = [(*r.key.split(" "), r.side, r.tok, r.c) for r in sums.collect()]
+    return _candidates([(l, r, n, None, None, 0) for l, r, n in best]
+                       + [(l, r, counts[l, r], side, tok, c) for l, r, side, tok, c in rows])
+
+
+def pair_deltas(changed: DataFrame) -> DataFrame:
+    """Count changes ``(left, right, dn)`` of changed words ``(before, toks, freq)``: -freq for the pairs before, +freq after."""
+    lost = changed.select((-F.col("freq")).alias("d"), F.col("before").alias("toks"))
+    now = changed.select(F.col("freq").alias("d"), "toks")
+    occurrences = pair_occurrences(lost.unionByName(now), keep=("d",))
+    return occurrences.groupBy("left", "right").agg(F.sum("d").alias("dn")).where("dn <> 0")
 
 
 def train_bpe(
@@ -184,7 +142,7 @@ def train_bpe(
     vocab_size: int,
     specials: Sequence[str] | None = None,
     text_col: str = "text",
-    candidates: int = 64,
+    candidates: int = 32,
     checkpoint_every: int = 8,
     partitions: int | None = None,
     one_by_one: bool = False,
@@ -193,10 +151,10 @@ def train_bpe(
     """A4: learn merges until ``vocab_size`` ids exist or no pair remains.
 
     Two exact strategies, same merges:
-    * incremental: keep the pair-count table and update it with the count changes of the words a
-      round rewrote (the reference's incremental index, as table deltas); work per round follows
-      the rewritten words, at the price of two or three small jobs per round;
-    * recount: one job per round that recounts all pairs together with the bounds.
+    * incremental: keep the pair-count table, update it with the count changes of the words that a round
+      rewrote, and find those words by an inverted index; work per round follows the rewritten words, at
+      the price of a few small jobs per round;
+    * recount: one job per round that recounts all pairs together with their neighbours.
     ``incremental=None`` picks by size: recount while the word table holds at most
     ``RECOUNT_MAX_PAIRS`` pair occurrences (job latency dominates), incremental beyond.
     ``one_by_one=True`` commits a single merge per round (the reference's order, for checks).
@@ -256,72 +214,103 @@ def _current_counts(base: DataFrame, acc: DataFrame) -> DataFrame:
 
 def _rounds(spark, words, counted, vocab, merges, specials, vocab_size, candidates, checkpoint_every, one_by_one,
             incremental):
+    run = _Indexed(spark, words, checkpoint_every) if incremental else _Recounted(spark, words, checkpoint_every)
+    if counted is not words and incremental:
+        counted.unpersist()
     existing = {t.hex().upper() for t in vocab}
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    view = f"bpe_words_{uuid.uuid4().hex[:12]}"
-    base = acc = None
-    if incremental:
-        # base: pair counts, hash-partitioned on the pair; acc: the changes since base was built.
-        base = pair_counts(words).persist()
-        acc = spark.createDataFrame([], "left string, right string, dn long").repartition(parts, *PAIR_KEYS)
-    # Generations still cached: the change table of the previous round (read by this round's update)
-    # and words of the previous round (read until this round's words are materialized, at the latest
-    # by the next round's first action).
-    old_acc: list[DataFrame] = []
-    old_words: list[DataFrame] = [] if counted is words else [counted]
-    rounds = 0
+    rounds, floor = 0, 1
     while len(vocab) < vocab_size:
         budget = vocab_size - len(vocab)
-        k = 1 if one_by_one else max(1, min(candidates, budget))
-        if incremental:
-            top = [(r.left, r.right, int(r.n), 0) for r in top_pairs(_current_counts(base, acc), k).collect()]
-        elif k == 1:
-            top = [(r.left, r.right, int(r.n), 0) for r in top_pairs(pair_counts(words), 1).collect()]
-        else:
-            top = ranked_candidates(words, k, view)
-        for df in old_acc:
-            df.unpersist()
-        old_acc = []
-        while len(old_words) > 1:
-            old_words.pop(0).unpersist()
-        if not top:
+        k = 1 if one_by_one else candidates
+        best = run.candidates(k, floor)
+        if counted is not words:
+            counted.unpersist()  # the words made from it are cached by now
+        if not best:
             break
-        if incremental and k > 1:
-            # Candidates that could be committed if their bounds allowed it; bounds only for those.
-            tentative = commit_prefix([(l, r, n, -1) for l, r, n, _ in top], existing)
-            if len(tentative) > 1:
-                bounds = neighbour_bounds(words, tentative[:-1])
-                top = [(l, r, n, bounds.get((l, r), 0)) for l, r, n, _ in top]
-        committed = commit_prefix(top, existing)
+        committed = commit_overlapping(best, k, floor, existing, 1 if one_by_one else budget)
+        floor = max(1, best[-1].n // FLOOR_PART)
         for left, right in committed:
             lb, rb = bytes.fromhex(left), bytes.fromhex(right)
             merges.append((lb, rb))
             vocab.append(lb + rb)
             existing.add(left + right)
         rounds += 1
-        nxt_words = words.select(merge_pairs(F.col("toks"), committed).alias("toks"), "freq").filter(
-            F.instr("toks", "||") > 0
-        )
-        nxt_acc = None
-        if incremental:
-            delta = pair_deltas(words, committed).withColumnRenamed("n", "dn")
-            nxt_acc = acc.unionByName(delta).groupBy(*PAIR_KEYS).agg(F.sum("dn").alias("dn")).filter(F.col("dn") != 0)
-        if rounds % checkpoint_every == 0:
-            # Reliable checkpoints into the shared checkpoint folder cut the lineage.
-            nxt_words = nxt_words.checkpoint(eager=True)
-            if incremental:
-                # Fold the changes into a new base (one shuffle every checkpoint_every rounds).
-                folded = _current_counts(base, nxt_acc).repartition(parts, *PAIR_KEYS).checkpoint(eager=True)
-                base.unpersist()
-                base = folded.persist()
-                old_acc.append(acc)
-                acc = nxt_acc = spark.createDataFrame([], "left string, right string, dn long").repartition(parts, *PAIR_KEYS)
-        old_words.append(words)
-        words = nxt_words.persist()
-        if incremental and nxt_acc is not acc:
-            old_acc.append(acc)
-            acc = nxt_acc.persist()
-    spark.catalog.dropTempView(view)
-    for df in old_acc + old_words + [words, counted] + ([base, acc] if incremental else []):
-        df.unpersist()
+        if len(vocab) < vocab_size:
+            run.commit(committed)
+    run.close()
+    counted.unpersist()
     return BpeModel(vocab, merges, specials, rounds)
+
+
+# Neighbours that count less than the least candidate of the round before divided by this are not listed.
+FLOOR_PART = 256
+
+
+class _Recounted:
+    """The cached word table, rewritten by every round."""
+
+    def __init__(self, spark, words: DataFrame, checkpoint_every: int):
+        self.spark, self.words, self.every, self.old, self.rounds = spark, words, checkpoint_every, [], 0
+        self.view = f"bpe_words_{uuid.uuid4().hex[:12]}"
+
+    def candidates(self, k: int, floor: int) -> list[Candidate]:
+        best = ranked_candidates(self.words, k, floor, self.view)
+        for df in self.old:  # read until the words made from them were cached
+            df.unpersist()
+        self.old = []
+        return best
+
+    def commit(self, pairs: list[tuple[str, str]]) -> None:
+        """The merges applied as a chain of ``replace`` calls in one projection; words of one token left out."""
+        nxt = self.words.select(merge_pairs(F.col("toks"), pairs).alias("toks"), "freq").where(F.instr("toks", "||") > 0)
+        self.rounds += 1
+        if self.rounds % self.every == 0:  # a reliable checkpoint in the shared folder cuts the lineage
+            nxt = nxt.checkpoint(eager=True)
+        self.old.append(self.words)
+        self.words = nxt.persist()
+
+    def close(self) -> None:
+        self.spark.catalog.dropTempView(self.view)
+        for df in [*self.old, self.words]:
+            df.unpersist()
+
+
+class _Indexed:
+    """Pair counts as a written base and its changes, both hash-partitioned on the pair, and the inverted index."""
+
+    def __init__(self, spark, words: DataFrame, fold_every: int):
+        self.spark, self.every, self.rounds, self.hits = spark, fold_every, 0, None
+        numbered = materialize(words.select(F.monotonically_increasing_id().alias("word_id"), "toks", "freq"), "words")
+        words.unpersist()
+        self.index = build_index(numbered)
+        self.base = materialize(pair_counts(numbered), "pair-counts")
+        self.changes: list[DataFrame] = []  # a written table a round
+
+    def _counts(self) -> DataFrame:
+        """Current counts; one sum per pair over the base and the changes since it was written."""
+        rows = self.base
+        for delta in self.changes:
+            rows = rows.unionByName(delta.withColumnRenamed("dn", "n"))
+        if self.changes:
+            rows = rows.groupBy("left", "right").agg(F.sum("n").alias("n")).where("n > 0")
+        return rows
+
+    def candidates(self, k: int, floor: int) -> list[Candidate]:
+        best = [(r.left, r.right, int(r.n)) for r in top_pairs(self._counts(), k).collect()]
+        if not best:
+            return []
+        self.hits = materialize(self.index.words_of([(l, r) for l, r, _ in best]), "touched")
+        if k == 1:
+            return [Candidate(l, r, n) for l, r, n in best]
+        return neighbours(self.hits, best, floor)
+
+    def commit(self, pairs: list[tuple[str, str]]) -> None:
+        self.index, changed = self.index.merged(self.hits, pairs)
+        self.changes.append(materialize(pair_deltas(changed), "changes"))
+        self.rounds += 1
+        if self.rounds % self.every == 0:
+            self.index = self.index.folded()
+            self.base, self.changes = materialize(self._counts(), "pair-counts"), []
+
+    def close(self) -> None:
+        pass

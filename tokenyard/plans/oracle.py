@@ -256,9 +256,10 @@ FROM (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, event_id FROM event
 WITH idx AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, max(ts) AS reg FROM events WHERE event_type = '{P.REGISTER_EVENT}' GROUP BY 1),
 lg AS (SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, max(ts) AS last_row FROM events WHERE event_type = '{P.EVAL_EVENT}' GROUP BY 1)
 SELECT run_name FROM idx WHERE NOT EXISTS (SELECT 1 FROM lg WHERE lg.run_name = idx.run_name AND lg.last_row > idx.reg)"""
-    q["words_with_best_pair"] = f"""WITH {WORD_FREQ}, p AS ({pairs_of("w0")}),
+    q["words_with_best_pair"] = f"""WITH {WORD_FREQ.replace("w0 AS (", "w0 AS MATERIALIZED (")},
+p AS ({pairs_of("w0")}),
 b AS MATERIALIZED (SELECT '|' || "left" || '||' || "right" || '|' AS pair FROM p {ORDER_PAIRS} LIMIT 1)
-SELECT toks, freq FROM w0 WHERE contains(toks, (SELECT pair FROM b))"""
+SELECT toks, freq FROM b JOIN w0 ON contains(w0.toks, b.pair)"""
     q["loss_curve_points"] = f"""WITH {METRICS},
 pts AS (SELECT run_name, step, 'train_loss' AS series, train_loss AS loss FROM metrics WHERE train_loss IS NOT NULL
         UNION ALL SELECT run_name, step, 'val_loss', val_loss FROM metrics WHERE val_loss IS NOT NULL),

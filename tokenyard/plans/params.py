@@ -4,7 +4,7 @@ from ..functions.text import DEFAULT_SPECIAL
 
 SPECIAL = DEFAULT_SPECIAL
 CORPUS_MERGES = 8  # merges learned from `documents` for the corpus tokenizer
-CANDIDATES = 64  # pairs considered per learner round
+CANDIDATES = 32  # pairs considered per learner round
 TOP_K = 20
 WINDOW_LEN = 64
 WINDOW_STRIDE = 64

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.codec import Tokenizer
 from ..functions.vecmath import logsumexp, rms_normalize, softmax
 from ..operators import bpe, counts, encode, runs, scores, segments, windows
+from ..operators.word_index import build_index
 from ..sinks.tables import materialize
 from ..sources.tables import balanced, table
 from . import params as P
@@ -70,11 +71,10 @@ def q_top_pairs(spark, sf_dir):
 
 
 def q_words_with_best_pair(spark, sf_dir):
-    """The words in which the best pair occurs (the words a merge of it rewrites); one lazy plan."""
-    words = _words(spark, sf_dir)
-    best = counts.best_pair(counts.pair_counts(words))
-    pair = best.select(F.concat(F.lit("|"), "left", F.lit("||"), "right", F.lit("|"))).scalar()
-    return words.withColumn("pair", pair).where(F.instr("toks", F.col("pair")) > 0).select("toks", "freq")
+    """The words in which the best pair occurs (the words a merge of it rewrites), by the inverted index."""
+    words = materialize(_words(spark, sf_dir).withColumn("word_id", F.monotonically_increasing_id()), "words")
+    best = [(r.left, r.right) for r in counts.best_pair(counts.pair_counts(words)).collect()]
+    return build_index(words).words_of(best).select("toks", "freq")
 
 
 def q_bpe_merges_8(spark, sf_dir):
