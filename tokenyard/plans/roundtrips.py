@@ -82,6 +82,15 @@ def documents_scanned(spark, sf_dir):
     return scan_documents(spark, path, [P.SPECIAL]).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
 
 
+def specials_scanned(spark, sf_dir):
+    """S1 and P2 over files with two specials, of which one is the other twice: between sentences, and after documents."""
+    path = scratch_path(spark, "corpus")
+    text = F.replace("text", F.lit(". "), F.lit(P.SPECIAL * 2)).alias("text")
+    table(spark, sf_dir, "documents").select(text).write.option("lineSep", P.SPECIAL).text(path)
+    pieces = scan_documents(spark, path, [P.SPECIAL, P.SPECIAL * 2])
+    return pieces.groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+
+
 def token_dataset_roundtrip(spark, sf_dir):
     """K2 then S6: blocks of the token dataset."""
     path = scratch_path(spark, "dataset")
@@ -152,7 +161,7 @@ def run_throughput(spark, sf_dir):
 
 ROUNDTRIPS = {f.__name__: f for f in (
     tokenizer_roundtrip, merges_ranked, printable_roundtrip, vocab_extended, bpe_merges_incremental, lines_scanned,
-    documents_scanned, token_dataset_roundtrip, special_token_counts, special_roundtrip, run_log_roundtrip,
+    documents_scanned, specials_scanned, token_dataset_roundtrip, special_token_counts, special_roundtrip, run_log_roundtrip,
     run_index_roundtrip, lr_audit, run_throughput)}
 
 
@@ -170,6 +179,8 @@ UNION ALL SELECT CAST(count(*) AS INTEGER), '{special}' FROM vocab""",
         "lines_scanned": """SELECT line || chr(10) AS line, count(*) AS n
 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1""",
         "documents_scanned": "SELECT text, count(*) AS n FROM documents WHERE text <> '' GROUP BY text",
+        "specials_scanned": """SELECT text, count(*) AS n FROM (
+  SELECT unnest(string_split(text, '. ')) AS text FROM documents) WHERE text <> '' GROUP BY text""",
         "token_dataset_roundtrip": f"""WITH {STREAM}
 SELECT pos // {P.BLOCK_SIZE} AS block_id, min(pos) AS start, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum
 FROM stream GROUP BY 1""",

@@ -12,24 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import specials_longest_first
-from ..operators.segments import special_segments
+from .scan import scan_pieces
 
 
 def scan_documents(spark: SparkSession, path: str, specials: Sequence[str]) -> DataFrame:
-    """``(text)`` pieces of a corpus cut at special tokens; specials and empty pieces dropped.
-
-    The file is read with the longest special as the record separator (multi-character separators
-    work), then any other special is cut out by P1. With one special this equals the reference's
-    chunker; with several, texts where two specials overlap each other may be cut differently.
-    """
-    sp = specials_longest_first(specials)
-    if not sp:
-        return scan_lines(spark, path).select("text")
-    raw = spark.read.option("lineSep", sp[0]).text(path).withColumnRenamed("value", "text")
-    raw = raw.withColumn("piece_id", F.monotonically_increasing_id())
-    segs = special_segments(raw, sp, keys=("piece_id",), keep_specials=False)
-    return segs.select(F.col("segment").alias("text"))
+    """``(text, file, start)``: the pieces of a corpus between special tokens, in the order ``(file, start)``;
+    specials and empty pieces dropped, long stretches without specials cut at line ends (``scan.py``). Without
+    specials the pieces are lines."""
+    if not specials:
+        return scan_lines(spark, path).select("text", "file", F.col("line_start.block").alias("start"))
+    return scan_pieces(spark, path, specials)
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
