@@ -11,7 +11,8 @@ from ..functions.text import DEFAULT_SPECIAL
 from ..operators.bpe import train_bpe
 from ..operators.encode import encode
 from ..sinks.tokenizer_files import write_tokenizer
-from ..sinks.tokens import write_tokens
+from ..sinks.tokens import write_stretches, write_tokens
+from ..sources.text import scan_lines
 
 
 def train_tokenizer(
@@ -50,3 +51,21 @@ def encode_dataset(
     token_docs = encode(docs, tok, text_col=text_col, keys=(order_col,), per_line=True)
     count = write_tokens(token_docs, out_path, block_size, halo, order_col)
     return count, id_bits(tok.vocab_size)
+
+
+def encode_files(
+    spark: SparkSession,
+    in_path: str,
+    tok: Tokenizer,
+    out_path: str,
+    block_size: int = 1 << 16,
+    halo: int = 1024,
+) -> tuple[int, int]:
+    """Encode text files line by line, in the order of their paths and lines, and write the block dataset.
+
+    Lines are encoded where they are read and never shuffled; only pieces at the borders of file splits are. The result
+    is the same for any number of workers and any split size. Returns ``(token_count, id_bits)``.
+    """
+    lines = scan_lines(spark, in_path)
+    count = write_stretches(encode(lines, tok, keys=("file", "split"), per_line=True), out_path, block_size, halo)
+    return count, id_bits(tok.vocab_size)

@@ -20,6 +20,7 @@ from ..sources.tokens import read_token_blocks
 from . import params as P
 from . import queries as Q
 from .oracle import METRICS, STREAM, learn
+from .prepare import encode_files
 
 SECOND_SPECIAL = "<|pad|>"
 
@@ -95,9 +96,21 @@ def token_dataset_roundtrip(spark, sf_dir):
     """K2 then S6: blocks of the token dataset."""
     path = scratch_path(spark, "dataset")
     write_tokens(Q.encoded_lines(spark, sf_dir), path, P.BLOCK_SIZE, P.HALO)
-    return read_token_blocks(spark, path).select(
-        "block_id", "start", F.size("ids").cast("long").alias("n"),
-        F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"))
+    return _block_sums(read_token_blocks(spark, path))
+
+
+def _block_sums(blocks):
+    return blocks.select("block_id", "start", F.size("ids").cast("long").alias("n"),
+                         F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"))
+
+
+def token_dataset_from_files(spark, sf_dir):
+    """S2, F8, W2, K2, then S6: the documents as text files in their order, encoded into blocks."""
+    texts, path = scratch_path(spark, "texts"), scratch_path(spark, "dataset")
+    docs = table(spark, sf_dir, "documents")
+    docs.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").select("text").write.text(texts)
+    encode_files(spark, texts, Q.corpus_tokenizer(spark, sf_dir), path, P.BLOCK_SIZE, P.HALO)
+    return _block_sums(read_token_blocks(spark, path))
 
 
 def _with_special(spark, sf_dir):
@@ -161,8 +174,8 @@ def run_throughput(spark, sf_dir):
 
 ROUNDTRIPS = {f.__name__: f for f in (
     tokenizer_roundtrip, merges_ranked, printable_roundtrip, vocab_extended, bpe_merges_incremental, lines_scanned,
-    documents_scanned, specials_scanned, token_dataset_roundtrip, special_token_counts, special_roundtrip, run_log_roundtrip,
-    run_index_roundtrip, lr_audit, run_throughput)}
+    documents_scanned, specials_scanned, token_dataset_roundtrip, token_dataset_from_files, special_token_counts,
+    special_roundtrip, run_log_roundtrip, run_index_roundtrip, lr_audit, run_throughput)}
 
 
 def roundtrips_sql() -> dict[str, str]:
@@ -183,6 +196,9 @@ FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP B
   SELECT unnest(string_split(text, '. ')) AS text FROM documents) WHERE text <> '' GROUP BY text""",
         "token_dataset_roundtrip": f"""WITH {STREAM}
 SELECT pos // {P.BLOCK_SIZE} AS block_id, min(pos) AS start, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum
+FROM stream GROUP BY 1""",
+        "token_dataset_from_files": f"""WITH {STREAM.replace("CASE WHEN li < nl THEN piece || chr(10) ELSE piece END", "piece || chr(10)")}
+SELECT pos // {P.BLOCK_SIZE} AS block_id, min(pos) AS start, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum
 FROM stream GROUP BY 1""",
         "special_token_counts": "SELECT doc_id, length(text) - length(replace(text, chr(10), '')) AS n_special FROM documents",
         "special_roundtrip": f"SELECT doc_id, {with_special} AS text FROM documents",

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.windows import SHARD_BLOCKS, token_blocks
+from ..operators.assembly import assemble_blocks, token_chunks
+from ..operators.windows import SHARD_BLOCKS
 from .tables import materialize
 
 
@@ -13,14 +14,25 @@ def write_tokens(token_docs: DataFrame, path: str, block_size: int = 1 << 16, ha
                  shard_blocks: int = SHARD_BLOCKS) -> int:
     """Encode-once dataset writer: token documents -> Parquet blocks at ``path``; returns the count.
 
-    ``token_docs`` is written to the shared checkpoint folder first, so the Python encoder runs once
-    however many passes the block layout needs.
+    ``token_docs`` is written to the shared checkpoint folder first, so the Python encoder runs once. Its rows are then
+    dealt to ranges of ``order_col``, which is the one exchange of token arrays; blocks are assembled in the ranges.
     """
-    docs = materialize(token_docs.select(order_col, "ids", F.size("ids").cast("long").alias("n_tokens")), "token_docs")
-    total = docs.agg(F.sum("n_tokens").cast("long")).first()[0] or 0
+    docs = materialize(token_docs.select(order_col, "ids"), "token_docs")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = docs.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
+    return write_stretches(ranges.select(F.lit("").alias("file"), F.spark_partition_id().alias("split"), "ids"),
+                           path, block_size, halo, shard_blocks)
+
+
+def write_stretches(rows: DataFrame, path: str, block_size: int = 1 << 16, halo: int = 1024,
+                    shard_blocks: int = SHARD_BLOCKS) -> int:
+    """Blocks at ``path`` from rows ``(file, split, ids)`` that come in order within each stretch ``(file, split)``, as an
+    encoded ``scan_lines`` gives them; stretches follow one another by file and split. Returns the token count."""
+    chunks = materialize(token_chunks(rows, block_size), "token-chunks")
+    total = chunks.agg(F.sum(F.size("ids").cast("long"))).first()[0] or 0
     if total == 0:  # before the old dataset is touched
         raise ValueError("the input holds no tokens")
-    blocks = token_blocks(docs, block_size, halo, order_col, shard_blocks)
+    blocks = assemble_blocks(chunks, int(total), block_size, halo, shard_blocks)
     # One folder per shard, rows sorted by block inside each file (tight row-group statistics).
-    blocks.sortWithinPartitions("block_id").write.mode("overwrite").partitionBy("shard").parquet(path)
+    blocks.sortWithinPartitions("shard", "block_id").write.mode("overwrite").partitionBy("shard").parquet(path)
     return int(total)

@@ -203,3 +203,26 @@ def scan_pieces(spark: SparkSession, path: str, specials: Sequence[str], target:
                             F.col("piece").alias("start"))
     return whole.select(F.col("text").cast("string").alias("text"), "file", "start").unionByName(
         joined.where("octet_length(text) > 0"))
+
+
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(text, file, line_start, split)``: every line with its byte offset, as it is read; see ``text.scan_lines``."""
+    records, _ = _records(spark, path, "\n")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, at = None, 0
+        for batch in batches:
+            values, files, splits, ends = (batch.column(c).to_pylist() for c in ("value", "file", "split", "ends"))
+            texts, starts = [], []
+            for value, file, split, end in zip(values, files, splits, ends, strict=True):
+                if key != (file, split):
+                    key, at = (file, split), split
+                line = value + b"\n"
+                starts.append(at)
+                texts.append(line[:end - at])  # the file may end before the newline
+                at += len(line)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), batch.column("file"), pa.array(starts, pa.int64()),
+                                              batch.column("split")], ["text", "file", "line_start", "split"])
+
+    return records.select("value", "file", "split", "ends").mapInArrow(
+        place, "text binary, file string, line_start long, split long").withColumn("text", F.col("text").cast("string"))

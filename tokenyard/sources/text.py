@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scan import scan_pieces
+from .scan import placed_lines, scan_pieces
 
 
 def scan_documents(spark: SparkSession, path: str, specials: Sequence[str]) -> DataFrame:
@@ -20,22 +20,14 @@ def scan_documents(spark: SparkSession, path: str, specials: Sequence[str]) -> D
     specials and empty pieces dropped, long stretches without specials cut at line ends (``scan.py``). Without
     specials the pieces are lines."""
     if not specials:
-        return scan_lines(spark, path).select("text", "file", F.col("line_start.block").alias("start"))
+        return scan_lines(spark, path).select("text", "file", F.col("line_start").alias("start"))
     return scan_pieces(spark, path, specials)
 
 
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line with its newline kept (``text``), with the sort key ``(file, line_start)`` of file order.
 
-    A last line without a newline stays without: of each file's lines only the one that ends at the file's length
-    can lack it, and whether it does shows in the bytes that the lines account for.
+    ``line_start`` is the line's byte offset and ``split`` that of the split it was read in; rows come in order within
+    a split. A last line without a newline stays without. Files must not be compressed.
     """
-    lines = spark.read.option("lineSep", "\n").text(path).select(
-        F.col("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("file_size"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
-    total = lines.groupBy("file").agg(
-        (F.sum(F.octet_length("value") + 1) > F.max("file_size")).alias("cut"), F.max(F.struct("block", "n")).alias("last"))
-    return lines.join(total, "file").select(
-        F.when(F.col("cut") & (F.struct("block", "n") == F.col("last")), F.col("value"))
-        .otherwise(F.concat("value", F.lit("\n"))).alias("text"),
-        "file", F.struct("block", "n").alias("line_start"))
+    return placed_lines(spark, path)
