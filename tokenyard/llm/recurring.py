@@ -189,7 +189,8 @@ def with_shared_anchors(docs: DataFrame, units: Units, q: int, span: int) -> Dat
     blocks = texts.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(scan, BLOCKS)
     keys = staged(shared_keys(blocks), "anchors")
     per_doc = keys.groupBy("doc_id").agg(F.collect_list("keys").alias("anchors"))
-    return staged(texts.join(per_doc, "doc_id", "left"), "anchored")
+    named = texts.where("doc_id IS NOT NULL").join(per_doc, "doc_id", "left")  # null ids would meet in one task
+    return staged(named.unionByName(texts.where("doc_id IS NULL"), allowMissingColumns=True), "anchored")
 
 
 def joined_keys(lists) -> np.ndarray:
