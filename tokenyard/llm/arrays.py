@@ -88,14 +88,58 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span's bytes, independent of where it stands."""
+#: The prime 2**31 - 1, and two bases for hashes modulo it.
+_PRIME, _PRIME_BASES = (1 << 31) - 1, (1103515245, 1812433253 % ((1 << 31) - 1))
+_RESIDUE = ((_BYTE >> _U(20)) & _U(_PRIME)) % _U(_PRIME)
+_prime_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers_of(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo the prime for i < n (kept between calls)."""
+    if base not in _prime_powers or len(_prime_powers[base][0]) < n:
+        size = max(n, CHUNK_BYTES + 1)
+        pair = []
+        for step in (base, pow(base, -1, _PRIME)):
+            out, have = np.ones(size, _U), 1
+            while have < size:  # twice as many at a time
+                more = min(have, size - have)
+                out[have:have + more] = out[:more] * _U(pow(step, have, _PRIME)) % _U(_PRIME)
+                have += more
+            pair.append(out)
+        _prime_powers[base] = (pair[0], pair[1])
+    return _prime_powers[base][0][:n], _prime_powers[base][1][:n]
+
+
+def span_residues(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """31-bit polynomial hash of each span's bytes modulo a prime, independent of where it stands."""
+    up, down = _powers_of(_PRIME_BASES[which], len(data) + 1)
+    terms = _RESIDUE[data]
+    terms *= up[:-1]
+    high = terms >> _U(31)
+    terms &= _U(_PRIME)
+    terms += high  # congruent, and below 2**33, so that sums do not overflow
+    sums = np.zeros(len(data) + 1, _U)
+    np.cumsum(terms, out=sums[1:])
+    return (sums[ends] - sums[starts]) % _U(_PRIME) * down[starts] % _U(_PRIME)
+
+
+def short_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span's bytes, independent of where it stands, for spans of up to a hundred bytes or so.
+
+    It is a polynomial modulo 2**64, which gives the same value to some texts of a thousand letters whatever its base is.
+    """
     up, down = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, _U)
     np.cumsum(_BYTE[data] * up[:-1], out=sums[1:])
     return mix64((sums[ends] - sums[starts]) * down[starts])
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span's bytes, of any length, independent of where it stands: two polynomials, one of them
+    modulo a prime."""
+    return mix64(short_hashes(data, starts, ends) + mix64(span_residues(data, starts, ends)))
+
+
 def run_hashes(items: np.ndarray, length: int) -> np.ndarray:
     """64-bit hash of every run of ``length`` items; entry i is the run that starts at i."""
     n = len(items) - length + 1

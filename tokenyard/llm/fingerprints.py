@@ -1,7 +1,7 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs.
 
 A paragraph (a non-empty line) hashes to a wide vector; a document's fingerprint is the sum of its paragraphs'
-vectors, 32 lanes modulo 2**32 and 128 lanes modulo 2**16. Sums do not depend on order, and a paragraph is
+vectors, 32 lanes modulo 2**32 (drawn from 95 bits of hashes) and 128 lanes modulo 2**16. Sums do not depend on order, and a paragraph is
 inserted or deleted by adding or subtracting its vector. The 32-bit lanes are full-range hashes of the whole
 paragraph (equality); the 16-bit lanes add +1 or -1 for each pair of adjacent words in it, so that the distance
 of two fingerprints estimates how much their texts differ.
@@ -40,7 +40,8 @@ def vectors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     keep = data[starts] != 10
     starts, ends = starts[keep], ends[keep]
     if len(starts):
-        lanes = A.mix64(A.span_hashes(data, starts, ends)[:, None] ^ _LANE[None, :]).view(np.uint32)
+        hashes, more = A.span_hashes(data, starts, ends), A.span_residues(data, starts, ends, 1)
+        lanes = A.mix64(A.mix64(hashes[:, None] ^ _LANE[None, :]) + more[:, None]).view(np.uint32)
         row = np.searchsorted(offsets, starts, "right") - 1
         first = A.segments(row)
         equal[row[first]] = np.add.reduceat(lanes, first, axis=0, dtype=np.uint32)
