@@ -6,8 +6,8 @@ class from the start, so a group of copies counts once.
 
 1. Scan: the set's size and class of every document; n-grams in a large share of a batch are reported, and those
    in a large share of all documents (few, by arithmetic) are put last in the order instead of being dealt out.
-2. Scan: every batch sends each fragment its n-grams, six bytes each. Fragments return, per class, the n-grams
-   that another class has too. A class keeps going only if such n-grams are 80% of its set.
+2. Scan: every batch sends each fragment its n-grams, six bytes each. Fragments return the n-grams that another
+   class has too, packed by bucket of classes. A class keeps going only if such n-grams are 80% of its set.
 3. Prefixes in the order rare to frequent give candidates: first, in a few rounds, each list's documents with one
    hub, then, between documents that are not yet in one component, all pairs that a list, the sizes, the positions
    and a parity sketch (a lower bound of the difference) allow.
@@ -167,7 +167,7 @@ def _bits(total: int) -> tuple[int, int]:
 
 
 def _dealt(docs: DataFrame, n: int, common: np.ndarray, bits: tuple[int, int]) -> DataFrame:
-    """Blocks (part, classes, counts, ids): the n-grams of a batch's classes in one fragment. Part -1: common ones."""
+    """Blocks (part, classes, sizes, counts, ids): the n-grams of a batch's classes in one fragment. Part -1: common ones."""
     fragment, wide = bits
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,14 +178,15 @@ def _dealt(docs: DataFrame, n: int, common: np.ndarray, bits: tuple[int, int]) -
                 often = common[place] == flat
             else:
                 often = np.zeros(len(flat), bool)
-            out = [[], [], [], []]
+            out = [[], [], [], [], []]
 
-            def add(part, own, ids, out=out, name=name):
+            def add(part, own, ids, out=out, name=name, size=size):
                 at = A.segments(own)
                 out[0].append(part)
                 out[1].append(name[own[at]].tobytes())
-                out[2].append(np.diff(np.append(at, len(own))).astype("<u4").tobytes())
-                out[3].append(np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+                out[2].append(size[own[at]].astype("<u4").tobytes())
+                out[3].append(np.diff(np.append(at, len(own))).astype("<u4").tobytes())
+                out[4].append(np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
                               if part >= 0 else ids.tobytes())
 
             ids = flat >> _U(64 - wide)
@@ -199,89 +200,140 @@ def _dealt(docs: DataFrame, n: int, common: np.ndarray, bits: tuple[int, int]) -
             for i, j in zip(at.tolist(), [*at[1:].tolist(), len(part)], strict=True) if len(part) else ():
                 add(int(part[i]), own[i:j], ids[i:j])
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *[pa.array(c, pa.binary()) for c in out[1:]]],
-                                             ["part", "classes", "counts", "ids"])
+                                             ["part", "classes", "sizes", "counts", "ids"])
 
-    return docs.select("text").mapInArrow(scan, "part int, classes binary, counts binary, ids binary")
+    return docs.select("text").mapInArrow(scan, "part int, classes binary, sizes binary, counts binary, ids binary")
 
 
-def _entries(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """All (class, id) entries of a fragment's blocks."""
-    name = np.frombuffer(b"".join(table.column("classes").to_pylist()), np.int64)
-    count = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4").astype(np.int64)
-    raw = np.frombuffer(b"".join(table.column("ids").to_pylist()), np.uint8).reshape(-1, 6)
-    ids = np.zeros((len(raw), 8), np.uint8)
-    ids[:, :6] = raw
-    return np.repeat(name, count), ids.view(_U).reshape(-1).astype(np.int64)
+def _column(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)])
 
 
-def _per_class(part: int, name: np.ndarray, keys: np.ndarray) -> pa.Table:
-    """Rows (class, part, grams): distinct keys of each class, as lists."""
-    order = np.lexsort((keys, name))
-    name, keys = name[order], keys[order]
-    fresh = np.ones(len(name), bool)
-    fresh[1:] = (name[1:] != name[:-1]) | (keys[1:] != keys[:-1])
-    name, keys = name[fresh], keys[fresh]
-    at = A.segments(name)
-    lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(keys)).astype(np.int32)), pa.array(keys))
-    return pa.table({"class": pa.array(name[at]), "part": pa.array(np.full(len(at), part, np.int32)), "grams": lists})
-
-
-def _shared(name: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The entries whose id two classes have or more, and a rank of how many (0 to 126, by quarter doublings)."""
+def _shared(name: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the entries whose id two classes have or more, and a rank of how many (0 to 126, by quarter doublings)."""
     order = np.argsort(ids, kind="stable")
     name, ids = name[order], ids[order]
     at = A.segments(ids)
     if not len(at):
-        return name, ids, ids
+        return order, ids
     length = np.diff(np.append(at, len(ids)))
     several = np.minimum.reduceat(name, at) != np.maximum.reduceat(name, at)
     rank = np.minimum((np.log2(length) * 4).astype(np.int64), _COMMON_RANK - 1)
     keep = np.repeat(several, length)
-    return name[keep], ids[keep], np.repeat(rank, length)[keep]
+    return order[keep], np.repeat(rank, length)[keep]
+
+
+#: Packed lists of many classes: per class its name, the size of its set, how many of its n-grams follow, and those.
+_PACKED = "to int, salt int, classes binary, sizes binary, counts binary, keys binary"
+
 
+def _packed(to: np.ndarray, name: np.ndarray, size: np.ndarray, keys: np.ndarray, salt: int = 0) -> pa.Table:
+    """Entries (class, size of its set, key), each distinct one once, in one row per target."""
+    order = np.lexsort((keys, name, to))
+    to, name, size, keys = to[order], name[order], size[order], keys[order]
+    fresh = np.ones(len(to), bool)
+    fresh[1:] = (to[1:] != to[:-1]) | (name[1:] != name[:-1]) | (keys[1:] != keys[:-1])
+    to, name, size, keys = to[fresh], name[fresh], size[fresh], keys[fresh]
+    rows: list[tuple] = []
+    for i, j in A.runs(to):
+        at = A.segments(name[i:j])
+        counts = np.diff(np.append(at, j - i)).astype("<u4")
+        rows.append((int(to[i]), salt, name[i:j][at].tobytes(), size[i:j][at].astype("<u4").tobytes(), counts.tobytes(),
+                     keys[i:j].tobytes()))
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+    return pa.table({f.split()[0]: pa.array(c, t) for f, c, t in zip(
+        _PACKED.split(", "), columns, [pa.int32(), pa.int32(), *[pa.binary()] * 4], strict=True)})
 
-_LISTS = "class long, part int, grams array<long>"
 
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries (class, size of its set, key) of packed rows."""
+    count = _column(table, "counts", "<u4").astype(np.int64)
+    return (np.repeat(_column(table, "classes", np.int64), count), np.repeat(_column(table, "sizes", "<u4").astype(np.int64), count),
+            _column(table, "keys", np.int64))
 
-def _shared_grams(dealt: DataFrame, bits: tuple[int, int]) -> DataFrame:
-    """Per class and fragment the n-grams that other classes have too, as order keys (rank above id)."""
+
+def _bucket(name: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of classes that a class lies in."""
+    return ((A.mix64(name.view(_U)) >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+
+
+def _shared_grams(dealt: DataFrame, bits: tuple[int, int], buckets: int) -> DataFrame:
+    """Per bucket of classes and fragment the n-grams that other classes have too, as order keys (rank above id)."""
     fragment, wide = bits
 
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         part = key[0].as_py()
+        many = _column(table, "counts", "<u4").astype(np.int64)
+        name = np.repeat(_column(table, "classes", np.int64), many)
+        size = np.repeat(_column(table, "sizes", "<u4").astype(np.int64), many)
         if part < 0:
-            name = np.frombuffer(b"".join(table.column("classes").to_pylist()), np.int64)
-            size = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4").astype(np.int64)
-            ids = np.frombuffer(b"".join(table.column("ids").to_pylist()), np.int64)
-            return _per_class(-1, np.repeat(name, size), ids | (_COMMON_RANK << 56))
-        name, ids, rank = _shared(*_entries(table))
-        return _per_class(part, name, ids | (part << (wide - fragment)) | (rank << 56))
+            keys = _column(table, "ids", np.int64) | (_COMMON_RANK << 56)
+        else:
+            ids = np.zeros((len(name), 8), np.uint8)
+            ids[:, :6] = _column(table, "ids", np.uint8).reshape(-1, 6)
+            ids = ids.view(np.int64).reshape(-1)
+            own, rank = _shared(name, ids)
+            name, size, keys = name[own], size[own], ids[own] | (part << (wide - fragment)) | (rank << 56)
+        return _packed(_bucket(name, buckets), name, size, keys)
 
     # common n-grams lie in one class list each; salted so that they are no single group
     salt = F.when(F.col("part") < 0, F.pmod(F.xxhash64("classes"), F.lit(64))).otherwise(0)
-    return dealt.withColumn("salt", salt).groupBy("part", "salt").applyInArrow(count, _LISTS)
+    return dealt.withColumn("salt", salt).groupBy("part", "salt").applyInArrow(count, _PACKED)
 
 
-def _recount(lists: DataFrame) -> DataFrame:
-    """The n-grams still shared among the classes that are left, with new ranks."""
+def _alive(name: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+    """Mask of the entries of classes whose shared n-grams reach the least possible overlap; all entries of a class are there."""
+    _, place, shared = np.unique(name, return_inverse=True, return_counts=True)
+    return shared[place] * 100 >= size * percent
+
+
+def _open_grams(packed: DataFrame, bits: tuple[int, int], percent: int) -> DataFrame:
+    """From rows per bucket of classes to rows per fragment: the n-grams of the classes that are left."""
+    fragment, wide = bits
+
+    def gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        name, size, keys = _unpacked(table)
+        own = _alive(name, size, percent)
+        name, size, keys = name[own], size[own], keys[own]
+        part = np.where(keys >> 56 == _COMMON_RANK, -1, (keys & ((1 << wide) - 1)) >> (wide - fragment))
+        return _packed(part, name, size, keys, key[0].as_py() % 64)
+
+    return packed.groupBy("to").applyInArrow(gather, _PACKED)
+
+
+def _recount(packed: DataFrame, buckets: int) -> DataFrame:
+    """The n-grams still shared among the classes that are left, with new ranks, per bucket again."""
 
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        grams = table.column("grams").combine_chunks()
-        size = np.diff(grams.offsets.to_numpy())
-        keys = grams.flatten().to_numpy()
-        name = np.repeat(table.column("class").to_numpy(), size)
-        name, ids, rank = _shared(name, keys & ((1 << 56) - 1))
-        return _per_class(key[0].as_py(), name, ids | (rank << 56))
+        name, size, keys = _unpacked(table)
+        if key[0].as_py() >= 0:
+            ids = keys & ((1 << 56) - 1)
+            own, rank = _shared(name, ids)
+            name, size, keys = name[own], size[own], ids[own] | (rank << 56)
+        return _packed(_bucket(name, buckets), name, size, keys)
 
-    usual = lists.where("part >= 0").groupBy("part").applyInArrow(count, _LISTS)
-    return usual.unionByName(lists.where("part < 0"))
+    salt = F.when(F.col("to") < 0, F.col("salt")).otherwise(0)
+    return packed.withColumn("salt", salt).groupBy("to", "salt").applyInArrow(count, _PACKED)
 
 
-def _alive(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """The lists of classes whose shared n-grams reach the least possible overlap."""
-    enough = (lists.groupBy("class").agg(F.sum(F.size("grams")).alias("shared")).join(sizes, "class")
-              .where(F.col("shared") * 100 >= F.col("n") * percent).select("class"))
-    return lists.join(enough, "class", "left_semi")
+def _lists(packed: DataFrame, bits: tuple[int, int], percent: int) -> DataFrame:
+    """Rows (class, n, v, grams): for each class that is left its shared n-grams in order, in VERIFY_PARTS parts by fragment."""
+    fragment, wide = bits
+
+    def gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        name, size, keys = _unpacked(table)
+        own = _alive(name, size, percent)
+        name, size, keys = name[own], size[own], keys[own]
+        part = np.where(keys >> 56 == _COMMON_RANK, -1, (keys & ((1 << wide) - 1)) >> (wide - fragment)) % VERIFY_PARTS
+        order = np.lexsort((keys, part, name))
+        name, size, keys, part = name[order], size[order], keys[order], part[order]
+        new = np.ones(len(name), bool)
+        new[1:] = (name[1:] != name[:-1]) | (part[1:] != part[:-1])
+        at = np.flatnonzero(new)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(keys)).astype(np.int32)), pa.array(keys))
+        return pa.table({"class": pa.array(name[at]), "n": pa.array(size[at]), "v": pa.array(part[at].astype(np.int32)), "grams": lists})
+
+    return packed.groupBy("to").applyInArrow(gather, "class long, n long, v int, grams array<long>")
 
 
 def _linked(pairs: DataFrame, parts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -357,14 +409,13 @@ def _linked_classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, D
     common = np.sort(np.array([r[0] for r in often], np.int64).view(_U))
     bits = _bits(total or 0)
     sizes = members.where("n_shingles > 0").select("class", F.col("n_shingles").alias("n")).distinct()
-    lists = staged(_shared_grams(_dealt(docs, n, common, bits), bits), "shared")
-    lists = staged(_alive(lists, sizes, percent), "alive")
-    lists = staged(_alive(_recount(lists), sizes, percent), "alive-again")
-
-    parts = lists.select("class", F.pmod("part", F.lit(VERIFY_PARTS)).alias("v"), "grams")
-    parts = staged(parts.groupBy("class", "v").agg(F.flatten(F.collect_list("grams")).alias("grams")), "parts")
-    whole = (parts.groupBy("class").agg(F.sort_array(F.flatten(F.collect_list("grams"))).alias("grams"))
-             .join(sizes, "class"))
+    buckets = max(16, -(-(total or 0) // FRAGMENT_GRAMS))
+    packed = staged(_shared_grams(_dealt(docs, n, common, bits), bits, buckets), "shared")
+    packed = staged(_recount(_open_grams(packed, bits, percent), buckets), "shared-again")
+    lists = staged(_lists(packed, bits, percent), "lists")
+
+    parts = lists.select("class", "v", "grams")
+    whole = lists.groupBy("class", "n").agg(F.sort_array(F.flatten(F.collect_list("grams"))).alias("grams"))
     least = F.ceil(F.col("n") * percent / 100).cast("int")
     prefix = F.slice("grams", F.lit(1), F.size("grams") - least + 1)
     # a document's unshared n-grams come first in the order; "rest" n-grams follow the one at hand
