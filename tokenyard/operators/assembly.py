@@ -75,14 +75,19 @@ def stretch_offsets(chunks: DataFrame) -> DataFrame:
 
 def assemble_blocks(chunks: DataFrame, total: int, block_size: int, halo: int, shard_blocks: int) -> DataFrame:
     """``(shard, block_id, start, ids, tail)`` from written chunks of a stream of ``total`` tokens."""
-    if not 0 < halo <= block_size:
-        raise ValueError("need 0 < halo <= block_size")
-    B, H = block_size, halo
     base = stretch_offsets(chunks)
     if chunks.select("file", "split").distinct().count() <= BROADCAST_STRETCHES:
         base = F.broadcast(base)
-    placed = chunks.join(base, ["file", "split"]).select((F.col("base") + F.col("rel")).alias("lo"), "ids").select(
-        "lo", (F.col("lo") + F.size("ids")).alias("hi"), "ids")
+    return blocks_of(chunks.join(base, ["file", "split"]).select((F.col("base") + F.col("rel")).alias("lo"), "ids"),
+                     total, block_size, halo, shard_blocks)
+
+
+def blocks_of(placed: DataFrame, total: int, block_size: int, halo: int, shard_blocks: int) -> DataFrame:
+    """Blocks from rows ``(lo, ids)`` that hold every token of a stream of ``total`` tokens once, from place ``lo`` on."""
+    if not 0 < halo <= block_size:
+        raise ValueError("need 0 < halo <= block_size")
+    B, H = block_size, halo
+    placed = placed.where(F.size("ids") > 0).select("lo", (F.col("lo") + F.size("ids")).alias("hi"), "ids")
     # whole blocks: start and, unless the stream ends before, halo lie in the chunk
     placed = placed.selectExpr("lo", "hi", "ids", f"lo div {B} AS b0", f"(hi - 1) div {B} AS b1", f"(lo + {B - 1}) div {B} AS w0",
                                f"if(hi = {total}, (hi - 1) div {B}, (hi - {H}) div {B} - 1) AS w1")

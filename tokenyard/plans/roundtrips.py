@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.vecmath import lr_schedule
 from ..operators import bpe, encode, runs, vocab
 from ..session import scratch_path
+from ..sinks.npy import blocks_from_npy, write_npy
 from ..sinks.runs import append_metrics, register_run
 from ..sinks.tokenizer_files import write_tokenizer
 from ..sinks.tokens import write_tokens
@@ -20,7 +21,7 @@ from ..sources.tokens import read_token_blocks
 from . import params as P
 from . import queries as Q
 from .oracle import METRICS, STREAM, learn
-from .prepare import encode_files
+from .prepare import encode_files, id_bits
 
 SECOND_SPECIAL = "<|pad|>"
 
@@ -113,6 +114,14 @@ def token_dataset_from_files(spark, sf_dir):
     return _block_sums(read_token_blocks(spark, path))
 
 
+def npy_roundtrip(spark, sf_dir):
+    """K2 and S6 in the array format, P5: blocks as files of the narrowest ids, read back into blocks."""
+    npy, path = scratch_path(spark, "npy"), scratch_path(spark, "dataset")
+    write_npy(Q._blocks(spark, sf_dir)[0], npy, id_bits(Q.corpus_tokenizer(spark, sf_dir).vocab_size), file_blocks=4)
+    blocks_from_npy(spark, npy, path, P.BLOCK_SIZE, P.HALO)
+    return _block_sums(read_token_blocks(spark, path))
+
+
 def _with_special(spark, sf_dir):
     return Q.documents(spark, sf_dir).select("doc_id", F.replace("text", F.lit("\n"), F.lit(P.SPECIAL)).alias("text"))
 
@@ -174,7 +183,8 @@ def run_throughput(spark, sf_dir):
 
 ROUNDTRIPS = {f.__name__: f for f in (
     tokenizer_roundtrip, merges_ranked, printable_roundtrip, vocab_extended, bpe_merges_incremental, lines_scanned,
-    documents_scanned, specials_scanned, token_dataset_roundtrip, token_dataset_from_files, special_token_counts,
+    documents_scanned, specials_scanned, token_dataset_roundtrip, token_dataset_from_files, npy_roundtrip,
+    special_token_counts,
     special_roundtrip, run_log_roundtrip, run_index_roundtrip, lr_audit, run_throughput)}
 
 
@@ -183,6 +193,9 @@ def roundtrips_sql() -> dict[str, str]:
     vocabulary = f"WITH {learn(n)} SELECT token_id, hx AS token FROM vocab"
     merges = f'WITH {learn(n)} SELECT CAST(rank AS INTEGER) AS rank, "left", "right" FROM merges'
     special = SECOND_SPECIAL.encode().hex().upper()
+    blocks = f"""WITH {STREAM}
+SELECT pos // {P.BLOCK_SIZE} AS block_id, min(pos) AS start, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum
+FROM stream GROUP BY 1"""
     with_special = f"replace(text, chr(10), '{P.SPECIAL}')"
     return {
         "tokenizer_roundtrip": vocabulary, "printable_roundtrip": vocabulary,
@@ -194,9 +207,7 @@ FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP B
         "documents_scanned": "SELECT text, count(*) AS n FROM documents WHERE text <> '' GROUP BY text",
         "specials_scanned": """SELECT text, count(*) AS n FROM (
   SELECT unnest(string_split(text, '. ')) AS text FROM documents) WHERE text <> '' GROUP BY text""",
-        "token_dataset_roundtrip": f"""WITH {STREAM}
-SELECT pos // {P.BLOCK_SIZE} AS block_id, min(pos) AS start, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum
-FROM stream GROUP BY 1""",
+        "token_dataset_roundtrip": blocks, "npy_roundtrip": blocks,
         "token_dataset_from_files": f"""WITH {STREAM.replace("CASE WHEN li < nl THEN piece || chr(10) ELSE piece END", "piece || chr(10)")}
 SELECT pos // {P.BLOCK_SIZE} AS block_id, min(pos) AS start, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum
 FROM stream GROUP BY 1""",

@@ -207,6 +207,12 @@ def scan_pieces(spark: SparkSession, path: str, specials: Sequence[str], target:
 
 def placed_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(text, file, line_start, split)``: every line with its byte offset, as it is read; see ``text.scan_lines``."""
+    return placed_bytes(spark, path).withColumn("text", F.col("text").cast("string"))
+
+
+def placed_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """All bytes of files of any kind as rows ``(text, file, line_start, split)`` that end at newline bytes, with their
+    offsets; in order within a split."""
     records, _ = _records(spark, path, "\n")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,4 +231,4 @@ def placed_lines(spark: SparkSession, path: str) -> DataFrame:
                                               batch.column("split")], ["text", "file", "line_start", "split"])
 
     return records.select("value", "file", "split", "ends").mapInArrow(
-        place, "text binary, file string, line_start long, split long").withColumn("text", F.col("text").cast("string"))
+        place, "text binary, file string, line_start long, split long")
