@@ -321,15 +321,17 @@ def scored_phrases(grams: DataFrame) -> DataFrame:
 
     score = floor(1000 * a * n / (l * r)) in exact decimals; ties go to the cut after fewer words.
     """
-    sizes = grams.where("words = 0").select("lang", F.col("a").alias("n"))
-    phrases = grams.where("words > 1")
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(_PARTS - 1).cast("long"))
+    sizes = grams.where("words = 0").select("lang", F.col("a").alias("n"), F.explode(salts).alias("salt"))
+    phrases = grams.where("words > 1").withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(_PARTS)))
+    phrases = phrases.join(sizes, ["lang", "salt"])  # a language may hold most phrases
     cuts = phrases.withColumn("k", F.explode(F.expr("sequence(1, words - 1)"))).select(
         "*", F.expr("substring_index(phrase, ' ', k)").alias("left"),
         F.expr("substring_index(phrase, ' ', k - words)").alias("right"))
     part = grams.where("words > 0")
     left = part.select("lang", F.col("phrase").alias("left"), F.col("a").alias("l"))
     right = part.select("lang", F.col("phrase").alias("right"), F.col("a").alias("r"))
-    both = cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"]).join(sizes, "lang")
+    both = cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"])
     exact = {c: F.col(c).cast("decimal(19,0)") for c in ("a", "n", "l", "r")}
     both = both.withColumn("up", F.lit(1000).cast("decimal(4,0)") * (exact["a"] * exact["n"])).withColumn(
         "down", exact["l"] * exact["r"]).withColumn("score", F.expr("up div down"))
