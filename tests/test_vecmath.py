@@ -120,3 +120,27 @@ def test_nucleus_extremes(spark):
     assert nucleus(df, 1.0, 1.0).count() == 8 * 5
     one = nucleus(df, 1.0, 1e-9).collect()
     assert len(one) == 8 and all(r.rank == 1 and abs(r.q - 1.0) < 1e-12 for r in one)
+
+
+def test_nucleus_within_rows(spark):
+    """The in-row form against the long form: ties, one class, nulls and empty rows; no exchange."""
+    from tokenyard.operators.scores import draw_of, nucleus_of
+
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(LOGITS)]
+    rows += [(20, [1.0, 1.0, 1.0, 0.5]), (21, [3.0]), (22, [1000.0, -1000.0])]
+    df = spark.createDataFrame([*rows, (30, []), (31, None)], "row_id long, logits array<double>").coalesce(2)
+    for t, p in ((0.7, 0.8), (1.0, 1.0), (2.0, 1e-9)):
+        kept = df.select("row_id", nucleus_of(F.col("logits"), t, p).alias("kept"))
+        drawn = kept.select("row_id", draw_of(F.col("kept"), F.col("row_id"), 5).alias("class_id"))
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+        got = {(r.row_id, k.class_id, k["rank"]): (k.p, k.q) for r in kept.collect() for k in r.kept or ()}
+        some = df.where("row_id < 30")
+        long = nucleus(long_scores(some, "row_id", "logits"), t, p)
+        want = {(r.row_id, r.class_id, r["rank"]): (r.p, r.q) for r in long.collect()}
+        assert got.keys() == want.keys()
+        assert all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-300) for k in got for a, b in zip(got[k], want[k]))
+        assert {(r.row_id, r.class_id) for r in drawn.collect() if r.row_id < 30} == {
+            (r.row_id, r.class_id) for r in weighted_draw(long, 5).collect()}
+        assert all(r.class_id is None for r in drawn.where("row_id >= 30").collect())
+    with pytest.raises(ValueError):
+        nucleus_of(F.col("logits"), 0.0, 0.5)

@@ -7,7 +7,7 @@ row, where one shuffle on ``row_id`` brings a row's classes together (a group is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform01
@@ -51,6 +51,47 @@ def check_sampling(temperature: float, top_p: float) -> None:
         raise ValueError(f"top_p {top_p} is outside (0, 1]")
 
 
+def nucleus_of(logits: Column, temperature: float = 1.0, top_p: float = 1.0) -> Column:
+    """W3/T4 within a row: an array of scores -> ``ARRAY<STRUCT<class_id, rank, p, q>>`` of the kept classes by rank.
+
+    The same as ``nucleus`` without an exchange: the row's classes are sorted in place, one pass over them adds up the
+    mass until it reaches ``top_p``, and what came before is the cut. A null or empty array gives a null or empty one.
+    """
+    check_sampling(temperature, top_p)
+    z = F.transform(logits, lambda x: x.cast("double") / F.lit(float(temperature)))
+
+    def ranked(z):
+        top = F.array_max(z)
+        e = F.transform(z, lambda x: F.exp(x - top))
+        return _with(e, lambda e: _with(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda total: F.array_sort(
+            F.transform(e, lambda x, i: F.struct((-x / total).alias("less"), i.alias("class_id"))))))
+
+    def cut(sorted_):
+        start = F.struct(F.lit(0.0).alias("mass"), F.lit(0).alias("n"))
+        end = F.aggregate(sorted_, start, lambda acc, c: F.when(
+            acc["mass"] < F.lit(float(top_p)), F.struct((acc["mass"] - c["less"]).alias("mass"), (acc["n"] + 1).alias("n"))).otherwise(acc))
+        return _with(end, lambda end: F.transform(F.slice(sorted_, F.lit(1), end["n"]), lambda c, i: F.struct(
+            c["class_id"].alias("class_id"), (i + 1).alias("rank"), (-c["less"]).alias("p"), (-c["less"] / end["mass"]).alias("q"))))
+
+    return _with(z, lambda z: _with(ranked(z), cut))
+
+
+def draw_of(kept: Column, row_id: Column, seed: int) -> Column:
+    """T6 within a row: the class that a repeatable uniform of the row draws from ``nucleus_of``'s array; null from none."""
+    def pick(u):
+        start = F.struct(F.lit(0.0).alias("mass"), F.lit(None).cast("int").alias("class_id"))
+        found = F.aggregate(kept, start, lambda acc, c: F.when(acc["class_id"].isNotNull() & (acc["mass"] > u), acc).otherwise(
+            F.struct((acc["mass"] + c["q"]).alias("mass"), c["class_id"].cast("int").alias("class_id"))))
+        return found["class_id"]
+
+    return _with(uniform01(row_id, seed), pick)
+
+
+def _with(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def nucleus(long_df: DataFrame, temperature: float = 1.0, top_p: float = 1.0) -> DataFrame:
     """Classes kept by top-p per row, ``(row_id, class_id, rank, p, q)``.
 

@@ -202,6 +202,7 @@ SELECT CAST(count(*) AS BIGINT) AS n_batches, round(avg(batch_loss), 6) AS loss,
     q["nucleus"] = f"""{_nucleus_ctes(P.TEMPERATURE, P.TOP_P)}
 SELECT vec_id AS row_id, class_id, CAST(rank AS INTEGER) AS rank, round(p, 6) AS p, round(q, 6) AS q FROM k"""
     u = f"(CAST({hash62_sql('vec_id', P.DRAW_SEED)} AS DOUBLE) / 4611686018427387904.0)"
+    q["nucleus_long"] = q["nucleus"]
     q["weighted_draw"] = f"""{_nucleus_ctes(P.TEMPERATURE, P.TOP_P)},
 c AS (SELECT vec_id, class_id, rank, sum(q) OVER (PARTITION BY vec_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cq, {u} AS u FROM k)
 SELECT vec_id AS row_id, coalesce(min_by(CASE WHEN cq > u THEN class_id END, CASE WHEN cq > u THEN rank END), max_by(class_id, rank)) AS class_id
@@ -272,7 +273,7 @@ SELECT p.run_name, p.series, p.step,
 FROM pts p JOIN ext e USING (run_name)"""
     q["decode_by_join"] = q["encode_decode_roundtrip"]
     q["stream_pretoken_counts"] = q["pretoken_counts"]
-    q["stream_encode_token_counts"] = q["encode_token_counts"]
+    q["stream_encode_token_counts"] = q["tokenize_sql"] = q["encode_token_counts"]
     q["stream_run_status"] = f"""
 SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name, CAST(count(*) AS BIGINT) AS n_rows, max(event_id) AS last_step,
        max_by(value, event_id) AS last_train_loss, min(CASE WHEN event_type = '{P.EVAL_EVENT}' THEN value END) AS best_val_loss

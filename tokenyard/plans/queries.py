@@ -222,17 +222,26 @@ def q_perplexity(spark, sf_dir):
 
 
 def _kept(spark, sf_dir):
-    long_df = scores.long_scores(_emb(spark, sf_dir, "vec_id", "embedding"), "vec_id", "embedding")
-    return scores.nucleus(long_df, P.TEMPERATURE, P.TOP_P)
+    return _emb(spark, sf_dir, "vec_id", "embedding").select(
+        F.col("vec_id").alias("row_id"), scores.nucleus_of(F.col("embedding"), P.TEMPERATURE, P.TOP_P).alias("kept"))
 
 
 def q_nucleus(spark, sf_dir):
-    k = _kept(spark, sf_dir)
+    """W3 and T4 within the rows: no exchange."""
+    k = _kept(spark, sf_dir).select("row_id", F.explode("kept").alias("k")).select("row_id", "k.*")
+    return k.select("row_id", "class_id", "rank", F.round("p", 6).alias("p"), F.round("q", 6).alias("q"))
+
+
+def q_nucleus_long(spark, sf_dir):
+    """W3 over the long form, for vocabularies that do not come as arrays."""
+    long_df = scores.long_scores(_emb(spark, sf_dir, "vec_id", "embedding"), "vec_id", "embedding")
+    k = scores.nucleus(long_df, P.TEMPERATURE, P.TOP_P)
     return k.select("row_id", "class_id", "rank", F.round("p", 6).alias("p"), F.round("q", 6).alias("q"))
 
 
 def q_weighted_draw(spark, sf_dir):
-    return scores.weighted_draw(_kept(spark, sf_dir), P.DRAW_SEED)
+    """T6 within the rows: no exchange."""
+    return _kept(spark, sf_dir).select("row_id", scores.draw_of(F.col("kept"), F.col("row_id"), P.DRAW_SEED).alias("class_id"))
 
 
 def q_rms_normalize(spark, sf_dir):
@@ -350,6 +359,17 @@ def q_runs_without_rows(spark, sf_dir):
     return runs.runs_without_rows(index, logged, registered_col="ts", logged_col="ts")
 
 
+def q_tokenize_sql(spark, sf_dir):
+    """The table function in SQL: tokens and sum of ids per document."""
+    from ..functions.sql import register_tokenize_table
+
+    register_tokenize_table(spark, corpus_tokenizer(spark, sf_dir))
+    view = f"tokenized_{abs(hash(sf_dir))}"
+    documents(spark, sf_dir, "doc_id", "text").createOrReplaceTempView(view)
+    return spark.sql(f"""SELECT key AS doc_id, count(*) AS n_tokens, sum(token_id) AS id_sum
+FROM tokenize_table(TABLE(SELECT doc_id, text FROM {view})) GROUP BY key""")
+
+
 QUERIES = {
     name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -10,17 +10,17 @@ from ..functions.vecmath import lr_schedule
 from ..operators import bpe, encode, runs, vocab
 from ..session import scratch_path
 from ..sinks.npy import blocks_from_npy, write_npy
-from ..sinks.runs import append_metrics, register_run
+from ..sinks.runs import append_metrics, register_run, write_run_config
 from ..sinks.tokenizer_files import write_tokenizer
 from ..sinks.tokens import write_tokens
-from ..sources.runs import read_metrics, read_run_index, shape_fields
+from ..sources.runs import read_metrics, read_run_config, read_run_index, shape_fields
 from ..sources.text import scan_documents, scan_lines
-from ..sources.tokenizer_files import printable_byte_map, read_merges, read_printable_vocab, read_vocab
+from ..sources.tokenizer_files import printable_byte_map, read_merges, read_printable_merges, read_printable_vocab, read_vocab
 from ..sources.tables import table
 from ..sources.tokens import read_token_blocks
 from . import params as P
 from . import queries as Q
-from .oracle import METRICS, STREAM, learn
+from .oracle import METRICS, STREAM, learn, queries_sql
 from .prepare import encode_files, id_bits
 
 SECOND_SPECIAL = "<|pad|>"
@@ -141,15 +141,49 @@ def special_roundtrip(spark, sf_dir):
 
 
 def run_log_roundtrip(spark, sf_dir):
-    """K3 then S7: metrics rows with their learning rates through CSV files."""
+    """K3 then S7: metrics rows with their learning rates through CSV files, appended under ids, one of them twice."""
     path = scratch_path(spark, "metrics")
     rows = Q.metrics_from_events(spark, sf_dir).withColumn(
         "learning_rate", lr_schedule(F.col("step"), P.LR_MAX, P.LR_MIN, P.WARMUP, P.CYCLE))
-    append_metrics(rows, path)
+    for half in (0, 1, 0):
+        append_metrics(rows.where(F.col("step") % 2 == half), path, append_id=f"half-{half}")
     return read_metrics(spark, path, with_run=False).select(
         "step", F.round("elapsed_seconds", 6).alias("elapsed_seconds"), "tokens_seen",
         F.round("train_loss", 6).alias("train_loss"), F.round("val_loss", 6).alias("val_loss"),
-        (F.col("learning_rate") > 0).alias("has_rate"))
+        F.round("learning_rate", 12).alias("learning_rate"))
+
+
+def run_config_roundtrip(spark, sf_dir):
+    """K5 then S9: the configuration of every registered run as JSON, with its rates and switches."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == P.REGISTER_EVENT)
+    config = ev.groupBy("user_id").agg(F.count(F.lit(1)).cast("int").alias("max_iters"), F.min("event_id").alias("first")).select(
+        F.concat(F.lit("run_"), F.col("user_id").cast("string")).alias("run_name"), "max_iters", F.lit(P.BATCH_SIZE).alias("batch_size"),
+        (F.col("first") / 1000).alias("lr"), (F.col("first") % 2 == 0).alias("use_bf16"),
+        F.array(F.lit(0.9), F.lit(0.95)).alias("betas"))
+    path = scratch_path(spark, "configs")
+    write_run_config(config, path)
+    return read_run_config(spark, path).select("run_name", "max_iters", "batch_size", F.round("lr", 6).alias("lr"), "use_bf16",
+                                               F.round(F.element_at("betas", 2), 6).alias("beta2"))
+
+
+def printable_merges(spark, sf_dir):
+    """The merges through a printable file."""
+    shown = {b: c for c, b in printable_byte_map().items()}
+    tok = Q.corpus_tokenizer(spark, sf_dir)
+    lines = [" ".join("".join(shown[b] for b in side) for side in pair) for pair in tok.merge_rank]
+    path = scratch_path(spark, "printable")
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
+    return read_printable_merges(spark, path).select(
+        "rank", F.upper(F.hex("left")).alias("left"), F.upper(F.hex("right")).alias("right"))
+
+
+def vocab_compared(spark, sf_dir):
+    """The learned vocabulary against the one in printable files, and against an extended one."""
+    frame = encode.vocab_frame(spark, Q.corpus_tokenizer(spark, sf_dir))
+    shown = printable_roundtrip(spark, sf_dir).select("token_id", F.unhex("token").alias("token"))
+    others = {"printable": shown, "extended": vocab.extend_vocab(frame, [SECOND_SPECIAL])}
+    return spark.createDataFrame([(k, other.count(), vocab.compare_vocab(frame, other)) for k, other in others.items()],
+                                 "name string, n long, same boolean")
 
 
 def run_index_roundtrip(spark, sf_dir):
@@ -184,8 +218,8 @@ def run_throughput(spark, sf_dir):
 ROUNDTRIPS = {f.__name__: f for f in (
     tokenizer_roundtrip, merges_ranked, printable_roundtrip, vocab_extended, bpe_merges_incremental, lines_scanned,
     documents_scanned, specials_scanned, token_dataset_roundtrip, token_dataset_from_files, npy_roundtrip,
-    special_token_counts,
-    special_roundtrip, run_log_roundtrip, run_index_roundtrip, lr_audit, run_throughput)}
+    special_token_counts, special_roundtrip, run_log_roundtrip, run_config_roundtrip, printable_merges, vocab_compared,
+    run_index_roundtrip, lr_audit, run_throughput)}
 
 
 def roundtrips_sql() -> dict[str, str]:
@@ -199,7 +233,12 @@ FROM stream GROUP BY 1"""
     with_special = f"replace(text, chr(10), '{P.SPECIAL}')"
     return {
         "tokenizer_roundtrip": vocabulary, "printable_roundtrip": vocabulary,
-        "merges_ranked": merges, "bpe_merges_incremental": merges,
+        "merges_ranked": merges, "bpe_merges_incremental": merges, "printable_merges": merges,
+        "vocab_compared": f"""WITH {learn(n)} SELECT 'printable' AS name, count(*) AS n, true AS same FROM vocab
+UNION ALL SELECT 'extended', count(*) + 1, false FROM vocab""",
+        "run_config_roundtrip": f"""SELECT 'run_' || user_id::VARCHAR AS run_name, count(*)::INTEGER AS max_iters, {P.BATCH_SIZE} AS batch_size,
+  round(min(event_id) / 1000, 6) AS lr, min(event_id) % 2 = 0 AS use_bf16, 0.95::DOUBLE AS beta2
+FROM events WHERE event_type = '{P.REGISTER_EVENT}' GROUP BY user_id""",
         "vocab_extended": f"""WITH {learn(n)} SELECT token_id, hx AS token FROM vocab
 UNION ALL SELECT CAST(count(*) AS INTEGER), '{special}' FROM vocab""",
         "lines_scanned": """SELECT line || chr(10) AS line, count(*) AS n
@@ -213,9 +252,9 @@ SELECT pos // {P.BLOCK_SIZE} AS block_id, min(pos) AS start, count(*) AS n, CAST
 FROM stream GROUP BY 1""",
         "special_token_counts": "SELECT doc_id, length(text) - length(replace(text, chr(10), '')) AS n_special FROM documents",
         "special_roundtrip": f"SELECT doc_id, {with_special} AS text FROM documents",
-        "run_log_roundtrip": f"""WITH {METRICS}
+        "run_log_roundtrip": f"""WITH {METRICS}, rates AS ({queries_sql()["lr_schedule"]})
 SELECT step, round(elapsed_seconds, 6) AS elapsed_seconds, tokens_seen, round(train_loss, 6) AS train_loss,
-       round(val_loss, 6) AS val_loss, step > 0 OR {P.LR_MIN!r} > 1 AS has_rate FROM metrics""",
+       round(val_loss, 6) AS val_loss, learning_rate FROM metrics JOIN rates USING (step)""",
         "run_index_roundtrip": f"""SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_name,
        CAST(min(event_id) AS INTEGER) AS vocab_size, {P.CONTEXT} AS context_length,
        strftime(min(ts), '%Y%m%d-%H%M%S') AS stamp

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Folder name of rows appended under an id (``append_id=...``); readers look into all of them.
+APPEND = "append_id"
+
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("step", T.LongType()),
@@ -39,24 +42,24 @@ CONFIG_SCHEMA = T.StructType(
 def read_metrics(spark: SparkSession, path: str, with_run: bool = True) -> DataFrame:
     """Metrics rows with an explicit schema; empty losses are nulls. ``run_name`` is the
     metrics file's parent folder when ``with_run``."""
-    df = spark.read.option("header", True).schema(METRICS_SCHEMA).csv(path)
+    df = spark.read.option("header", True).option("recursiveFileLookup", True).schema(METRICS_SCHEMA).csv(path)
     if with_run:
-        df = df.withColumn(
-            "run_name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-        )
+        file = F.regexp_replace("_metadata.file_path", f"/{APPEND}=[^/]*", "")
+        df = df.withColumn("run_name", F.element_at(F.split(file, "/"), -2))
     return df
 
 
 def read_run_index(spark: SparkSession, path: str) -> DataFrame:
     """Run index rows with the JSON configuration parsed into ``config``."""
-    df = spark.read.option("header", True).option("escape", '"').option("multiLine", True).schema(INDEX_SCHEMA).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').option("multiLine", True).option(
+        "recursiveFileLookup", True).schema(INDEX_SCHEMA).csv(path)
     return df.withColumn("config", F.from_json("configuration", CONFIG_SCHEMA))
 
 
 def read_run_config(spark: SparkSession, path: str) -> DataFrame:
     """One pretty-printed JSON object per run, with the file it came from."""
     return (
-        spark.read.option("multiLine", True).schema(CONFIG_SCHEMA).json(path)
+        spark.read.option("multiLine", True).option("recursiveFileLookup", True).schema(CONFIG_SCHEMA).json(path)
         .withColumn("config_path", F.col("_metadata.file_path"))
     )
 
