@@ -63,6 +63,32 @@ def test_mix(make_docs, block_words):
     assert set(docs.columns) <= set(out[0].asDict())
 
 
+def test_shards_follow_the_tree(make_docs, monkeypatch):
+    """The draws of a source fill its shards' runs of blocks, as many as the tree gives each; without runs nothing is drawn."""
+    docs = make_docs(mixed_rows())
+    trees = []
+    split = mixing.split_quotas
+    monkeypatch.setattr(mixing, "split_quotas", lambda *a: trees.append(split(*a)) or trees[-1])
+    plan, rows = mixing.mix_plan(docs, block_words=60)
+    tree, plans = trees[0], {r.sid: r for r in plan.collect()}
+    assert tree.shape[0] == 8 and tree.sum() > 20
+    blocks = {}
+    for r in mixing.place(rows, plan).collect():
+        for copy, shard in enumerate(r.shards):
+            at = copy * r.n + ((r.key % r.n) * r.a + r.c) % r.n
+            assert r.bounds[shard] <= at < r.bounds[shard + 1]
+            blocks.setdefault((r.sid, shard), set()).add(at)
+    for sid, p in plans.items():
+        assert list(np.diff(p.bounds)) == tree[:, sid].tolist()
+        given = sum(len(blocks.get((sid, k), ())) for k in range(8))
+        assert given <= tree[:, sid].sum()
+    held = sum(len(b) for b in blocks.values())
+    assert held > tree.sum() / 2  # other blocks hold no document
+    monkeypatch.setattr(mixing, "split_quotas", lambda q, n, seed: np.zeros((n, len(q)), np.int64))
+    plan, rows = mixing.mix_plan(docs, block_words=60)
+    assert all(not r.shards for r in mixing.place(rows, plan).collect())
+
+
 def test_mix_keeps_columns_of_like_names(spark, make_docs):
     docs = make_docs(mixed_rows())
     for c in ("mix_ratio", "mix_copy", "mix_shard", "mix_order"):

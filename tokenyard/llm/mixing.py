@@ -83,8 +83,9 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repeat:
     """The plan per source, and the documents' narrow rows (doc_id, source, size, key) that it was made from.
 
     The i-th source by code point (null last) has weight ``weights[i % len(weights)]``. Per source: size, target,
-    number of blocks, the permutation, whole rounds, the first block not drawn whole, the keys drawn from that
-    block (largest documents first, each that still fits), and the bounds of each shard's run of blocks.
+    number of blocks, the permutation, whole rounds, the drawn block that is not drawn whole (-1: none), the keys drawn
+    from it (largest documents first, each that still fits), and the bounds of the shards' runs of drawn blocks, as
+    the splitting tree gives them.
     Sources without words, and tables without rows, get targets of 0. One row per source is on the driver.
     """
     spark = docs.sparkSession
@@ -109,10 +110,10 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repeat:
     quotas = [p[4] * p[7] + (cuts[p[1]]["stop"] + 1 if p[1] in cuts else 0) for p in plan]
     per_shard = split_quotas(np.array(quotas, np.int64), n_shards, seed)
     bounds = np.vstack([np.zeros((1, len(plan)), np.int64), np.cumsum(per_shard, axis=0)])
-    full = [(*p[:8], cuts[p[1]]["stop"] if p[1] in cuts else 0, list(cuts[p[1]]["taken"]) if p[1] in cuts else [],
-             [int(b) for b in bounds[:-1, p[1]]]) for p in plan]
+    full = [(*p[:8], p[4] * p[7] + cuts[p[1]]["stop"] if p[1] in cuts else -1, list(cuts[p[1]]["taken"]) if p[1] in cuts else [],
+             [int(b) for b in bounds[:, p[1]]]) for p in plan]
     return _plan_frame(spark, full, "source string, sid int, source_size long, target double, n long, a long, c long, "
-                                    "rounds int, stop long, stop_keys array<long>, bounds array<long>"), rows
+                                    "rounds int, cut long, cut_keys array<long>, bounds array<long>"), rows
 
 
 def _plan_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -152,12 +153,18 @@ def _partial_blocks(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def place(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Rows (any columns, with source and key) with their source's plan and ``copies`` (how often each is drawn)."""
+    """Rows (any columns, with source and key) with their source's plan and ``shards``: the shard of each draw of the row.
+
+    The blocks that a source gives are numbered through its rounds; a draw of a row is the number of its block in a
+    round, if that lies in a shard's run.
+    """
     p = plan.withColumnRenamed("source", "__source")
     joined = rows.join(p, rows["source"].eqNullSafe(p["__source"])).drop("__source")
-    at = _block(F.col("key"), F.col("n"), F.col("a"), F.col("c"))
-    more = (at < F.col("stop")) | ((at == F.col("stop")) & F.array_contains("stop_keys", F.col("key")))
-    return joined.withColumn("at", at).withColumn("copies", F.col("rounds") + more.cast("int"))
+    numbers = F.transform(F.sequence(F.lit(0).cast("long"), F.col("rounds").cast("long")),
+                          lambda k: k * F.col("n") + _block(F.col("key"), F.col("n"), F.col("a"), F.col("c")))
+    drawn = F.filter(numbers, lambda at: (at < F.element_at("bounds", -1)) & (
+        (at != F.col("cut")) | F.array_contains("cut_keys", F.col("key"))))
+    return joined.withColumn("shards", F.transform(drawn, lambda at: F.size(F.filter("bounds", lambda b: b <= at)) - 1))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repeat: int = 3, n_shards: int = 8, seed: int = 1,
@@ -171,11 +178,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repeat: int =
     plan, _ = mix_plan(docs, weights, max_repeat, n_shards, seed, block_words)
     own = [c for c in docs.columns if c not in ("mix_copy", "mix_shard", "mix_order")]
     packed = docs.select(F.struct(*own).alias("row"), "source", _key(seed).alias("key"))
-    drawn = place(packed, plan).where(F.col("copies") > 0).select(
-        "row", "key", "at", "n", "bounds", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-    index = F.col("copy") * F.col("n") + F.col("at")
-    shard = F.size(F.filter("bounds", lambda b: b <= index)) - 1
-    out = drawn.select("row", "key", "copy", shard.alias("shard"))
+    out = place(packed, plan).select("row", "key", F.posexplode("shards").alias("copy", "shard"))
     return out.select("row.*", F.col("copy").alias("mix_copy"), F.col("shard").alias("mix_shard"),
                       F.xxhash64(F.lit(seed), "shard", "key", "copy").alias("mix_order"))
 

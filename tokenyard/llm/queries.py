@@ -43,7 +43,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan, rows = mixing.mix_plan(_table(spark, sf_dir, "documents"))
     return mixing.place(rows, plan).select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+        "doc_id", "size", "source_size", "target", (F.size("shards") * F.col("size")).alias("taken"), "shards")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
