@@ -18,6 +18,11 @@ def words(text: Column) -> Column:
     return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, _SPACE_RUN))
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def n_words(text: Column) -> Column:
     """Number of words, without building them."""
     body = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

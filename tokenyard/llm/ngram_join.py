@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenyard.llm import arrays as A
-from tokenyard.llm.common import staged
+from tokenyard.llm.common import column, staged
 from tokenyard.llm.graph import components
 
 _U = np.uint64
@@ -114,7 +114,7 @@ _KEYS = ("key_a", "key_b")
 
 def _row_keys(docs: DataFrame) -> list[Column]:
     """Two 64-bit hashes of a row's columns, nulls told apart; maps, which have no hash, are left out."""
-    cols = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    cols = [column(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
     nulls = [c.isNull() for c in cols]
     return [F.xxhash64(F.lit(i), *cols, *nulls).alias(k) for i, k in enumerate(_KEYS)]
 
@@ -469,7 +469,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component (all columns): that of the least id, null ids last, and of rows with one id the
-    least by a hash of the row. Of equal rows one stays. Documents without words stay."""
+    least by a hash of the row. Of equal rows one stays; columns with maps, which have no hash, are not compared for
+    that. Documents without words (null or empty texts) stay. Whole texts count; no rows give no rows; other columns
+    may have any names."""
     members, root = _linked_classes(docs, n, percent)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *_KEYS)
     rows = members.where("n_shingles > 0").groupBy("class", "doc_id", *_KEYS).agg(F.count(F.lit(1)).alias("copies"))

@@ -25,6 +25,9 @@ def tokenizer_path() -> str:
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that imitates the template, expanded and read back from the transcripts (``chat``).
+
+    Nulls, ties, repeated rows, long texts and empty tables are the operator's; only the columns it needs are read."""
     trap = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRAP).alias("text"))
@@ -33,37 +36,58 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its set size and the least document that similarity links reach (``ngram_join``).
+
+    Nulls, ties, repeated rows, long texts and empty tables are the operator's; only the columns it needs are read."""
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside those of its edited text and of the next document (``fingerprints``).
+
+    Nulls, ties, repeated rows, long texts and empty tables are the operator's; only the columns it needs are read."""
     return fingerprints.edit_digest(_table(spark, sf_dir, "documents"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that the mix takes of it, and the shard of each of its draws (``mixing``).
+
+    Nulls, ties, repeated rows, long texts and empty tables are the operator's; only the columns it needs are read."""
     plan, rows = mixing.mix_plan(_table(spark, sf_dir, "documents"))
     return mixing.place(rows, plan).select(
         "doc_id", "size", "source_size", "target", (F.size("shards") * F.col("size")).alias("taken"), "shards")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token pieces of every document and their places in sequences of at most 2048 tokens (``packing``).
+
+    Nulls, ties, repeated rows, long texts and empty tables are the operator's; only the columns it needs are read."""
     pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
     return packing.pack_best_fit(pieces).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op6_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word windows that a smaller document holds (``phrase_dedup``).
+
+    Nulls, ties, repeated rows, long texts and empty tables are the operator's; only the columns it needs are read."""
     cleaned = phrase_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
     return cleaned.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability by the base model and by context-tree weighting (``ctw``).
+
+    Nulls, ties, repeated rows, long texts and empty tables are the operator's; only the columns it needs are read."""
     return ctw.score_documents(_table(spark, sf_dir, "documents")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot in a seeded shuffle over eight shards (``shards``).
+
+    Nulls, ties, repeated rows, long texts and empty tables are the operator's; only the columns it needs are read."""
     shuffled = shards.shuffle_records(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
     return shuffled.select(
@@ -73,6 +97,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pfp_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that a smaller document holds (``pfp_dedup``).
+
+    Nulls, ties, repeated rows, long texts and empty tables are the operator's; only the columns it needs are read."""
     cleaned = pfp_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
     return cleaned.select("rest.doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
@@ -80,6 +107,9 @@ def op9_pfp_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base counts, score and verdict (``quality``).
+
+    Nulls, ties, repeated rows, long texts and empty tables are the operator's; only the columns it needs are read."""
     judged = quality.quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"),
                                    _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

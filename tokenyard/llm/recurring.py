@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenyard.llm import arrays as A
-from tokenyard.llm.common import staged
+from tokenyard.llm.common import column, staged
 
 _U = np.uint64
 #: Entries a worker gathers before it sends them (of at most _MOST_ROWS documents), and entries of a fragment.
@@ -178,7 +178,7 @@ def with_shared_anchors(docs: DataFrame, units: Units, q: int, span: int) -> Dat
     """Written rows (doc_id, text, rest, anchors): every row of ``docs`` (its other columns in the struct ``rest``)
     and its governing grams that other documents have too (an array of bytes, null for none). Rows with a null id
     have none."""
-    rest = F.struct(*[F.col(c) for c in docs.columns if c != "text"]).alias("rest")
+    rest = F.struct(*[column(c) for c in docs.columns if c != "text"]).alias("rest")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = n_fragments(2 * size // (span - q + 2) // (1 if units is byte_units else 5))
