@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenyard.llm.common import staged
+from tokenyard.llm.common import column, staged
 from tokenyard.llm.mixing import mix
 from tokenyard.llm.ngram_join import one_of_each
 from tokenyard.llm.packing import pack_best_fit, token_pieces
@@ -15,29 +15,38 @@ from tokenyard.llm.queries import tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; the target is fitted on the labels beside the documents."""
-    judged = quality_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return judged.where("kept").select(*docs.columns)
+    """Documents that the quality rules keep; the target is fitted on the labels beside the documents.
+
+    Null and empty texts fail the base rules; repeated rows are judged alike; an empty table stays empty. The other
+    columns, of any names, go along in a struct.
+    """
+    rest = F.struct(*[column(c) for c in docs.columns if c != "text"]).alias("document")
+    judged = quality_rules(docs.select("doc_id", "text", rest), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.where("kept").select(*[(F.col("text") if c == "text" else F.col("document")[c]).alias(c) for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the least id, of each group that the n-gram Jaccard join links."""
+    """One document, the least id, of each group that the n-gram Jaccard join links (see ``one_of_each`` for nulls,
+    repeated rows, empty tables and other columns)."""
     return one_of_each(docs)
 
 
 def repeated_string_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the 50-byte strings that a document of a smaller id has; n_chars follows the text."""
+    """Texts without the 50-byte strings that a document of a smaller id has; n_chars follows the text. Rows with a
+    null id or text stay as they are, and so do all other columns; no rows give no rows."""
     return without_repeats(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix draws them (weights 5, 2, 1 over the sources, at most three times)."""
+    """Documents as often as the mix draws them (weights 5, 2, 1 over the sources, at most three times). A null source
+    is a source, null texts have no words, equal rows are drawn alike; no rows give no rows."""
     given = docs.select("doc_id", "source", "text", F.struct("*").alias("document"))
-    return mix(given).select("document.*")
+    return mix(given).select(*[F.col("document")[c].alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all drawn documents, packed into sequences of at most 2048 tokens."""
+    """Token pieces of all drawn documents, packed into sequences of at most 2048 tokens. Null texts are empty; a
+    document drawn twice is packed twice; other columns are left out; no rows give no rows."""
     pieces = token_pieces(docs, tokenizer_path(), with_ids=False)
     return pack_best_fit(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
