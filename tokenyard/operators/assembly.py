@@ -63,6 +63,13 @@ def token_chunks(rows: DataFrame, block_size: int) -> DataFrame:
         gather, CHUNKS)
 
 
+def ordered_stretches(token_docs: DataFrame, order_col: str) -> DataFrame:
+    """Rows ``(file, split, ids)`` of a table in the order of a column: each range of it is a stretch."""
+    n = int(token_docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = token_docs.select(order_col, "ids").repartitionByRange(n, order_col).sortWithinPartitions(order_col)
+    return ranges.select(F.lit("").alias("file"), F.spark_partition_id().alias("split"), "ids")
+
+
 def stretch_offsets(chunks: DataFrame) -> DataFrame:
     """``(file, split, base)``: the tokens before each stretch, in the order of file and split. One row per stretch."""
     sizes = chunks.groupBy("file", "split").agg(F.sum(F.size("ids").cast("long")).alias("n"))

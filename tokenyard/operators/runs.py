@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 # Largest per-chunk / per-run summary we broadcast back.
 BROADCAST_SUMMARY_LIMIT = 1_000_000
+# Tasks that a run's rows are spread over in a join with a table of runs.
+RUN_SALTS = 32
 
 
 def run_summary(metrics: DataFrame, run_col: str = "run_name") -> DataFrame:
@@ -173,10 +175,15 @@ def audit_learning_rate(metrics: DataFrame, a_max: float, a_min: float, warmup:
 def runs_join(index: DataFrame, metrics: DataFrame, config: DataFrame | None = None, run_col: str = "run_name") -> DataFrame:
     """Metrics rows with their run's index entry (and parsed configuration when given).
 
-    The index and configuration hold one row per run; they are joined to the (large) metrics side on
-    the run name, so Spark broadcasts them when their size estimate is small and shuffles otherwise.
+    The index and configuration hold one row per run. They are joined to the (large) metrics side on the run name, so
+    Spark broadcasts them when their size estimate is small, and on a salt from the step, so that in a shuffle a run
+    with a third of all rows is spread over RUN_SALTS tasks.
     """
-    out = metrics.join(index.drop("configuration"), run_col)
+    def spread(side: DataFrame) -> DataFrame:
+        return side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(RUN_SALTS - 1).cast("long"))))
+
+    out = metrics.withColumn("_salt", F.pmod(F.xxhash64("step"), F.lit(RUN_SALTS)))
+    out = out.join(spread(index.drop("configuration")), [run_col, "_salt"])
     if config is not None:
-        out = out.join(config.drop("started_at"), run_col, "left")
-    return out
+        out = out.join(spread(config.drop("started_at")), [run_col, "_salt"], "left")
+    return out.drop("_salt")

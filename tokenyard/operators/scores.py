@@ -140,18 +140,25 @@ def embed_lookup(token_counts: DataFrame, emb: DataFrame, id_col: str = "token_i
     return joined.withColumn("vec", F.coalesce("vec", missing))
 
 
+# Tasks that the vectors are spread over for each block of W, where W is too large to be broadcast.
+PROJECT_SALTS = 32
+
+
 def linear_project_table(rows: DataFrame, weights: DataFrame, vec_col: str, keys: list[str] | tuple[str, ...],
                          block_rows: int = 1024) -> DataFrame:
     """F14 with W as a table ``(out_id, w ARRAY<DOUBLE>)`` of any number of rows: ``(*keys, out_id, score)``.
 
-    W goes in blocks of about ``block_rows`` rows; every vector meets every block in an equi-join on the block.
+    W goes in blocks of about ``block_rows`` rows; every vector meets every block in an equi-join on the block and a salt
+    from the row's keys, so that a W of one block is still no single join key.
     """
     n_blocks = weights.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.lit(1)).cast("int")).scalar()
     w = weights.select("out_id", "w", n_blocks.alias("_n")).groupBy(
         F.pmod(F.xxhash64("out_id"), F.col("_n")).cast("int").alias("_block")).agg(
-        F.collect_list(F.struct("out_id", "w")).alias("_w"))
+        F.collect_list(F.struct("out_id", "w")).alias("_w")).withColumn("_salt", F.explode(F.sequence(
+            F.lit(0).cast("long"), F.lit(PROJECT_SALTS - 1).cast("long"))))
     x = rows.select(*keys, F.transform(vec_col, lambda v: v.cast("double")).alias("_x"), n_blocks.alias("_n"))
-    x = x.select(*keys, "_x", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_block"))
-    met = x.join(w, "_block").select(*keys, "_x", F.explode("_w").alias("_o"))
+    x = x.select(*keys, "_x", F.pmod(F.xxhash64(*keys), F.lit(PROJECT_SALTS)).alias("_salt"),
+                 F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_block"))
+    met = x.join(w, ["_block", "_salt"]).select(*keys, "_x", F.explode("_w").alias("_o"))
     dot = F.aggregate(F.zip_with("_x", F.col("_o.w"), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
     return met.select(*keys, F.col("_o.out_id").alias("out_id"), dot.alias("score"))

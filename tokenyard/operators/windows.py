@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_index
 from ..sinks.tables import materialize
+from .assembly import assemble_blocks, ordered_stretches, token_chunks
 
 # Largest number of sample rows we broadcast to the block scan.
 BROADCAST_SAMPLES_LIMIT = 5_000_000
-# Largest number of (doc, offset) rows we broadcast back to the token documents.
-BROADCAST_OFFSETS_LIMIT = 2_000_000
 
 
 def global_offsets(
@@ -47,88 +46,19 @@ def global_offsets(
 
 # Blocks per shard of a written token dataset (4096 blocks of 64 Ki tokens = 256 Mi tokens per shard).
 SHARD_BLOCKS = 4096
-# Largest number of blocks one task groups and writes as one file (256 blocks of 64 Ki ids = 64 MiB).
-MAX_SUB_SHARD_BLOCKS = 256
-
-
-def _sub_shard_blocks(total_blocks: int, shard_blocks: int, parallelism: int) -> int:
-    """Blocks per task-sized sub-shard: about two sub-shards per core on small data, at most
-    MAX_SUB_SHARD_BLOCKS on large data (few, large files); a power of two that divides a shard."""
-    want = max(1, min(MAX_SUB_SHARD_BLOCKS, shard_blocks, total_blocks // max(1, 2 * parallelism)))
-    sub = 1
-    while sub * 2 <= want and shard_blocks % (sub * 2) == 0:
-        sub *= 2
-    return sub
 
 
 def token_blocks(token_docs: DataFrame, block_size: int = 1 << 16, halo: int = 1024, order_col: str = "doc_id",
                  shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
     """K2 layout: ``(shard, block_id, start, ids ARRAY<INT>, tail ARRAY<INT>)``.
 
-    ``shard = block_id div shard_blocks`` is the partition column of the written table. The pieces are
-    shuffled by sub-shard (a power-of-two run of blocks inside one shard; the only shuffle of token
-    data besides the offset join), so a task writes whole sub-shards as few large files, and a
-    reader that needs a few blocks prunes to their shard folders.
-
-    ``token_docs`` should be a written table (K2 input): it is read twice, for sizes and for ids.
-    Each document is cut into the pieces that fall into each block (``sequence`` over the blocks it
-    spans, ``slice`` per block), plus the pieces that fall into the first ``halo`` tokens of a block,
-    addressed to the previous block's ``tail``. One shuffle groups pieces by block; a group holds at
-    most ``block_size + halo`` tokens whatever the documents look like.
+    ``shard = block_id div shard_blocks`` is the partition column of the written table, so a reader that needs a few
+    blocks prunes to their shard folders. Rows are dealt to ranges of ``order_col`` (the one exchange of token arrays;
+    ``token_docs`` should be a written table, as bounds are sampled from it), and blocks are assembled in the ranges.
     """
-    if not 0 < halo <= block_size:
-        raise ValueError("need 0 < halo <= block_size")
-    B, H = int(block_size), int(halo)
-    # Offsets are computed on the narrow (doc, size) table, then attached to the token rows: by a
-    # broadcast when the document count is known to be small, else by a shuffle join on the key.
-    size = F.col("n_tokens") if "n_tokens" in token_docs.columns else F.size("ids").cast("long")
-    sized = token_docs.select(order_col, size.alias("n_tokens")).filter("n_tokens > 0").persist()
-    narrow = global_offsets(sized, order_col, "n_tokens").persist()
-    stats = narrow.agg(F.count(F.lit(1)).alias("d"), F.sum("n_tokens").alias("t")).first()
-    n_docs, total = int(stats.d), int(stats.t or 0)
-    sub = _sub_shard_blocks(-(-total // B), shard_blocks, token_docs.sparkSession.sparkContext.defaultParallelism)
-    side = F.broadcast(narrow) if n_docs <= BROADCAST_OFFSETS_LIMIT else narrow
-    offs = token_docs.select(order_col, "ids").join(side, order_col)
-    sized.unpersist()
-    lo, n = F.col("offset"), F.col("n_tokens")
-    hi = lo + n
-    fb = F.floor(lo / B).cast("long")
-    lb = F.floor((hi - 1) / B).cast("long")
-
-    def main_piece(b):
-        p0 = F.greatest(b * B, lo)
-        p1 = F.least((b + 1) * B, hi)
-        return F.struct(b.alias("block_id"), F.lit(0).alias("kind"), p0.alias("p0"),
-                        F.slice("ids", (p0 - lo + 1).cast("int"), (p1 - p0).cast("int")).alias("piece"))
-
-    def tail_piece(b):
-        p0 = F.greatest(b * B, lo)
-        p1 = F.least(b * B + H, hi)
-        return F.struct((b - 1).alias("block_id"), F.lit(1).alias("kind"), p0.alias("p0"),
-                        F.slice("ids", (p0 - lo + 1).cast("int"), F.greatest(p1 - p0, F.lit(0)).cast("int")).alias("piece"))
-
-    blocks = F.sequence(fb, lb)
-    pieces = F.concat(
-        F.transform(blocks, main_piece),
-        F.filter(F.transform(blocks, tail_piece), lambda p: (p.block_id >= 0) & (F.size(p.piece) > 0)),
-    )
-    exploded = (
-        offs.select(F.explode(pieces).alias("p"))
-        .select("p.*")
-        .withColumn("shard", F.floor(F.col("block_id") / F.lit(shard_blocks)).cast("long"))
-        .withColumn("_sub", F.floor(F.col("block_id") / F.lit(sub)).cast("long"))
-        .repartition("_sub")  # whole sub-shards per task; the grouping below reuses this partitioning
-    )
-    grouped = exploded.groupBy("_sub", "shard", "block_id").agg(
-        F.array_sort(F.collect_list(F.struct("kind", "p0", "piece"))).alias("parts")
-    )
-    return grouped.select(
-        "shard",
-        "block_id",
-        (F.col("block_id") * B).alias("start"),
-        F.flatten(F.transform(F.filter("parts", lambda p: p.kind == 0), lambda p: p.piece)).alias("ids"),
-        F.flatten(F.transform(F.filter("parts", lambda p: p.kind == 1), lambda p: p.piece)).alias("tail"),
-    )
+    chunks = materialize(token_chunks(ordered_stretches(token_docs, order_col), block_size), "token-chunks")
+    total = chunks.agg(F.sum(F.size("ids").cast("long"))).first()[0] or 0
+    return assemble_blocks(chunks, int(total), block_size, halo, shard_blocks)
 
 
 def _window(ids, tail, offset, length: int):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.assembly import assemble_blocks, token_chunks
+from ..operators.assembly import assemble_blocks, ordered_stretches, token_chunks
 from ..operators.windows import SHARD_BLOCKS
 from .tables import materialize
 
@@ -18,10 +18,7 @@ def write_tokens(token_docs: DataFrame, path: str, block_size: int = 1 << 16, ha
     dealt to ranges of ``order_col``, which is the one exchange of token arrays; blocks are assembled in the ranges.
     """
     docs = materialize(token_docs.select(order_col, "ids"), "token_docs")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = docs.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
-    return write_stretches(ranges.select(F.lit("").alias("file"), F.spark_partition_id().alias("split"), "ids"),
-                           path, block_size, halo, shard_blocks)
+    return write_stretches(ordered_stretches(docs, order_col), path, block_size, halo, shard_blocks)
 
 
 def write_stretches(rows: DataFrame, path: str, block_size: int = 1 << 16, halo: int = 1024,
