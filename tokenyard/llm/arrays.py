@@ -38,14 +38,17 @@ _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i < n (kept between calls)."""
-    if len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        for k, base in ((0, _BASE), (1, _INVERSE)):
-            steps = np.full(size, base, _U)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers[0][:n], _powers[1][:n]
+    """BASE**i and BASE**-i modulo 2**64 for i < n (kept between calls for texts of up to CHUNK_BYTES)."""
+    if len(_powers[0]) >= n:
+        return _powers[0][:n], _powers[1][:n]
+    size, pair = max(n, CHUNK_BYTES + 1), []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(size, base, _U)
+        steps[0] = 1
+        pair.append(np.cumprod(steps))
+    if size == CHUNK_BYTES + 1:
+        _powers[:] = pair
+    return pair[0][:n], pair[1][:n]
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,19 +98,20 @@ _prime_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers_of(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo the prime for i < n (kept between calls)."""
-    if base not in _prime_powers or len(_prime_powers[base][0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        pair = []
-        for step in (base, pow(base, -1, _PRIME)):
-            out, have = np.ones(size, _U), 1
-            while have < size:  # twice as many at a time
-                more = min(have, size - have)
-                out[have:have + more] = out[:more] * _U(pow(step, have, _PRIME)) % _U(_PRIME)
-                have += more
-            pair.append(out)
+    """base**i and base**-i modulo the prime for i < n (kept between calls for texts of up to CHUNK_BYTES)."""
+    if base in _prime_powers and len(_prime_powers[base][0]) >= n:
+        return _prime_powers[base][0][:n], _prime_powers[base][1][:n]
+    size, pair = max(n, CHUNK_BYTES + 1), []
+    for step in (base, pow(base, -1, _PRIME)):
+        out, have = np.ones(size, _U), 1
+        while have < size:  # twice as many at a time
+            more = min(have, size - have)
+            out[have:have + more] = out[:more] * _U(pow(step, have, _PRIME)) % _U(_PRIME)
+            have += more
+        pair.append(out)
+    if size == CHUNK_BYTES + 1:
         _prime_powers[base] = (pair[0], pair[1])
-    return _prime_powers[base][0][:n], _prime_powers[base][1][:n]
+    return pair[0][:n], pair[1][:n]
 
 
 def span_residues(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
