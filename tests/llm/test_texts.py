@@ -235,3 +235,22 @@ def test_ctw_is_a_distribution_and_generalizes(make_docs):
 def test_gammas():
     x = np.array([0.5, 1.0, 1.5, 7.25, 1e3, 1e7])
     assert np.allclose(ctw.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-10, atol=1e-9)
+
+
+def test_all_trusted_documents_count(spark):
+    """A sample of 50,000 was fitted."""
+    from tokenyard.llm import quality
+
+    labels = spark.range(50_010).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert quality.trusted_ids(labels).count() == 50_010
+
+
+def test_many_trusted_ids_are_joined_like_few(spark, monkeypatch):
+    from tokenyard.llm import quality
+
+    docs = spark.createDataFrame([(i, f"some words {i % 7} that are here {i} times") for i in range(40)] + [(None, "x")],
+                                 "doc_id long, text string")
+    labels = spark.range(30).selectExpr("id AS doc_id", "int(id % 4 > 0) AS quality", "0 AS toxic")
+    want = quality.fit_log_ratios(docs, labels).first()
+    monkeypatch.setattr(quality, "BROADCAST_TRUSTED", 0)
+    assert quality.fit_log_ratios(docs, labels).first() == want and any(want.ratios)

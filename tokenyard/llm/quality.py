@@ -1,5 +1,6 @@
 """Quality rules: base counts of a text, and the hashed n-gram log-likelihood ratio of a trusted target
-against the raw corpus. DataFrame functions only; documents are never shuffled, only bucket counts are."""
+against the raw corpus. DataFrame functions only; documents are not shuffled (unless their
+trusted ids are too many to broadcast), only bucket counts are."""
 
 from __future__ import annotations
 
@@ -10,39 +11,41 @@ from tokenyard.llm.common import staged, with_added, words
 
 #: Hash buckets that all n-grams fall into; also the bound of the fitted table.
 BUCKETS = 1 << 14
-#: The target is fitted on at most this many trusted documents, those of the smallest id hashes.
-MAX_TRUSTED = 50_000
+#: Trusted ids up to which they are broadcast to the documents (about 100 MB); more of them are joined by a shuffle.
+BROADCAST_TRUSTED = 4_000_000
 #: Highest mean log ratio per n-gram below which a document is rejected; see :func:`fit_threshold`.
 THRESHOLD = -0.065
 #: Positions packed beside a hash in the sort of 3-word windows; longer documents sort (hash, position) pairs.
 _POS_BITS = 17
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """Ids all of whose labels say good quality and not toxic, a bounded sample by id hash; every third is for
-    ``checking``, the others for fitting."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All ids all of whose labels say good quality and not toxic; every third is for ``checking``, the others for
+    fitting."""
     good = (labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
             .agg(F.min("quality").alias("q"), F.max("toxic").alias("x"))
             .where((F.col("q") == 1) & (F.coalesce("x", F.lit(0)) == 0)))
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted).select(
-        "doc_id", (F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(3)) == 0).alias("checking"))
+    return good.select("doc_id", (F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(3)) == 0).alias("checking"))
+
+
+def _join_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Documents beside some of the trusted ids; the documents stay where they are while the ids are few."""
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_TRUSTED else ids, "doc_id", how)
 
 
 def _bucket(buckets: int, *parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
 
 
-def fit_log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
-                   max_trusted: int = MAX_TRUSTED) -> DataFrame:
+def fit_log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row with ``ratios``: log(p_target / p_raw) per bucket, both multinomials with one added to each count.
 
     The raw counts cover all words of all documents, the target counts all words of the trusted ones for fitting.
     Without trusted words all ratios are 0. The row's size is bounded by ``buckets``.
     """
     spark = docs.sparkSession
-    good = trusted_ids(labels, max_trusted).where("NOT checking").select("doc_id", F.lit(1).alias("good"))
-    flagged = (docs.select("doc_id", words(F.col("text")).alias("w"))
-               .join(F.broadcast(good), "doc_id", "left"))
+    good = trusted_ids(labels).where("NOT checking").select("doc_id", F.lit(1).alias("good"))
+    flagged = _join_ids(docs.select("doc_id", "text"), good, "left").select("good", words(F.col("text")).alias("w"))
     following = F.slice("w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0)))
     at = flagged.select("good", F.explode(F.arrays_zip(F.col("w").alias("a"), following.alias("b"))).alias("g"))
     one_two = F.array(_bucket(buckets, F.col("g.a")),
@@ -60,15 +63,15 @@ def fit_log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
 
 
 def fit_threshold(docs: DataFrame, labels: DataFrame, ratios: DataFrame, buckets: int = BUCKETS,
-                  max_trusted: int = MAX_TRUSTED, highest: float = THRESHOLD) -> DataFrame:
+                  highest: float = THRESHOLD) -> DataFrame:
     """One row with ``threshold``: what all but a hundredth of the trusted documents that were not fitted reach, at
     most ``highest``.
 
     Their discrete first percentile, so of fewer than a hundred the least; a small target, which knows few of the
     words of good documents, does not reject them, and junk below them goes at every size.
     """
-    check = trusted_ids(labels, max_trusted).where("checking").select("doc_id")
-    scored = quality_scores(docs.select("doc_id", "text").join(F.broadcast(check), "doc_id", "left_semi"), ratios, None, buckets)
+    check = trusted_ids(labels).where("checking").select("doc_id")
+    scored = quality_scores(_join_ids(docs.select("doc_id", "text"), check, "left_semi"), ratios, None, buckets)
     return (scored.where("NOT base_failed")
             .agg(F.expr("percentile_disc(0.01) WITHIN GROUP (ORDER BY score)").alias("low"))
             .select(F.least(F.coalesce("low", F.lit(highest)), F.lit(highest)).alias("threshold")))
@@ -153,9 +156,9 @@ def quality_scores(docs: DataFrame, ratios: DataFrame, threshold: DataFrame | No
         "kept": ~failed & (F.col("score") >= threshold.scalar()) if threshold is not None else ~failed})
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED,
+def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
                   highest: float = THRESHOLD) -> DataFrame:
     """Fit the log ratios on the whole table, then judge every document (see the steps above)."""
-    ratios = staged(fit_log_ratios(docs, labels, buckets, max_trusted), "quality-ratios")
-    threshold = staged(fit_threshold(docs, labels, ratios, buckets, max_trusted, highest), "quality-threshold")
+    ratios = staged(fit_log_ratios(docs, labels, buckets), "quality-ratios")
+    threshold = staged(fit_threshold(docs, labels, ratios, buckets, highest), "quality-threshold")
     return quality_scores(docs, ratios, threshold, buckets)
