@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.assembly import blocks_of
 from ..operators.windows import SHARD_BLOCKS
+from .tables import write_parquet
 from ..sources.npy import WIDTHS, npy_header, read_npy
 
 #: Blocks of one file: 64 blocks of 64 Ki tokens of 16 bits are 8 MiB.
@@ -45,6 +46,7 @@ def blocks_from_npy(spark: SparkSession, npy_path: str, path: str, block_size: i
         raise ValueError("the input holds no tokens")
     small = F.when(F.array_max("ids") < 1 << 31, F.col("ids")).otherwise(
         F.raise_error(F.lit("a token id of 2**31 or more does not fit a block")).cast("array<long>"))
-    blocks = blocks_of(rows.select("lo", small.cast("array<int>").alias("ids")), total, block_size, halo, shard_blocks)
-    blocks.sortWithinPartitions("shard", "block_id").write.mode("overwrite").partitionBy("shard").parquet(path)
+    placed = rows.select("lo", small.cast("array<int>").alias("ids"))
+    blocks = blocks_of(placed, total, block_size, halo, shard_blocks)
+    write_parquet(blocks.sortWithinPartitions("shard", "block_id"), path, partition_by=["shard"], large_rows=True)
     return total

@@ -119,7 +119,8 @@ def read_npy(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     base = headers.select("file", F.coalesce(before, F.lit(0)).alias("base"))
     total = int(headers.agg(F.sum("n")).first()[0] or 0)
-    found = _tokens(rows.join(F.broadcast(headers), "file").select("file", "split", "text", "width", "n", "data_start"))
+    tokens = _tokens(rows.join(F.broadcast(headers), "file").select("file", "split", "text", "width", "n", "data_start"))
+    found = materialize(tokens, "npy-tokens", large_rows=True)  # read several times by what makes blocks of it
     whole = found.where("piece IS NULL").select("file", "lo", "ids")
     pieces = found.where("piece IS NOT NULL").groupBy("file", "lo").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", F.hex("piece").alias("h")))), lambda x: x["h"]), "").alias("h"))
