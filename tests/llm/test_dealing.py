@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from llm_texts import make_docs, odd_rows, prose  # noqa: F401
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tokenyard.llm import mixing, packing, shards
@@ -174,3 +175,18 @@ def test_external_shuffle(make_docs, odd_rows):
     assert shards.shuffle_records(docs.limit(0)).count() == 0
     three = shards.shuffle_records(make_docs([(1, "a"), (2, None), (3, "c")]), 8).collect()
     assert sorted(r.slot for r in three) == [0, 0, 0] and len({r.shard for r in three}) == 3
+
+
+def test_packing_encodes_a_string_once_and_as_the_tokenizer_does(monkeypatch):
+    ids_of, whole = packing._Ids(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    texts = ["It's Été, été. ÈÉàß; 42 naïve, a,b x.. , .", "", "long" * 40 + ", " + "Ö" * 70, "tab\there\r\nÁ ­ İ ﬁ ß. ÷ ×,",
+             "a <|endoftext|> b", "<|ENDOFTEXT|>, c"]
+    want = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert ids_of(texts) == want == [ids_of([t])[0] for t in texts]
+    encoded = []
+    each, words = packing._Ids._each, packing._Ids._words
+    monkeypatch.setattr(packing._Ids, "_each", lambda self, s: encoded.extend(s) or each(self, s))
+    monkeypatch.setattr(packing._Ids, "_words", lambda self, s: encoded.extend(s) or words(self, s))
+    assert ids_of(texts[:1]) == want[:1]
+    assert encoded == []  # numbers, contractions and words with marks are remembered too
+    assert not any(len(s) > packing._LONGEST for s in ids_of.memory)

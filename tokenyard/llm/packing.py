@@ -22,8 +22,8 @@ from tokenyard.llm.common import staged
 GROUP_PIECES = 1 << 17
 #: Bins fuller than this share of a sequence are final; others are packed again with other groups' bins.
 LOOSE_BELOW = 0.98
-#: Strings whose ids a worker remembers (twice as many for a while), and the longest such string.
-_MEMORY, _LONGEST = 1 << 18, 64
+#: Strings whose ids a worker remembers between texts, and the longest such string.
+_MEMORY, _LONGEST = 1 << 19, 64
 #: Strings of these letters are one word of the tokenizer each, alone or before one of these marks.
 _WORD = re.compile(r"[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _MARKS = ".,;:"
@@ -38,71 +38,63 @@ class _Ids:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # In lower case, words as _WORD has them are normal and one piece each: only their merges are left to do.
+        self.merger = Tokenizer.from_file(path)
+        self.merger.normalizer = None
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.merger.model._resize_cache(0)  # no word is encoded twice while it is remembered here
+        self.marks = dict(zip(_MARKS, self._each(list(_MARKS)), strict=True))
+        self.memory: dict[str, bytes] = {"": b""}
 
     def _each(self, strings: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(strings, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _words(self, strings: list[str]) -> list[bytes]:
         """Ids of words, all encoded in one text and cut at the tokens that end a word."""
         if not strings:
             return []
-        ids = np.array(self.tokenizer.encode(" ".join(strings), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.merger.encode_batch_fast([" ".join(strings).lower()], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(strings) or ends[-1] != len(ids):
             return self._each(strings)
         raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
         return [raw[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
-    def _look_up(self, strings: set[str]) -> dict[str, bytes]:
-        recent, older, known = self.recent, self.older, {}
-        words, others, marked = [], [], []
-        for s in strings:
-            core = s[:-1] if s and s[-1] in _MARKS else s
-            ids = recent.get(core)
-            if ids is None:
-                ids = older.get(core)
-                if ids is not None:
-                    recent[core] = ids
-            if ids is not None and (core is s or _WORD.fullmatch(core)):
-                known[core] = ids
-            elif _WORD.fullmatch(core):
-                words.append(core)
-            else:
-                others.append(s)
-                continue
-            if core is not s:
-                marked.append((s, core))
-        words = list(set(words))
-        for s, ids in zip(words, self._words(words), strict=True):
-            known[s] = ids
-            if len(s) <= _LONGEST:
-                recent[s] = ids
-        known.update(zip(others, self._each(others), strict=True))
-        marks = dict(zip(_MARKS, self._each(list(_MARKS)), strict=True)) if marked else {}
-        for s, core in marked:
-            known[s] = known[core] + marks[s[-1]]
-        known[""] = b""
-        if len(recent) > _MEMORY:
-            self.older, self.recent = recent, {}
-        return known
+    def _learn(self, strings: set[str]) -> list[str]:
+        """Adds the strings that the memory lacks; gives those too long to stay there."""
+        memory = self.memory
+        new = strings.difference(memory)
+        marked = [s for s in new if s[-1] in _MARKS and _WORD.fullmatch(s, 0, len(s) - 1)]
+        words = [s for s in new if _WORD.fullmatch(s)]
+        others = list(new.difference(marked, words))
+        words += {s[:-1] for s in marked}.difference(memory, words)
+        memory.update(zip(words, self._words(words), strict=True))
+        memory.update(zip(others, self._each(others), strict=True))
+        memory.update([(s, memory[s[:-1]] + self.marks[s[-1]]) for s in marked])
+        return [s for s in [*words, *others, *marked] if len(s) > _LONGEST]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        if len(self.memory) > _MEMORY:
+            self.memory = {"": b""}
         whole = [any(s in t or s in t.lower() for s in self.specials) if "<" in t else False for t in texts]
         split = [[] if w else t.encode().translate(_LOWER).decode().replace("\n", " ").split(" ")
                  for t, w in zip(texts, whole, strict=True)]
-        known = self._look_up({s for strings in split for s in strings})
-        return [self._each([t])[0] if w else b"".join([known[s] for s in strings])
-                for t, strings, w in zip(texts, split, whole, strict=True)]
+        long = self._learn(set().union(*split))
+        known = self.memory.__getitem__
+        found = [self._each([t])[0] if w else b"".join(map(known, strings))
+                 for t, strings, w in zip(texts, split, whole, strict=True)]
+        for s in long:
+            del self.memory[s]
+        return found
 
 
 _loaded: dict[str, _Ids] = {}
