@@ -95,3 +95,41 @@ def test_many_files_and_no_words(spark, monkeypatch):
     assert index.words_of([]).collect() == []
     empty = W.build_index(words.where("false"))
     assert empty.words_of([("61", "62")]).collect() == []
+
+
+def test_folding_leaves_large_layers(spark, corpus):
+    """Every fold rewrote all postings of the index, though few merges had touched few of them."""
+    index, words, merges = W.build_index(corpus), corpus, []
+    large = index.layers[0]
+    for _ in range(3):
+        best = _pairs(words).orderBy(F.desc("n"), "left", "right").first()
+        index, _ = index.merged(index.words_of([(best.left, best.right)]), [(best.left, best.right)])
+        merges.append((best.left, best.right))
+        words = corpus.select("word_id", merge_pairs(F.col("toks"), merges).alias("toks"), "freq")
+    small = index.compacted(3)
+    assert small.layers[0] is large and len(index.layers) == 4 and len(small.layers) == 2
+    assert small.layers[1].rows == small.layers[1].postings.count() < large.rows / 2
+    assert small.compacted(3) is small
+    wanted = [(r.left, r.right) for r in _pairs(words).orderBy(F.desc("n"), "left", "right").limit(5).collect()]
+    assert {tuple(r) for r in small.words_of(wanted).collect()} == _holding(words, wanted)
+
+
+def test_folding_takes_outgrown_and_stale_layers(spark, corpus, monkeypatch):
+    index = W.build_index(corpus)
+    for pair in (_hex("e", " "), _hex("t", "h")):
+        index, _ = index.merged(index.words_of([pair]), [pair])
+    assert len(index.compacted(2).layers) == 2
+    monkeypatch.setattr(W, "YOUNG_PART", 1e-6)  # the young layers have outgrown the first
+    assert len(index.compacted(2).layers) == 1
+    monkeypatch.undo()
+    monkeypatch.setattr(W, "STALE_MERGES", 1)  # the first layer lags behind by two merges
+    assert len(index.compacted(2).layers) == 1
+
+
+def test_postings_of_repeated_pairs(spark):
+    """A pair is posted once a word, also where it overlaps itself, stands again later or its tokens have many bytes."""
+    toks = ["|61||61||61||61|", "|61||62||61||62||61|", "|6162||63||61||62||6162||63|", "|61|", "|61||6161||61||6161|", ""]
+    words = _numbered(spark.createDataFrame([(t, 1) for t in toks], "toks string, freq long"))
+    found = [(r.pair, r.toks) for r in W.build_index(words).layers[0].postings.collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == {(p, t) for t in toks for p in _texts(t)}
